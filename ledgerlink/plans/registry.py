@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 # plan modules, each exposing QUERIES (and SQL where an oracle exists)
-MODULES = ["linkage", "dedup_plans"]
+MODULES = ["linkage", "dedup_plans", "records_plans"]
 
 
 def _modules():
