@@ -51,8 +51,8 @@ def clean_name(c) -> Column:
     """Lower, drop (...) groups, keep ASCII letters/digits/whitespace, squeeze, trim."""
     v = F.lower(_c(c))
     v = F.regexp_replace(v, r"(?d)\(.*?\)", "")
-    v = F.regexp_replace(v, r"[^a-zA-Z0-9\s]", "")
-    v = F.regexp_replace(v, r"\s+", " ")
+    v = F.regexp_replace(v, r"(?U)[^a-zA-Z0-9\s]", "")
+    v = F.regexp_replace(v, r"(?U)\s+", " ")
     return strip(v)
 
 
