@@ -15,8 +15,8 @@ Plan (two phases, no per-level loop and no "join everything then filter"):
 2. Left rows are joined once to their chosen key on the exploded right side.
    Coarse levels never fan out for rows already settled at a finer level.
 
-Unmatched rows take a separate branch, so their null keys are never shuffled
-to a single join partition.
+Unmatched rows join with a unique never-matching key, so they are never
+shuffled into a single join partition under a null key.
 """
 
 from __future__ import annotations
@@ -93,31 +93,35 @@ def cascade_join(left: DataFrame, right: DataFrame, levels: list[Level] | None =
     keys = [RANK] + _key_cols(width)
     names = F.array(*[F.lit(lv.name) for lv in levels])
 
-    # phase 1: chosen (rank, key) per left row
+    # phase 1: the first level with a hit, per left row (hash aggregate on an int)
     lkeys = left.select(left_id, F.inline(_level_keys(levels, "left")))
     rcols = right.columns
     right_x = right.select(*rcols, F.inline(_level_keys(levels, "right")))
     rkeys = right_x.select(*keys).distinct()
     picks = (lkeys.join(rkeys, keys, "left_semi")
              .groupBy(left_id)
-             .agg(F.min(F.struct(*keys)).alias("_cj_pick")))
+             .agg(F.min(RANK).alias("_cj_pick")))
 
-    # phase 2: one equi-join on the chosen key
+    # phase 2: one left-outer equi-join on the chosen key.  The key is rebuilt
+    # from the left row for the picked rank; unmatched rows get rank 0 and
+    # their own id, a key no right row has, so they spread over all join
+    # partitions instead of meeting under one null key.
     lcols = left.columns
-    renamed = [F.col(c).alias(c + suffix if c in lcols else c) for c in rcols]
     out_rcols = [c + suffix if c in lcols else c for c in rcols]
-    right_side = right_x.select(*renamed, *keys)
-
-    lp = left.join(picks, left_id, "left")
-    hit = lp.where(F.col("_cj_pick").isNotNull()).select(*lcols, "_cj_pick.*")
-    matched = (hit.join(right_side, keys, "inner")
-               .select(*lcols, *out_rcols, F.element_at(names, F.col(RANK)).alias(level_col)))
-
-    rtypes = dict(right.dtypes)
-    miss = lp.where(F.col("_cj_pick").isNull()).select(
-        *lcols, *[F.lit(None).cast(rtypes[c]).alias(o) for c, o in zip(rcols, out_rcols)],
-        F.lit(unmatched).alias(level_col))
-    return matched.unionByName(miss)
+    right_side = right_x.select(*[F.col(c).alias(o) for c, o in zip(rcols, out_rcols)], *keys)
+    chosen = F.element_at(F.filter(_level_keys(levels, "left"),
+                                   lambda x: x[RANK] == F.col("_cj_pick")), 1)
+    never = F.struct(F.lit(0).alias(RANK), F.col(left_id).cast("string").alias(_key_cols(width)[0]),
+                     *[F.lit("").alias(k) for k in _key_cols(width)[1:]])
+    hit = (left.join(picks, left_id, "left")
+           .withColumn("_cj_key", F.when(F.col("_cj_pick").isNotNull(), chosen).otherwise(never))
+           .select(*lcols, "_cj_pick", "_cj_key.*"))
+    return (hit.join(right_side, keys, "left")
+            .select(*lcols, *out_rcols,
+                    # explicit null test: the optimizer takes element_at over a
+                    # literal array as non-null and would drop a coalesce
+                    F.when(F.col("_cj_pick").isNull(), F.lit(unmatched))
+                     .otherwise(F.element_at(names, F.col("_cj_pick"))).alias(level_col)))
 
 
 def match_summary(matches: DataFrame, key_col: str = "bpg", level_col: str = "matched_level",
