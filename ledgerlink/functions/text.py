@@ -14,6 +14,15 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it several times inside ``body``.
+
+    Catalyst does not share a sub-expression across the branches of a CASE,
+    so an expensive value referenced three times is computed three times;
+    binding it to a lambda variable computes it once per row."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(c) -> Column:
     """Python-style strip of Unicode whitespace (``trim`` strips spaces only)."""
     return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
@@ -72,8 +81,8 @@ def strip_code_fences(c) -> Column:
 
 def outer_brackets(c) -> Column:
     """The outermost [...] span of noisy text, else the text itself."""
-    hit = F.regexp_extract(_c(c), r"(?s)\[.*\]", 0)
-    return F.when(hit != "", hit).otherwise(_c(c))
+    return let(_c(c), lambda x: let(F.regexp_extract(x, r"(?s)\[.*\]", 0),
+                                    lambda hit: F.when(hit != "", hit).otherwise(x)))
 
 
 def url_type(c) -> Column:

@@ -45,7 +45,8 @@ def substring_candidates(lines: DataFrame, patterns: DataFrame, line_keys: list[
     starts = F.sequence(F.lit(1), F.greatest(F.length("_sm_t"), F.lit(1)))
     grams = F.array_distinct(F.flatten(F.transform(
         starts, lambda i: F.array(*[F.substring("_sm_t", i, L) for L in range(1, q + 1)]))))
-    exploded = txt.select(*line_keys, text_col, "_sm_t", F.explode(grams).alias("_sm_g"))
+    exploded = (txt.select(*line_keys, text_col, "_sm_t", F.explode_outer(grams).alias("_sm_g"))
+                .where(F.col("_sm_g").isNotNull()))
     return exploded.join(pt, "_sm_g").drop("_sm_g")
 
 
@@ -61,8 +62,9 @@ def word_matches(lines: DataFrame, names: DataFrame, line_keys: list[str], text_
     longest = F.aggregate("_dm_toks", F.lit(""),
                           lambda acc, t: F.when(F.length(t) > F.length(acc), t).otherwise(acc))
     nm = nm.withColumn("_dm_key", F.when(F.size("_dm_toks") > 0, longest)).drop("_dm_toks")
-    toks = lines.select(*line_keys, text_col, F.explode(F.array_distinct(
-        F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD_RUN), 0))).alias("_dm_key"))
+    toks = lines.select(*line_keys, text_col, F.explode_outer(F.array_distinct(
+        F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD_RUN), 0))).alias("_dm_key")) \
+        .where(F.col("_dm_key").isNotNull())
     cand = toks.join(nm.where(F.col("_dm_key").isNotNull()), "_dm_key").drop("_dm_key")
     no_tok = nm.where(F.col("_dm_key").isNull()).drop("_dm_key")
     if no_tok.limit(1).count() > 0:

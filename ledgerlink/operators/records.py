@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import blank_symbols, outer_brackets, split_cell, strip, strip_code_fences
+from ..functions.text import blank_symbols, let, outer_brackets, split_cell, strip, strip_code_fences
 
 
 def explode_cells(df: DataFrame, cols: list[str], blank_all: bool = True) -> DataFrame:
@@ -41,8 +41,8 @@ def parse_records(raw, schema: str) -> Column:
     kept; anything that is not a JSON array (first non-blank '[' and last ']')
     or does not parse yields null."""
     body = strip(outer_brackets(strip_code_fences(raw)))
-    is_array = body.startswith("[") & body.endswith("]")
-    return F.when(is_array, F.from_json(body, schema, {"mode": "PERMISSIVE"}))
+    return let(body, lambda b: F.when(b.startswith("[") & b.endswith("]"),
+                                      F.from_json(b, schema, {"mode": "PERMISSIVE"})))
 
 
 def parse_pipe_table(raw, width: int = 5, min_parts: int = 1) -> Column:

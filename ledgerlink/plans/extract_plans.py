@@ -41,8 +41,11 @@ def responses(spark, sf_dir) -> DataFrame:
 
 def parse_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = responses(spark, sf_dir).withColumn("recs", _parse("raw", RECORD_SCHEMA))
-    return r.select("document_name", "page_no", F.posexplode("recs").alias("rec_idx", "rec")).select(
-        "document_name", "page_no", "rec_idx", "rec.bin", "rec.pcn", "rec.grp", "rec.plan_name")
+    # posexplode_outer + filter: a plain explode makes Spark infer size(recs) > 0
+    # below the projection, which would parse every answer twice more
+    return (r.select("document_name", "page_no", F.posexplode_outer("recs").alias("rec_idx", "rec"))
+            .where(F.col("rec_idx").isNotNull())
+            .select("document_name", "page_no", "rec_idx", "rec.bin", "rec.pcn", "rec.grp", "rec.plan_name"))
 
 
 def parse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +69,8 @@ def pipe_answers(spark, sf_dir) -> DataFrame:
 
 def _pipe_rows(spark, sf_dir) -> DataFrame:
     a = pipe_answers(spark, sf_dir).withColumn("rows", parse_pipe_table("raw", 5))
-    rows = a.select("key_id", "doc_pos", "link", F.posexplode("rows").alias("row_idx", "p"))
+    rows = (a.select("key_id", "doc_pos", "link", F.posexplode_outer("rows").alias("row_idx", "p"))
+            .where(F.col("row_idx").isNotNull()))
     return rows.select("key_id", "doc_pos", "link", "row_idx",
                        *[F.col("p")[i].alias(f"f{i + 1}") for i in range(5)]).withColumn(
         "status", extraction_status("f1", "f2", "f3", "f4"))
