@@ -65,19 +65,41 @@ def _key_cols(width: int) -> list[str]:
     return [f"{KEY_PREFIX}{i}" for i in range(width)]
 
 
-def _level_keys(levels: list[Level], side: str) -> Column:
-    """array<struct<rank, k0..kw>> of the levels that apply to the row."""
+def _components(levels: list[Level], side: str) -> list[str]:
+    seen: list[str] = []
+    for lv in levels:
+        for c in (lv.left if side == "left" else lv.right):
+            if c not in seen:
+                seen.append(c)
+    return seen
+
+
+def _level_entries(levels: list[Level], side: str, comp) -> list[Column]:
+    """One struct<rank, k0..kw> per level, null when the level does not apply.
+
+    Plain CASE expressions over already-normalised component columns: no
+    lambda, so the whole projection stays in generated code."""
     width = max(len(lv.left) for lv in levels)
     entries = []
     for rank, lv in enumerate(levels, start=1):
-        parts = [blank_to_null(c) for c in (lv.left if side == "left" else lv.right)]
+        parts = [comp(c) for c in (lv.left if side == "left" else lv.right)]
         present = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts])
         # unused slots hold "" so the rank is part of the join key and
         # components can never collide across levels
         padded = parts + [F.lit("")] * (width - len(parts))
         entries.append(F.when(present, F.struct(
             F.lit(rank).alias(RANK), *[p.alias(k) for p, k in zip(padded, _key_cols(width))])))
-    return F.filter(F.array(*entries), lambda x: x.isNotNull())
+    return entries
+
+
+def _explode_levels(df: DataFrame, levels: list[Level], side: str, keep: list[str]) -> DataFrame:
+    """Rows of ``keep`` columns x applicable (rank, key) pairs."""
+    comps = _components(levels, side)
+    norm = {c: f"_cj_n{i}" for i, c in enumerate(comps)}
+    tmp = df.select(*keep, *[blank_to_null(c).alias(norm[c]) for c in comps])
+    entries = _level_entries(levels, side, lambda c: F.col(norm[c]))
+    return (tmp.select(*keep, F.inline(F.array(*entries)))
+            .where(F.col(RANK).isNotNull()))
 
 
 def cascade_join(left: DataFrame, right: DataFrame, levels: list[Level] | None = None,
@@ -94,9 +116,9 @@ def cascade_join(left: DataFrame, right: DataFrame, levels: list[Level] | None =
     names = F.array(*[F.lit(lv.name) for lv in levels])
 
     # phase 1: the first level with a hit, per left row (hash aggregate on an int)
-    lkeys = left.select(left_id, F.inline(_level_keys(levels, "left")))
+    lkeys = _explode_levels(left, levels, "left", [left_id])
     rcols = right.columns
-    right_x = right.select(*rcols, F.inline(_level_keys(levels, "right")))
+    right_x = _explode_levels(right, levels, "right", rcols)
     rkeys = right_x.select(*keys).distinct()
     picks = (lkeys.join(rkeys, keys, "left_semi")
              .groupBy(left_id)
@@ -109,12 +131,14 @@ def cascade_join(left: DataFrame, right: DataFrame, levels: list[Level] | None =
     lcols = left.columns
     out_rcols = [c + suffix if c in lcols else c for c in rcols]
     right_side = right_x.select(*[F.col(c).alias(o) for c, o in zip(rcols, out_rcols)], *keys)
-    chosen = F.element_at(F.filter(_level_keys(levels, "left"),
-                                   lambda x: x[RANK] == F.col("_cj_pick")), 1)
-    never = F.struct(F.lit(0).alias(RANK), F.col(left_id).cast("string").alias(_key_cols(width)[0]),
-                     *[F.lit("").alias(k) for k in _key_cols(width)[1:]])
+    entries = _level_entries(levels, "left", blank_to_null)
+    pick = F.col("_cj_pick")
+    chosen = F.struct(F.lit(0).alias(RANK), F.col(left_id).cast("string").alias(_key_cols(width)[0]),
+                      *[F.lit("").alias(k) for k in _key_cols(width)[1:]])
+    for rank in range(len(levels), 0, -1):
+        chosen = F.when(pick == rank, entries[rank - 1]).otherwise(chosen)
     hit = (left.join(picks, left_id, "left")
-           .withColumn("_cj_key", F.when(F.col("_cj_pick").isNotNull(), chosen).otherwise(never))
+           .withColumn("_cj_key", chosen)
            .select(*lcols, "_cj_pick", "_cj_key.*"))
     return (hit.join(right_side, keys, "left")
             .select(*lcols, *out_rcols,

@@ -27,13 +27,10 @@ def explode_cells(df: DataFrame, cols: list[str], blank_all: bool = True) -> Dat
 def majority_prefix_strip(df: DataFrame, col: str, prefix: str, threshold: float = 0.8) -> DataFrame:
     """Strip ``prefix`` (and following whitespace) from ``col`` only when more
     than ``threshold`` of all rows start with it.  The ratio is one global
-    aggregate (one row, broadcast); the strip is a narrow projection."""
-    stats = df.agg((F.count_if(F.col(col).startswith(prefix)) / F.count(F.lit(1))).alias("_mp_ratio"))
+    aggregate used as a scalar subquery; the strip is a narrow projection."""
+    ratio = df.agg(F.count_if(F.col(col).startswith(prefix)) / F.count(F.lit(1))).scalar()
     pattern = "^" + re.escape(prefix) + r"\s*"
-    return (df.crossJoin(F.broadcast(stats))
-            .withColumn(col, F.when(F.col("_mp_ratio") > threshold, F.regexp_replace(col, pattern, ""))
-                        .otherwise(F.col(col)))
-            .drop("_mp_ratio"))
+    return df.withColumn(col, F.when(ratio > threshold, F.regexp_replace(col, pattern, "")).otherwise(F.col(col)))
 
 
 def parse_records(raw, schema: str) -> Column:

@@ -46,11 +46,10 @@ def dup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _runs(spark, sf_dir):
     h = _hashed(spark, sf_dir)
-    # earlier run: ids up to half the largest id (a one-row aggregate, broadcast)
-    bound = h.agg(F.max("seq").alias("_max"))
-    h = h.crossJoin(F.broadcast(bound))
-    first = h.where(F.col("seq") * 2 <= F.col("_max")).drop("_max")
-    second = h.where(F.col("seq") * 2 > F.col("_max")).drop("_max")
+    # earlier run: ids up to half the largest id (a scalar subquery)
+    top = h.agg(F.max("seq")).scalar()
+    first = h.where(F.col("seq") * 2 <= top)
+    second = h.where(F.col("seq") * 2 > top)
     return first, second
 
 

@@ -15,6 +15,8 @@ touched buckets are overwritten (dynamic partition overwrite).
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,7 +69,8 @@ class IncrementalDedup:
         if max_files_per_trigger:
             src = src.option("maxFilesPerTrigger", str(max_files_per_trigger))
         stream = src.load(folder).withColumn("file_name", F.regexp_extract("path", r"([^/]*)$", 1))
-        ckpt = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/k1-{abs(hash(self.registry_path))}"
+        tag = hashlib.sha1(self.registry_path.encode("utf-8")).hexdigest()[:16]
+        ckpt = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/k1-{tag}"
         q = (stream.writeStream.foreachBatch(lambda df, bid: self.process_batch(df, bid))
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
         q.awaitTermination()
