@@ -28,26 +28,49 @@ def _quote(c: Column) -> Column:
     return F.concat(F.lit("\\Q"), F.replace(c, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
 
 
-def substring_candidates(lines: DataFrame, patterns: DataFrame, line_keys: list[str], text_col: str,
-                         pattern_col: str, q: int = 3, lower: bool = True) -> DataFrame:
-    """(line, pattern) pairs that share the pattern's leading gram: an equi-join.
-
-    A pattern is keyed by its first ``min(q, len)`` characters; texts emit their
-    distinct grams of lengths 1..q, so short patterns need no nested loop.
-    Output: line_keys, text_col, patterns' columns, ``_sm_t`` / ``_sm_p``
-    (compared forms).
+BROADCAST_ROWS = 200_000
+
+
+def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a dimension only after counting it: at most ``limit`` rows are
+    sent to every task; a larger table is left to a shuffle join (AQE may still
+    broadcast it when its measured size is small)."""
+    return F.broadcast(df) if df.count() <= limit else df
+
+
+def substring_matches(lines: DataFrame, patterns: DataFrame, line_keys: list[str], text_col: str = "text",
+                      pattern_col: str = "pattern", q: int = 3, lower: bool = True) -> DataFrame:
+    """C9/C13 hits: one row per (line, pattern) where the text contains the
+    pattern, with the 1-based ``offset`` of its first occurrence.
+
+    Texts emit their grams of just the key lengths the pattern table holds
+    (at most ``q`` values); a pattern is keyed by its first ``min(q, len)``
+    characters, so short patterns need no nested loop.  Each candidate is
+    verified at its own position.  With a pattern table under the broadcast
+    bound the join and the check run in the scan's generated code and a text
+    is only copied for real hits; a larger table takes a shuffle join without
+    the text and joins the texts back for its candidates only.
+    ``line_keys`` must identify a line.
     """
     low = F.lower if lower else (lambda c: c)
+    pcols = patterns.columns
     pt = (patterns.where(F.col(pattern_col).isNotNull() & (F.col(pattern_col) != ""))
           .withColumn("_sm_p", low(F.col(pattern_col))))
     pt = pt.withColumn("_sm_g", F.substring("_sm_p", 1, q))
-    txt = lines.withColumn("_sm_t", low(F.col(text_col)))
-    starts = F.sequence(F.lit(1), F.greatest(F.length("_sm_t"), F.lit(1)))
-    grams = F.array_distinct(F.flatten(F.transform(
-        starts, lambda i: F.array(*[F.substring("_sm_t", i, L) for L in range(1, q + 1)]))))
-    exploded = (txt.select(*line_keys, text_col, "_sm_t", F.explode_outer(grams).alias("_sm_g"))
-                .where(F.col("_sm_g").isNotNull()))
-    return exploded.join(pt, "_sm_g").drop("_sm_g")
+    stats = pt.agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.length("_sm_g")).alias("ls")).first()
+    lengths = sorted(stats["ls"]) or [q]  # at most q values
+    txt = lines.select(*line_keys, low(F.col(text_col)).alias("_sm_t"))
+    pos = txt.select(*line_keys, "_sm_t",
+                     F.explode(F.sequence(F.lit(1), F.greatest(F.length("_sm_t"), F.lit(1)))).alias("_sm_i"))
+    grams = pos.select(*line_keys, "_sm_t", "_sm_i", F.explode(F.array(
+        *[F.substring("_sm_t", F.col("_sm_i"), F.lit(L)) for L in lengths])).alias("_sm_g"))
+    at_pos = F.substring(F.col("_sm_t"), F.col("_sm_i"), F.length("_sm_p")) == F.col("_sm_p")
+    if stats["n"] <= BROADCAST_ROWS:
+        hits = grams.join(F.broadcast(pt), "_sm_g").where(at_pos)
+    else:
+        cand = grams.select(*line_keys, "_sm_i", "_sm_g").join(pt, "_sm_g")
+        hits = cand.join(txt, list(line_keys)).where(at_pos)
+    return (hits.groupBy(*line_keys, *pcols).agg(F.min("_sm_i").cast("int").alias("offset")))
 
 
 def word_matches(lines: DataFrame, names: DataFrame, line_keys: list[str], text_col: str = "line",
@@ -65,26 +88,18 @@ def word_matches(lines: DataFrame, names: DataFrame, line_keys: list[str], text_
     toks = lines.select(*line_keys, text_col, F.explode_outer(F.array_distinct(
         F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD_RUN), 0))).alias("_dm_key")) \
         .where(F.col("_dm_key").isNotNull())
-    cand = toks.join(nm.where(F.col("_dm_key").isNotNull()), "_dm_key").drop("_dm_key")
+    cand = toks.join(bounded_broadcast(nm.where(F.col("_dm_key").isNotNull())), "_dm_key").drop("_dm_key")
     no_tok = nm.where(F.col("_dm_key").isNull()).drop("_dm_key")
     if no_tok.limit(1).count() > 0:
-        extra = substring_candidates(lines, no_tok, line_keys, text_col, name_col).drop("_sm_t", "_sm_p")
-        cand = cand.unionByName(extra)
+        # names without word characters: substring hits are the candidates
+        sub = substring_matches(lines, no_tok, line_keys, text_col, name_col).drop("offset")
+        cand = cand.unionByName(sub.join(lines.select(*line_keys, text_col), list(line_keys)))
     pattern = F.concat(F.lit("(?i)\\b"), _quote(F.col(name_col)), F.lit("\\b"))
     hits = cand.withColumn("_dm_pat", pattern).where(F.expr(f"`{text_col}` RLIKE _dm_pat"))
     hits = hits.withColumn("offset", F.expr(f"regexp_instr(`{text_col}`, _dm_pat)"))
     return hits.drop("_dm_pat", text_col)
 
 
-def substring_matches(lines: DataFrame, patterns: DataFrame, line_keys: list[str], text_col: str = "text",
-                      pattern_col: str = "pattern", q: int = 3, lower: bool = True) -> DataFrame:
-    """C9/C13 hits: one row per (line, pattern) where the text contains the pattern,
-    with the 1-based ``offset`` of the first occurrence."""
-    cand = substring_candidates(lines, patterns, line_keys, text_col, pattern_col, q, lower)
-    hits = cand.where(F.col("_sm_t").contains(F.col("_sm_p")))
-    return hits.withColumn("offset", F.expr("locate(_sm_p, _sm_t)")).drop("_sm_t", "_sm_p", text_col)
-
-
 def hit_list(hits: DataFrame, group_keys: list[str], name_col: str, order_cols: list[str],
              first_only: bool = False, sep: str = ", ", out_col: str = "matches") -> DataFrame:
     """Distinct names per group in (order_cols..., name) order (D10), joined by

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .dictionary import first_by_priority, substring_matches
+from .dictionary import bounded_broadcast, first_by_priority, substring_matches
 
 # Plan-variant phrases, tried in this order (case-insensitive).
 BENEFIT_PATTERNS = (
@@ -65,8 +65,8 @@ def group_rule_lookup(keys: DataFrame, id_cols: list[str], group_col: str, rules
     upper-cased id, 'contains' looks for the pattern inside it; the first rule
     by priority wins; no rule -> null label."""
     up = keys.select(*id_cols, F.upper(F.col(group_col)).alias("_gr_id"))
-    exact = (up.join(rules.where(F.col("kind") == "exact")
-                     .select("priority", F.upper("pattern").alias("_gr_id"), "label"), "_gr_id"))
+    exact = (up.join(bounded_broadcast(rules.where(F.col("kind") == "exact")
+                                       .select("priority", F.upper("pattern").alias("_gr_id"), "label")), "_gr_id"))
     contains = substring_matches(up, rules.where(F.col("kind") == "contains"), list(id_cols), "_gr_id",
                                  "pattern", lower=False)
     hits = exact.select(*id_cols, "priority", "label").unionByName(contains.select(*id_cols, "priority", "label"))

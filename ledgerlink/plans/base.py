@@ -9,10 +9,32 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table.  A file written as a single row group scans as one
+    task; when a scan yields fewer partitions than the cluster runs at once,
+    it is spread round-robin so the per-row work before the first shuffle
+    (parsing, explodes, regexes) uses every core.  At scale (many files and
+    row groups) this is a no-op; filters and column pruning still reach the
+    scan through the repartition."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
 
 
 def sql_pad6(expr: str) -> str:
     """DuckDB twin of keys.pad_bin for 6 characters."""
     return (f"(CASE WHEN length(CAST({expr} AS VARCHAR)) < 6 "
             f"THEN lpad(CAST({expr} AS VARCHAR), 6, '0') ELSE CAST({expr} AS VARCHAR) END)")
+
+
+def param_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A small caller-parameter table built JVM-side (inline literals): no
+    Python worker is started to scan it, and the planner knows its size."""
+    from pyspark.sql import functions as F
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

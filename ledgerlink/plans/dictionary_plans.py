@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.text import zero_for_slashed_o
 from ..operators import dictionary as DM
 from ..operators.ordered import merge_wrapped_lines
-from .base import table
+from .base import param_table, table
 
 WORD2 = r"^([A-Za-z]+ [A-Za-z]+)"
 WORD3 = r"^[A-Za-z]+ [A-Za-z]+ ([A-Za-z]+)"
@@ -79,7 +79,7 @@ def search_results(spark, sf_dir) -> DataFrame:
 
 def network_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = search_results(spark, sf_dir)
-    ind = spark.createDataFrame(INDICATORS, "priority int, indicator string, network string")
+    ind = param_table(spark, INDICATORS, ["priority", "indicator", "network"])
     combined = res.select("query_id", "pos", "link",
                           F.concat_ws(" ", "title", "link", "snippet").alias("text"))
     hits = DM.substring_matches(combined, ind, ["query_id", "pos", "link"], "text", "indicator")

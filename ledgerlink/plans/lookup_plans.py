@@ -18,7 +18,7 @@ from ..functions.text import file_name_from_url, prefix_when, url_type
 from ..operators.conform import conform as _conform
 from ..operators.dictionary import first_by_priority, substring_matches
 from ..operators.links import pick_document_link
-from .base import table
+from .base import param_table, table
 from .dictionary_plans import INDICATORS
 from .extract_plans import parse_records
 from .keys_plans import _keys
@@ -90,7 +90,7 @@ def plan_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
          .withColumn("doc_date", LK.extract_date(F.concat_ws(" ", "title", "snippet"))))
     named = r.where(F.col("plan_name") != LK.NOT_FOUND).withColumn("untrusted", ~F.col("trusted"))
     pick = first_by_priority(named, ["query_id"], ["untrusted", "pos"], ["plan_name", "pdf_link", "doc_date"])
-    ind = spark.createDataFrame(INDICATORS, "priority int, indicator string, network string")
+    ind = param_table(spark, INDICATORS, ["priority", "indicator", "network"])
     hits = substring_matches(r.select("query_id", "pos", "pdf_link", "doc_date",
                                       F.concat_ws(" ", "title", "link", "snippet").alias("text")),
                              ind, ["query_id", "pos", "pdf_link", "doc_date"], "text", "indicator")

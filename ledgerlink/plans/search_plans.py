@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import format_bin
 from ..operators import search as S
-from .base import sql_pad6, table
+from .base import param_table, sql_pad6, table
 from .lookup_plans import search_results
 
 PHRASES = ["Premium Benefits", "Tier ", "low deductible", "Retiree Members", "ref q"]
@@ -53,7 +53,7 @@ def known_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = c.select(format_bin("c_custkey").alias("code"),
                      F.concat(F.lit("Building nation "), F.col("c_nationkey").cast("string")).alias("label"))
     coded = S.known_code_lookup(keys, "bin", codes).withColumnRenamed("label", "code_label")
-    rules = spark.createDataFrame(GROUP_RULES, "priority int, pattern string, kind string, label string")
+    rules = param_table(spark, GROUP_RULES, ["priority", "pattern", "kind", "label"])
     out = S.group_rule_lookup(coded, ["row_id"], "grp", rules)
     return out.select("row_id", "bin", "grp", "code_label", F.col("label").alias("group_label"))
 
