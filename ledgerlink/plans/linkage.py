@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import format_bin, format_bpg
-from ..operators.cascade import attach_summary, cascade_join, match_summary, per_row_levels
+from ..operators.cascade import attach_summary, cascade_join, match_summary, per_row_levels, precomputed_levels
 from .base import sql_pad6, table
 
 
@@ -71,8 +71,30 @@ def cascade_level_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(F.col("right_id").isNotNull()).cast("long").alias("matched_rows"))
 
 
+def _with_precomputed(df: DataFrame) -> DataFrame:
+    """C4 inputs: one key column per level, null when a part is missing (D3)."""
+    def joined(*cols):
+        return F.when(F.greatest(*[F.col(c).isNull().cast("int") for c in cols]) == 0,
+                      F.concat_ws("_", *cols)) if len(cols) > 1 else F.col(cols[0])
+    return (df.withColumn("k_bpg", joined("bin", "pcn", "grp")).withColumn("k_bin_grp", joined("bin", "grp"))
+              .withColumn("k_grp", joined("grp")).withColumn("k_bin_pcn", joined("bin", "pcn"))
+              .withColumn("k_bin", joined("bin")))
+
+
+def cascade_precomputed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4: the same cascade driven by precomputed key columns (here they cannot
+    collide: BINs are digits and GRPs start with 'G'); equals cascade_match."""
+    left, right = cascade_inputs(spark, sf_dir)
+    cols = ("k_bpg", "k_bin_grp", "k_grp", "k_bin_pcn", "k_bin")
+    out = cascade_join(_with_precomputed(left), _with_precomputed(right),
+                       precomputed_levels(left_cols=cols), left_id="row_id")
+    return out.select("row_id", "bin", "pcn", "grp", "bpg", "right_id", "src",
+                      "bin_matched", "pcn_matched", "grp_matched", "matched_level")
+
+
 QUERIES = {
     "cascade_match": cascade_match,
+    "cascade_precomputed": cascade_precomputed,
     "cascade_summary": cascade_summary,
     "cascade_per_row": cascade_per_row,
     "cascade_level_counts": cascade_level_counts,
@@ -117,6 +139,7 @@ cm AS (
 
 SQL = {
     "cascade_match": _CTE + "SELECT * FROM cm",
+    "cascade_precomputed": _CTE + "SELECT * FROM cm",
     "cascade_summary": _CTE + """,
 s AS (
   SELECT bpg, count(*) AS match_count,

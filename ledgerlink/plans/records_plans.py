@@ -114,7 +114,21 @@ def running_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.running_first(_conv_records(spark, sf_dir), "document_name", ["processor", "payer"], seq_col="seq")
 
 
+# Fixed pattern choices for the carry-down query: a key is a run of 5-6
+# digits, a code is a capitalised word at the start of a line.
+KEY_REGEX = r"(\d{5,6})"
+CODE_REGEX = r"^([A-Z][a-z]+)"
+
+
+def bin_carry_down(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F9 over every document: lines below a key line carry that key; each
+    line with a code becomes a (key, code) row."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return O.carry_down(d, "doc_id", "text", KEY_REGEX, CODE_REGEX)
+
+
 QUERIES = {
+    "bin_carry_down": bin_carry_down,
     "explode_cells": explode_cells,
     "field_cleanup": field_cleanup,
     "gap_fill": gap_fill,
@@ -209,6 +223,20 @@ SELECT doc_id, string_agg(merged, chr(10) ORDER BY head) AS merged FROM m GROUP
 """
 
 SQL = {
+    "bin_carry_down": r"""
+WITH l AS (
+  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no,
+         unnest(string_split(text, chr(10))) AS line
+  FROM documents),
+k AS (
+  SELECT *, nullif(regexp_extract(line, '(\d{5,6})', 1), '') AS k,
+         nullif(regexp_extract(line, '^([A-Z][a-z]+)', 1), '') AS code
+  FROM l),
+c AS (
+  SELECT *, last_value(k IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no
+                                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS key
+  FROM k)
+SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, key, code FROM c WHERE code IS NOT NULL AND key IS NOT NULL""",
     "explode_cells": f"""
 WITH c AS (
   SELECT p_partkey AS seq,
