@@ -88,10 +88,15 @@ def word_matches(lines: DataFrame, names: DataFrame, line_keys: list[str], text_
     toks = lines.select(*line_keys, text_col, F.explode_outer(F.array_distinct(
         F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD_RUN), 0))).alias("_dm_key")) \
         .where(F.col("_dm_key").isNotNull())
-    cand = toks.join(bounded_broadcast(nm.where(F.col("_dm_key").isNotNull())), "_dm_key").drop("_dm_key")
-    no_tok = nm.where(F.col("_dm_key").isNull()).drop("_dm_key")
-    if no_tok.limit(1).count() > 0:
+    # one pass over the (dimension-sized) names: size for the broadcast bound
+    # and whether any name has no word token
+    stats = nm.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_dm_key").isNull()).alias("no_tok")).first()
+    with_tok = nm.where(F.col("_dm_key").isNotNull())
+    with_tok = F.broadcast(with_tok) if stats["n"] <= BROADCAST_ROWS else with_tok
+    cand = toks.join(with_tok, "_dm_key").drop("_dm_key")
+    if stats["no_tok"] > 0:
         # names without word characters: substring hits are the candidates
+        no_tok = nm.where(F.col("_dm_key").isNull()).drop("_dm_key")
         sub = substring_matches(lines, no_tok, line_keys, text_col, name_col).drop("offset")
         cand = cand.unionByName(sub.join(lines.select(*line_keys, text_col), list(line_keys)))
     pattern = F.concat(F.lit("(?i)\\b"), _quote(F.col(name_col)), F.lit("\\b"))
@@ -101,16 +106,19 @@ def word_matches(lines: DataFrame, names: DataFrame, line_keys: list[str], text_
 
 
 def hit_list(hits: DataFrame, group_keys: list[str], name_col: str, order_cols: list[str],
-             first_only: bool = False, sep: str = ", ", out_col: str = "matches") -> DataFrame:
+             first_only: bool = False, sep: str = ", ", out_col: str = "matches",
+             first_col: str | None = None) -> DataFrame:
     """Distinct names per group in (order_cols..., name) order (D10), joined by
-    ``sep``; ``first_only`` keeps the first.  Groups are pages: bounded lists."""
+    ``sep``; ``first_only`` keeps the first; ``first_col`` adds the first as
+    one more column.  Groups are pages: bounded lists."""
     per_name = hits.groupBy(*group_keys, name_col).agg(
         F.min(F.struct(*[F.col(c) for c in order_cols])).alias("_hl_o"))
     agg = per_name.groupBy(*group_keys).agg(
         F.array_sort(F.collect_list(F.struct(F.col("_hl_o"), F.col(name_col).alias("n")))).alias("_hl"))
     names = F.transform("_hl", lambda x: x["n"])
     val = F.element_at(names, 1) if first_only else F.array_join(names, sep)
-    return agg.select(*group_keys, val.alias(out_col))
+    extra = [F.element_at(names, 1).alias(first_col)] if first_col else []
+    return agg.select(*group_keys, val.alias(out_col), *extra)
 
 
 def first_by_priority(hits: DataFrame, group_keys: list[str], order_cols: list[str], value_cols: list[str]) -> DataFrame:

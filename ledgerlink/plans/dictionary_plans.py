@@ -50,14 +50,16 @@ def doc_lines(spark, sf_dir) -> DataFrame:
 def dictionary_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = doc_lines(spark, sf_dir)
     hits = DM.word_matches(lines, dictionaries(spark, sf_dir), ["doc_id", "line_no"], "line", "name")
+    # one hit list per (document, dictionary), folded into columns: the token
+    # join runs once for all three dictionaries
+    hl = DM.hit_list(hits, ["doc_id", "dict"], "name", ["line_no", "offset"], out_col="joined",
+                     first_col="first")
+    per_doc = hl.groupBy("doc_id").agg(
+        F.max(F.when(F.col("dict") == "processor", F.col("first"))).alias("matched_processor"),
+        F.max(F.when(F.col("dict") == "payer_parent", F.col("joined"))).alias("matched_payer_parents"),
+        F.max(F.when(F.col("dict") == "payer", F.col("joined"))).alias("matched_payers"))
     docs = table(spark, sf_dir, "documents").select("doc_id")
-    out = docs
-    for d, first, col in (("processor", True, "matched_processor"),
-                          ("payer_parent", False, "matched_payer_parents"),
-                          ("payer", False, "matched_payers")):
-        h = DM.hit_list(hits.where(F.col("dict") == d), ["doc_id"], "name", ["line_no", "offset"],
-                        first_only=first, out_col=col)
-        out = out.join(h, "doc_id", "left")
+    out = docs.join(per_doc, "doc_id", "left")
     return out.select("doc_id", *[F.coalesce(c, F.lit(DM.NOT_FOUND)).alias(c) for c in
                                   ("matched_processor", "matched_payer_parents", "matched_payers")])
 
