@@ -68,7 +68,11 @@ def pipe_answers(spark, sf_dir) -> DataFrame:
 
 
 def _pipe_rows(spark, sf_dir) -> DataFrame:
-    a = pipe_answers(spark, sf_dir).withColumn("rows", parse_pipe_table("raw", 5))
+    return _rows_of(pipe_answers(spark, sf_dir))
+
+
+def _rows_of(answers: DataFrame) -> DataFrame:
+    a = answers.withColumn("rows", parse_pipe_table("raw", 5))
     rows = (a.select("key_id", "doc_pos", "link", F.posexplode_outer("rows").alias("row_idx", "p"))
             .where(F.col("row_idx").isNotNull()))
     return rows.select("key_id", "doc_pos", "link", "row_idx",
@@ -83,10 +87,14 @@ def parse_pipe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_usable_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """per key, the lowest document position that gave any row, and all its
     rows; keys whose documents gave none get one 'no_document' row."""
-    rows = _pipe_rows(spark, sf_dir)
-    first = rows.groupBy("key_id").agg(F.min("doc_pos").alias("doc_pos"))
-    chosen = rows.join(first, ["key_id", "doc_pos"])
-    keys = pipe_answers(spark, sf_dir).select("key_id").distinct()
+    answers = pipe_answers(spark, sf_dir)
+    # an answer yields rows iff some line holds '|' (such a line always splits
+    # into >= 2 parts, and min_parts is 1): choose documents on that cheap
+    # test, then parse only the chosen answers
+    first = (answers.where(F.col("raw").contains("|"))
+             .groupBy("key_id").agg(F.min("doc_pos").alias("doc_pos")))
+    chosen = _rows_of(answers.join(first, ["key_id", "doc_pos"]))
+    keys = answers.select("key_id").distinct()
     missing = keys.join(first, "key_id", "left_anti").select(
         "key_id", F.lit(None).cast("int").alias("doc_pos"), F.lit(None).cast("string").alias("link"),
         F.lit(None).cast("int").alias("row_idx"),
