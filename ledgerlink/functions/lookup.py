@@ -97,15 +97,19 @@ def plan_name_from_title(title, vendor_keywords: list[tuple[str, str]] = ()) ->
     return F.coalesce(*cands, F.lit(NOT_FOUND))
 
 
-def normalize_channel(value, keywords: list[tuple[str, str]]) -> Column:
-    """B10 (substring mode): the first keyword (list order) contained in the
-    lower-cased, stripped value gives the canonical name; no hit returns the
-    value; empty or null returns ''."""
+def normalize_channel(value, keywords: list[tuple[str, str]], mode: str = "substring") -> Column:
+    """The first keyword (list order) found in the lower-cased, stripped
+    value gives the canonical name; no hit returns the value; empty or null
+    returns ''.  ``mode='substring'`` is the reference's rule (so 'group'
+    shadows 'small group' when listed first, D11); ``mode='word'`` needs the
+    keyword on word boundaries."""
+    import re
     v = _c(value)
     low = F.lower(strip(v))
     out = v
     for kw, canon in reversed(keywords):
-        out = F.when(low.contains(kw), F.lit(canon)).otherwise(out)
+        hit = low.contains(kw) if mode == "substring" else low.rlike(r"\b" + re.escape(kw.lower()) + r"\b")
+        out = F.when(hit, F.lit(canon)).otherwise(out)
     return F.when(v.isNull() | (strip(v) == ""), F.lit("")).otherwise(out)
 
 

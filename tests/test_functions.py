@@ -99,3 +99,12 @@ def test_page_number_and_grid(spark):
     assert one(spark, T.page_number_from_name, "doc.pdf") == -1
     df = spark.createDataFrame([("t", [["a", "b"], ["c", "d"]]), ("t2", [["x"]])], "text string, grid array<array<string>>")
     assert [r[0] for r in df.select(T.page_text("text", "grid")).collect()] == ["a | b\nc | d", "t2"]
+
+
+def test_normalize_channel_word_mode(spark):
+    kw = [("ppo", "PPO"), ("group", "Group")]
+    sub = lambda c: LK.normalize_channel(c, kw)
+    word = lambda c: LK.normalize_channel(c, kw, mode="word")
+    # Substring mode finds 'ppo' inside 'support'; word mode does not
+    assert one(spark, sub, "Support group") == "PPO"
+    assert one(spark, word, "Support group") == "Group"

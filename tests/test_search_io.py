@@ -119,3 +119,30 @@ def test_sources_roundtrip(spark):
     assert spark.read.parquet(os.path.join(base, "rep", "t2")).count() == 2
     prof = {r["column"]: r for r in IO.profile(lines).collect()}
     assert prof["line"]["non_null"] == 2
+
+
+def test_last_in_list_substring(spark):
+    """Plain substring, the last dictionary entry (list order) that occurs wins; blanks never match."""
+    from ledgerlink.operators.dictionary import last_in_list
+    pages = spark.createDataFrame([(1, "Acme and Beta plans"), (2, "nothing")], "page int, text string")
+    names = param_table(spark, [(1, "acme"), (2, ""), (3, "beta"), (4, "zed")], ["pos", "pattern"])
+    hits = substring_matches(pages, names, ["page"], "text", "pattern")
+    got = {r["page"]: r["payer"] for r in last_in_list(hits, ["page"], "pos", "pattern", "payer").collect()}
+    assert got == {1: "beta"}
+
+
+def test_split_list_drops_blanks(spark):
+    """An empty duplicate cell never becomes a key."""
+    from ledgerlink.operators.links import split_list
+    df = spark.createDataFrame([("a.pdf, b.pdf",), ("",), (None,)], "v string")
+    assert [r[0] for r in df.select(split_list("v")).collect()] == [["a.pdf", "b.pdf"], [], None]
+
+
+def test_fuzzy_null_name(spark):
+    """A null name gives a null match and a null score."""
+    from ledgerlink.operators.fuzzy import fuzzy_best
+    names = spark.createDataFrame([(1, "blue rod"), (2, None)], "seq int, plan_name string")
+    choices = spark.createDataFrame([(1, "Rod Blue"), (2, "red gear")], "seq int, plan string")
+    abbr = spark.createDataFrame([], "seq int, abbreviation string, full_form string")
+    got = {r["seq"]: (r["best_match"], r["match_score"]) for r in fuzzy_best(spark, names, choices, abbr).collect()}
+    assert got == {1: ("Rod Blue", 100.0), 2: (None, None)}
