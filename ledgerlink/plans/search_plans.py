@@ -19,7 +19,11 @@ from pyspark.sql import functions as F
 from ..functions.keys import format_bin
 from ..operators import search as S
 from .base import param_table, sql_pad6, table
-from .lookup_plans import search_results
+from ..functions import lookup as LK
+from ..operators.dictionary import first_by_priority, substring_matches
+from ..operators.links import pick_document_link
+from .lookup_plans import (_RESULTS, _TRUSTED, TRUSTED_DOMAINS, VENDOR_KEYWORDS, _date_sql, _title_sql,
+                           search_results)
 
 PHRASES = ["Premium Benefits", "Tier ", "low deductible", "Retiree Members", "ref q"]
 GROUP_RULES = [(1, "G7", "exact", "Seven"), (2, "G1", "contains", "One family"), (3, "99", "contains", "Nines")]
@@ -66,7 +70,74 @@ def top_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.top_n_per_group(first, "query_id", "pos", 3)
 
 
-QUERIES = {"plan_variants": plan_variants, "known_codes": known_codes, "top_links": top_links}
+# Invented parameter tables for bin_lookup: network indicators and the group
+# rules of its fallback step.
+BIN_INDICATORS = [(1, "example.com/fr", "French Com Network")]
+BIN_GROUP_RULES = [(1, "Q1", "contains", "Q-one group"), (2, "Q2", "exact", "Q-two plan")]
+
+
+def bin_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per key (one per query: BIN, PCN on even queries, group id), the BIN
+    network from the results (C13); when found, refined by the PCN benefit
+    variant (' - v') and then the group variant (' (g)'), each appended only
+    when found and different (D16).  Otherwise the known group rules (C12),
+    then the trusted-first plan name (F6), else 'Not Found'."""
+    nf = F.lit(LK.NOT_FOUND)
+    r = search_results(spark, sf_dir)
+    trusted = F.lit(False)
+    for dom in TRUSTED_DOMAINS:
+        trusted = trusted | F.lower("link").contains(dom)
+    k = (F.col("page_id") % 5).cast("int")
+    phrase = (F.when(k == 0, F.lit("Premium Benefits"))
+              .when(k == 1, F.concat(F.lit("Tier "), (F.col("page_id") % 4).cast("string")))
+              .when(k == 2, F.lit("low deductible"))
+              .when(k == 3, F.lit("Retiree Members"))
+              .otherwise(F.concat(F.lit("ref q"), F.col("query_id").cast("string"), F.lit("AB7"))))
+    r = (r.withColumn("trusted", trusted)
+         .withColumn("plan_name", LK.plan_name_from_title("title", VENDOR_KEYWORDS))
+         .withColumn("pdf_link", F.coalesce(pick_document_link("link", "sitelinks"), nf))
+         .withColumn("doc_date", LK.extract_date(F.concat_ws(" ", "title", "snippet")))
+         .withColumn("group_id", F.concat(F.lit("q"), F.col("query_id").cast("string")))
+         .withColumn("vtext", F.concat_ws(" ", "title", "snippet", phrase)))
+    keys = r.select("query_id").distinct().select(
+        "query_id", F.when(F.col("query_id") % 2 == 0, F.concat(F.lit("P"), F.col("query_id").cast("string")))
+        .alias("pcn"), F.concat(F.lit("q"), F.col("query_id").cast("string")).alias("grp"))
+    ind = param_table(spark, BIN_INDICATORS, ["priority", "indicator", "network"])
+    hits = substring_matches(r.select("query_id", "pos", "pdf_link", "doc_date",
+                                      F.concat_ws(" ", "title", "link", "snippet").alias("text")),
+                             ind, ["query_id", "pos", "pdf_link", "doc_date"], "text", "indicator")
+    net = first_by_priority(hits, ["query_id"], ["pos", "priority"], ["network", "pdf_link", "doc_date"]).select(
+        "query_id", F.col("network").alias("n_plan"), F.col("pdf_link").alias("n_link"),
+        F.col("doc_date").alias("n_date"))
+    ben = S.first_variant(r, "query_id", "pos", "vtext", S.BENEFIT_PATTERNS, out_col="ben")
+    gvar = S.first_variant(r, "query_id", "pos", "vtext", S.GROUP_PATTERNS, id_col="group_id", out_col="gv")
+    named = r.where(F.col("plan_name") != LK.NOT_FOUND).withColumn("untrusted", ~F.col("trusted"))
+    pick = first_by_priority(named, ["query_id"], ["untrusted", "pos"], ["plan_name", "pdf_link", "doc_date"]).select(
+        "query_id", F.col("plan_name").alias("p_plan"), F.col("pdf_link").alias("p_link"),
+        F.col("doc_date").alias("p_date"))
+    rules = param_table(spark, BIN_GROUP_RULES, ["priority", "pattern", "kind", "label"])
+    grules = S.group_rule_lookup(keys.select("query_id", "grp"), ["query_id"], "grp", rules).select("query_id", "label")
+    j = (keys.join(net, "query_id", "left").join(ben, "query_id", "left").join(gvar, "query_id", "left")
+         .join(pick, "query_id", "left").join(grules, "query_id", "left"))
+    found = lambda c: F.col(c).isNotNull() & (F.col(c) != LK.NOT_FOUND)
+    step1 = F.when(F.col("pcn").isNotNull() & found("ben") & (F.col("ben") != F.col("n_plan")),
+                   F.concat(F.col("n_plan"), F.lit(" - "), F.col("ben"))).otherwise(F.col("n_plan"))
+    j = j.withColumn("step1", step1)
+    step2 = F.when(F.col("grp").isNotNull() & found("gv") & (F.col("gv") != F.col("step1")),
+                   F.concat(F.col("step1"), F.lit(" ("), F.col("gv"), F.lit(")"))).otherwise(F.col("step1"))
+    has_net, has_rule, has_pick = F.col("n_plan").isNotNull(), F.col("label").isNotNull(), F.col("p_plan").isNotNull()
+    return j.select(
+        "query_id",
+        F.when(has_net, step2).when(has_rule, F.col("label")).when(has_pick, F.col("p_plan")).otherwise(nf)
+        .alias("plan_type"),
+        F.when(has_net, F.col("n_link")).when(has_rule, nf).when(has_pick, F.col("p_link")).otherwise(nf)
+        .alias("pdf_link"),
+        F.when(has_net, F.col("n_date")).when(has_rule, nf).when(has_pick, F.col("p_date")).otherwise(nf)
+        .alias("document_date"))
+
+
+QUERIES = {"plan_variants": plan_variants, "known_codes": known_codes, "top_links": top_links,
+           "bin_lookup": bin_lookup}
 
 
 def _first_pattern_sql(text: str, patterns, extra: str | None = None) -> str:
@@ -124,3 +195,62 @@ f AS (SELECT t.* FROM t JOIN (SELECT query_id, min(template_priority) AS mp FROM
 SELECT query_id, pos, link, template_priority FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY pos) AS rn FROM f) WHERE rn <= 3""",
 }
+
+_BIN_RULES = ", ".join(f"({p}, '{pat}', '{k}', '{lab}')" for p, pat, k, lab in BIN_GROUP_RULES)
+_BIN_IND = ", ".join(f"({p}, '{i}', '{n}')" for p, i, n in BIN_INDICATORS)
+
+SQL["bin_lookup"] = _RESULTS + f""",
+r AS (
+  SELECT *, ({_TRUSTED}) AS trusted, {_title_sql('title')} AS plan_name,
+         {_date_sql("concat_ws(' ', title, snippet)")} AS doc_date,
+         'q' || CAST(query_id AS VARCHAR) AS group_id,
+         concat_ws(' ', title, snippet,
+           CASE page_id % 5 WHEN 0 THEN 'Premium Benefits' WHEN 1 THEN 'Tier ' || CAST(page_id % 4 AS VARCHAR)
+                            WHEN 2 THEN 'low deductible' WHEN 3 THEN 'Retiree Members'
+                            ELSE 'ref q' || CAST(page_id // 10 AS VARCHAR) || 'AB7' END) AS vtext
+  FROM r1),
+keys AS (
+  SELECT DISTINCT query_id, CASE WHEN query_id % 2 = 0 THEN 'P' || CAST(query_id AS VARCHAR) END AS pcn,
+         'q' || CAST(query_id AS VARCHAR) AS grp
+  FROM r),
+ind AS (SELECT * FROM (VALUES {_BIN_IND}) v(priority, indicator, network)),
+hits AS (
+  SELECT r.query_id, r.pos, ind.priority, ind.network, r.pdf_link, r.doc_date
+  FROM r JOIN ind ON contains(lower(concat_ws(' ', r.title, r.link, r.snippet)), lower(ind.indicator))),
+net AS (SELECT query_id, arg_min((network, pdf_link, doc_date), (pos, priority)) AS n FROM hits GROUP BY query_id),
+v AS (
+  SELECT query_id, pos, {_first_pattern_sql('vtext', S.BENEFIT_PATTERNS)} AS bv,
+         {_first_pattern_sql('vtext', S.GROUP_PATTERNS, "'(?i)(' || group_id || '[A-Z]*\\d*)'")} AS gv
+  FROM r),
+ben AS (SELECT query_id, arg_min(bv, pos) AS ben FROM v WHERE bv IS NOT NULL GROUP BY query_id),
+gvs AS (SELECT query_id, arg_min(gv, pos) AS gv FROM v WHERE gv IS NOT NULL GROUP BY query_id),
+pick AS (
+  SELECT query_id, arg_min((plan_name, pdf_link, doc_date), (NOT trusted, pos)) AS p
+  FROM r WHERE plan_name <> 'Not Found' GROUP BY query_id),
+rules AS (SELECT * FROM (VALUES {_BIN_RULES}) v(priority, pattern, kind, label)),
+gr AS (
+  SELECT keys.query_id, arg_min(rules.label, rules.priority) AS label FROM keys JOIN rules
+    ON (rules.kind = 'exact' AND upper(keys.grp) = upper(rules.pattern))
+    OR (rules.kind = 'contains' AND contains(upper(keys.grp), rules.pattern))
+  GROUP BY keys.query_id),
+j AS (
+  SELECT keys.*, net.n, ben.ben, gvs.gv, pick.p, gr.label FROM keys
+  LEFT JOIN net ON keys.query_id = net.query_id LEFT JOIN ben ON keys.query_id = ben.query_id
+  LEFT JOIN gvs ON keys.query_id = gvs.query_id LEFT JOIN pick ON keys.query_id = pick.query_id
+  LEFT JOIN gr ON keys.query_id = gr.query_id),
+s1 AS (
+  SELECT *, CASE WHEN n IS NOT NULL AND pcn IS NOT NULL AND ben IS NOT NULL AND ben <> n[1]
+                 THEN n[1] || ' - ' || ben ELSE n[1] END AS step1
+  FROM j),
+s2 AS (
+  SELECT *, CASE WHEN step1 IS NOT NULL AND grp IS NOT NULL AND gv IS NOT NULL AND gv <> step1
+                 THEN step1 || ' (' || gv || ')' ELSE step1 END AS step2
+  FROM s1)
+SELECT query_id,
+       CASE WHEN n IS NOT NULL THEN step2 WHEN label IS NOT NULL THEN label
+            WHEN p IS NOT NULL THEN p[1] ELSE 'Not Found' END AS plan_type,
+       CASE WHEN n IS NOT NULL THEN n[2] WHEN label IS NOT NULL THEN 'Not Found'
+            WHEN p IS NOT NULL THEN p[2] ELSE 'Not Found' END AS pdf_link,
+       CASE WHEN n IS NOT NULL THEN n[3] WHEN label IS NOT NULL THEN 'Not Found'
+            WHEN p IS NOT NULL THEN p[3] ELSE 'Not Found' END AS document_date
+FROM s2"""
