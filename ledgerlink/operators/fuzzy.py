@@ -171,10 +171,15 @@ def score_parts(spark: SparkSession, parts: DataFrame, choices: DataFrame, k: in
         blk = choices if nblocks == 1 else choices.where(
             F.pmod(F.xxhash64("cleaned"), F.lit(nblocks)) == b)
         rows = blk.select("cleaned", "choice_pos").collect()  # <= max_broadcast rows, checked above
-        bc = spark.sparkContext.broadcast(([r["cleaned"] for r in rows], [r["choice_pos"] for r in rows]))
-
-        def run(it, bc=bc, k=k):
-            texts, pos = bc.value
+        payload = ([r["cleaned"] for r in rows], [r["choice_pos"] for r in rows])
+        try:
+            bc = spark.sparkContext.broadcast(payload)
+            get = (lambda bc=bc: bc.value)  # read on the executor
+        except Exception:  # noqa: BLE001  (no SparkContext, e.g. Spark Connect: ship with the function)
+            get = (lambda p=payload: p)
+
+        def run(it, get=get, k=k):
+            texts, pos = get()
             return top_k_for_parts(it, ChoiceBlock(texts, pos), k)
 
         res = distinct_parts.mapInPandas(run, schema)
