@@ -50,7 +50,12 @@ def parse_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = responses(spark, sf_dir).withColumn("recs", _parse("raw", RECORD_SCHEMA))
-    return r.where(F.col("recs").isNull()).select(
+    # the reject flag leaves through a generator (exactly one row per answer):
+    # a filter on a generator's output is not pushed below it, so the parse
+    # runs after the scan is spread instead of inside a single-split scan
+    flagged = r.select("document_name", "page_no",
+                       F.explode_outer(F.array(F.col("recs").isNull())).alias("_rejected"))
+    return flagged.where("_rejected").select(
         "document_name", "page_no", F.lit("unparseable answer").alias("reason"))
 
 
