@@ -20,7 +20,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
 
 # Python's str.strip() whitespace set, so stripping agrees with
 # the reference on every character.
