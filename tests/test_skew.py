@@ -70,3 +70,22 @@ def test_gap_fill_hot_group_blocked(skewed):
     blocked = {(r["seq"], r["bin"]) for r in O.gap_fill(df.withColumn("blk", (F.col("seq") / 64).cast("long")),
                                                          ["g"], "seq", block_col="blk").collect()}
     assert plain == blocked
+
+
+def test_word_matches_hot_token(skewed):
+    import re
+    from ledgerlink.operators.dictionary import word_matches
+    rng = random.Random(8)
+    words = ["alpha", "beta", "gamma", "delta", "care", "mark"]
+    lines = []
+    for i in range(1500):
+        toks = [rng.choice(words) for _ in range(rng.randint(1, 6))]
+        if i % 3 == 0:
+            toks.insert(rng.randint(0, len(toks)), "hot")
+        lines.append((i, " ".join(toks)))
+    names = ["hot", "beta gamma", "care-mark", "Delta", "hot alpha"]
+    l = skewed.createDataFrame(lines, "id long, line string").repartition(8)
+    n = skewed.createDataFrame([(x,) for x in names], "name string")
+    got = {(r["id"], r["name"]) for r in word_matches(l, n, ["id"], "line", "name").collect()}
+    want = {(i, x) for i, t in lines for x in names if re.search(r"(?i)\b" + re.escape(x) + r"\b", t)}
+    assert got == want
