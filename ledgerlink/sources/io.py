@@ -76,6 +76,16 @@ def load_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     return spark.createDataFrame([], schema)
 
 
+def load_first_existing(spark: SparkSession, paths: list[str], schema: T.StructType,
+                        fmt: str = "parquet") -> DataFrame:
+    """Previous output from the first location that exists (e.g. backup,
+    then report), else an empty frame with the declared schema."""
+    for path in paths:
+        if _exists(spark, path):
+            return spark.read.schema(schema).format(fmt).load(path)
+    return spark.createDataFrame([], schema)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: list[str] | None = None, header: bool = True) -> None:
     """A5/A4: one write per table; csv gets a header once per part file."""

@@ -146,3 +146,13 @@ def test_fuzzy_null_name(spark):
     abbr = spark.createDataFrame([], "seq int, abbreviation string, full_form string")
     got = {r["seq"]: (r["best_match"], r["match_score"]) for r in fuzzy_best(spark, names, choices, abbr).collect()}
     assert got == {1: ("Rod Blue", 100.0), 2: (None, None)}
+
+
+def test_load_first_existing(spark):
+    base = tempfile.mkdtemp(prefix="a7-", dir="/tmp")
+    report = os.path.join(base, "report")
+    IO.write_table(spark.createDataFrame([("h", "a.pdf")], IO.REGISTRY_SCHEMA), report)
+    got = IO.load_first_existing(spark, [os.path.join(base, "backup"), report], IO.REGISTRY_SCHEMA)
+    assert [tuple(r) for r in got.collect()] == [("h", "a.pdf")]
+    empty = IO.load_first_existing(spark, [os.path.join(base, "none")], IO.REGISTRY_SCHEMA)
+    assert empty.count() == 0
