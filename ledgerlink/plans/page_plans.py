@@ -68,7 +68,21 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doc_backfill(out, "document_name", DOC_FIELDS, page_col="page_no", seq_col="rec_idx")
 
 
-QUERIES = {"page_records": page_records}
+def page_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E8 for the page job: documents, pages read, pages whose answer was
+    rejected, and records produced, in one aggregate over the pages."""
+    pages = _pages(spark, sf_dir)
+    recs = page_records(spark, sf_dir).groupBy("document_name", "page_no").agg(
+        F.count(F.lit(1)).alias("n_recs"))
+    joined = pages.join(recs, ["document_name", "page_no"], "left")
+    return joined.agg(
+        F.count_distinct("document_name").alias("documents"),
+        F.count(F.lit(1)).alias("pages"),
+        F.count_if(F.col("role") == "system").cast("long").alias("rejected_pages"),
+        F.coalesce(F.sum("n_recs"), F.lit(0)).cast("long").alias("records"))
+
+
+QUERIES = {"page_records": page_records, "page_run_counters": page_run_counters}
 
 _W = r"[^\pL\p{Nd}_]"
 
@@ -172,3 +186,11 @@ FROM o
 WINDOW w AS (PARTITION BY document_name ORDER BY coalesce(page_no, 999), rec_idx
              ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
 }
+
+SQL["page_run_counters"] = r"""
+WITH pages AS (
+  SELECT 'conv_' || CAST(conv_id AS VARCHAR) AS document_name, role FROM conversations WHERE trim(text) <> '')
+SELECT CAST(count(DISTINCT document_name) AS BIGINT) AS documents, CAST(count(*) AS BIGINT) AS pages,
+       CAST(count(*) FILTER (WHERE role = 'system') AS BIGINT) AS rejected_pages,
+       CAST(count(*) FILTER (WHERE role <> 'system') AS BIGINT) AS records
+FROM pages"""
