@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerlink.session import ensure_checkpoint_dir, ship_package
 
 BATCH_BYTES = 16 << 20
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
