@@ -13,6 +13,8 @@ Linked lines make classes, and a line stays only at the first place (doc_id, lin
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,71 +23,63 @@ from pyspark.sql import functions as F
 
 from ledgerlink.llm.common import bounded_batches, keep, mixed, pieces, read, signed
 from ledgerlink.llm.graph import components
+from ledgerlink.llm.near_dedup import groups
 
 EDITS = 2
 MIN_CHARS = 20
 MOST_BROADCAST = 1_000_000
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
-
-
-def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+PART_LINES = 512
+_BASE = 0x9E3779B97F4A7C15
+_BACK = pow(_BASE, -1, 1 << 64)
+
+
+def places(edits: int) -> list[tuple[int, int, int, int]]:
+    """What a line gives: (gap, segment, shift, side).  Side 0 is the index, its own segments.  On side 1 it probes for
+    partners ``gap`` characters shorter, with the substring ``shift`` places behind that partner's segment."""
+    out = [(0, i, 0, 0) for i in range(edits + 1)]
+    for gap in range(edits + 1):
+        for i in range(edits + 1):
+            out += [(gap, i, shift, 1) for shift in range(max(-i, gap - (edits - i)), min(i, gap + edits - i) + 1)]
+    return out
 
 
-def segments(length: int, edits: int) -> list[tuple[int, int]]:
-    """Start and size of the edits + 1 segments: the last ones are one longer where the length doesn't divide."""
-    size, longer = divmod(length, edits + 1)
-    out, at = [], 0
-    for i in range(edits + 1):
-        n = size + (i >= edits + 1 - longer)
-        out.append((at, n))
-        at += n
-    return out
+def segment(length, i: int, edits: int):
+    """Start and size of segment i of lines as long as ``length`` (an int or an array)."""
+    size, longer = length // (edits + 1), length % (edits + 1)
+    over = i - (edits + 1 - longer)
+    return i * size + np.maximum(over, 0), size + (over >= 0)
 
 
-def probes(length: int, edits: int) -> list[tuple[int, int, int, int]]:
-    """(partner's length, segment, start, size) of the substrings with which a line probes for partners as long as it
-    is or shorter."""
-    out = []
-    for other in range(max(length - edits, edits + 1), length + 1):
-        gap = length - other
-        for i, (p, n) in enumerate(segments(other, edits)):
-            left, right = (p - i, p + i), (p + gap - (edits - i), p + gap + (edits - i))
-            for start in range(max(left[0], right[0], 0), min(left[1], right[1], length - n) + 1):
-                out.append((other, i, start, n))
-    return out
+@lru_cache(2)
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
 
 
 def signature_rows(edits: int):
-    """(sig, key, side) for the lines of a batch; side 0 is the index, 1 a probe."""
+    """(sig, key, code) for the lines of a batch; the code is twice the segment, and one more for a probe."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "line"):
             lines = piece.column("line").to_pylist()
             key = piece.column("key").to_numpy()
-            size = np.array([len(x) for x in lines], np.int64)
+            size = np.fromiter(map(len, lines), np.int64, len(lines))
             chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
             first = np.cumsum(size) - size
             # sums of character times base**place; a substring's hash is a difference moved back to place 0
-            sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(chars + np.uint64(1)) * powers(_BASE, len(chars)), dtype=np.uint64)])
-            back = powers(_BACK, len(chars) + 1)
-
-            sigs, keys, sides = [], [], []
-            order = np.argsort(size, kind="stable")
-            cuts = np.flatnonzero(np.diff(size[order])) + 1
-            for rows in np.split(order, cuts):  # the lines of one length have the same places
-                n = int(size[rows[0]])
-                plan = [(n, i, p, k, 0) for i, (p, k) in enumerate(segments(n, edits))] + [(*x, 1) for x in probes(n, edits)]
-                for other, i, p, k, side in plan:
-                    a = first[rows] + p
-                    sigs.append(mixed((sums[a + k] - sums[a]) * back[a] + np.uint64(other * 64 + i)))
-                    keys.append(key[rows])
-                    sides.append(np.full(len(rows), side, np.int8))
-            yield pa.RecordBatch.from_arrays([signed(np.concatenate(sigs)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(sides))], names=["sig", "key", "side"])
+            n = 1 << max(len(chars), 1 << 21).bit_length()
+            chars *= powers(_BASE, n)[: len(chars)]
+            sums = np.zeros(len(chars) + 1, np.uint64)
+            np.cumsum(chars, out=sums[1:])
+            back = powers(_BACK, n)
+            sigs, codes = [], []
+            for gap, i, shift, side in places(edits):
+                start, k = segment(size - gap, i, edits)
+                a = first + start + shift
+                sigs.append(mixed((sums[a + k] - sums[a]) * back[a] + ((size - gap) * 64 + i).astype(np.uint64)))
+                codes.append(np.full(len(size), 2 * i + side, np.int8))
+            yield pa.RecordBatch.from_arrays([signed(np.concatenate(sigs)), pa.array(np.tile(key, len(sigs))), pa.array(np.concatenate(codes))], names=["sig", "key", "code"])
 
     return run
 
@@ -129,20 +123,76 @@ def banded_distances(a: list[str], b: list[str], edits: int) -> np.ndarray:
     return out
 
 
+def first_segment(a: str, b: str, edits: int) -> int:
+    """The first segment of a that b holds at a probed place; a is no longer than b."""
+    gap = len(b) - len(a)
+    for i in range(edits + 1):
+        p, k = segment(len(a), i, edits)
+        part = a[p : p + k]
+        for shift in range(max(-i, gap - (edits - i)), min(i, gap + edits - i) + 1):
+            if b[p + shift : p + shift + k] == part:
+                return i
+    return -1
+
+
 def verified_links(edits: int):
+    """(a, b, n) from the lines that meet under a signature: links that join what is apart in the group (n = 0), and
+    for each line (a = b) how many links it has.  Two lines are compared under their first common segment alone, and
+    among a group's parts in one pair of parts alone, so a link counts once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "la"):
-            la, lb = piece.column("la").to_pylist(), piece.column("lb").to_pylist()
-            close = np.zeros(len(la), bool)
-            order = np.argsort([len(x) for x in la], kind="stable")
-            for a in range(0, len(order), 512):  # pairs of about the same length
-                some = order[a : a + 512]
-                close[some] = banded_distances([la[i] for i in some], [lb[i] for i in some], edits) <= edits
-            yield pa.RecordBatch.from_arrays([piece.column("a").filter(pa.array(close)), piece.column("b").filter(pa.array(close))], names=["a", "b"])
+        out: dict[tuple[int, int], int] = {}
+
+        def flush() -> pa.RecordBatch:
+            a, b, n = [x for x, _ in out], [y for _, y in out], list(out.values())
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], names=["a", "b", "n"])
+
+        for (_, i, j), t in groups(batches, ["sig", "i", "j"]):
+            key, code, own, lines = (t.column(c).to_pylist() for c in ("key", "code", "own", "line"))
+            top: dict[int, int] = {}
+
+            def root(x: int, top: dict[int, int] = top) -> int:
+                while top.get(x, x) != x:
+                    x = top[x]
+                return x
+
+            index = [x for x in range(len(key)) if code[x] % 2 == 0]
+            probing = [x for x in range(len(key)) if code[x] % 2]
+            parts = t.column("parts")[0].as_py()
+            # two lines of one part meet wherever it does: they are compared with the next part alone
+            home = [p for p in {i, j} if {i, j} == {p, (p + 1) % parts}]
+            todo = _pairs(index, probing, key, code, own, lines, home, edits)
+            while some := list(islice(todo, 2048)):
+                near = banded_distances([lines[x] for x, _ in some], [lines[y] for _, y in some], edits) <= edits
+                for (x, y), close in zip(some, near, strict=True):
+                    if close:
+                        a, b = min(key[x], key[y]), max(key[x], key[y])
+                        for one in (a, b):
+                            out[one, one] = out.get((one, one), 0) + 1
+                        if root(a) != root(b):
+                            top[root(b)] = root(a)
+                            out.setdefault((a, b), 0)
+            if len(out) > 20_000:
+                yield flush()
+        yield flush()
 
     return run
 
 
+def _pairs(index: list, probing: list, key: list, code: list, own: list, lines: list, home: list, edits: int) -> Iterator[tuple[int, int]]:
+    for x in index:
+        for y in probing:
+            if key[x] == key[y] or code[y] != code[x] + 1 or abs(len(lines[y]) - len(lines[x])) > edits:
+                continue
+            if len(lines[x]) == len(lines[y]) and key[x] > key[y]:
+                continue  # met the other way round
+            if own[x] == own[y] and own[x] not in home:
+                continue
+            if first_segment(lines[x], lines[y], edits) * 2 == code[x]:
+                yield x, y
+
+
 def long_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     key = F.xxhash64("line", F.lit(17))
     # split in a projection of its own: the optimizer would put it into a filter below the explode as well
@@ -156,21 +206,24 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def line_links(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(a, b): the keys (64-bit hashes) of every two different lines within ``edits``."""
-    bounded_batches(docs.sparkSession)
-    lines = long_lines(docs, max(min_chars, 2 * edits + 1)).select("key", "line")
-    signatures = lines.mapInArrow(signature_rows(edits), "sig long, key long, side byte")
-    met = signatures.groupBy("sig").agg(F.min("key").alias("k1"), F.max("key").alias("k2"), F.min("side").alias("s1"), F.max("side").alias("s2"))
+    """(a, b, n) over keys (64-bit hashes of lines): a < b with n = 0 are links that connect all that is within
+    ``edits``, by way of other links or at once; a = b gives the number of all links of a line."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    lines = long_lines(docs, max(min_chars, 6 * edits + 6)).select("key", "line")
+    signatures = lines.mapInArrow(signature_rows(edits), "sig long, key long, code byte")
+    odd = F.col("code") % 2
+    met = signatures.groupBy("sig").agg(F.min("key").alias("k1"), F.max("key").alias("k2"), F.min(odd).alias("s1"), F.max(odd).alias("s2"))
     met = keep(met.where("k1 <> k2 and s1 <> s2").select("sig"), "signatures")
     rows = keep(signatures.join(_small(met), "sig").distinct(), "meeting")
-    index = rows.where("side = 0").select("sig", F.col("key").alias("a"))
-    probing = rows.where("side = 1").select("sig", F.col("key").alias("b"))
-    pairs = index.join(probing, "sig").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = keep(pairs, "pairs")
-    wanted = _small(keep(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), "wanted"))
-    texts = keep(lines.join(wanted, "key").groupBy("key").agg(F.first("line").alias("line")), "texts")
-    both = pairs.join(texts.select(F.col("key").alias("a"), F.col("line").alias("la")), "a").join(texts.select(F.col("key").alias("b"), F.col("line").alias("lb")), "b")
-    return keep(both.mapInArrow(verified_links(edits), "a long, b long"), "line-links")
+    texts = lines.join(_small(keep(rows.select("key").distinct(), "wanted")), "key").groupBy("key").agg(F.first("line").alias("line"))
+    parts = rows.groupBy("sig").agg(F.ceil(F.count("*") / PART_LINES).cast("int").alias("parts"))
+    dealt = rows.join(parts, "sig").withColumn("own", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("parts = 1 or own <> other")
+    dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).join(texts, "key")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.select("sig", "i", "j", "key", "code", "own", "parts", "line").repartition(n, "sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    return keep(dealt.mapInArrow(verified_links(edits), "a long, b long, n long"), "line-links")
 
 
 def _first(*columns: str) -> Column:
@@ -181,8 +234,8 @@ def line_places(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     """Per different long line: key, class (smallest key of its class), place (its first), class_place, links."""
     links = line_links(docs, edits, min_chars)
     places = keep(long_lines(docs, min_chars).groupBy("key").agg(_first("doc_id", "doc", "at").alias("place")), "places")
-    labels = components(links).select(F.col("node").alias("key"), F.col("label").alias("class"))
-    degree = links.select(F.col("a").alias("key")).union(links.select("b")).groupBy("key").agg(F.count("*").alias("links"))
+    labels = components(links.where("a <> b")).select(F.col("node").alias("key"), F.col("label").alias("class"))
+    degree = links.where("a = b").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("links"))
     linked = keep(labels.join(degree, "key").join(places, "key"), "linked")
     firsts = linked.groupBy("class").agg(F.min("place").alias("class_place"))
     linked = linked.join(firsts, "class").select("key", "class", "class_place", "links")
