@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ledgerlink.llm.common import bounded_batches, coded, keep, pieces, word_lists
 
-BLOCK_IDS = 4096
+BLOCK_IDS = 1024
 CHUNK_IDS = 1 << 17
 MAGIC = b"S8B1"
 # Ids per word and bits per id, by selector.
@@ -62,12 +62,17 @@ def encode(ids: np.ndarray) -> bytes:
         run_ends = np.append(left[breaks], left[-1]) + 1
         until = np.repeat(run_ends, np.diff(breaks, prepend=-1, append=len(left) - 1))
         choice[left[until >= np.minimum(left + int(COUNTS[k]), end[left])]] = k
-    after = np.minimum(at + COUNTS[choice], end).tolist()
-    starts, i = [], 0
-    while i < n:
-        starts.append(i)
-        i = after[i]
-    start = np.array(starts, np.int64)
+    after = np.append(np.minimum(at + COUNTS[choice].astype(np.int32), end), n).astype(np.int32)
+    # from word to word, in all blocks at once; n stands for a block that is done
+    block = np.arange(0, n, BLOCK_IDS, dtype=np.int32)
+    until = np.minimum(block + BLOCK_IDS, n)
+    steps = [block]
+    while (block < n).any():
+        block = after[block]
+        block = np.where(block >= until, np.int32(n), block)
+        steps.append(block)
+    start = np.stack(steps, axis=1).ravel() if n else np.zeros(0, np.int32)
+    start = start[start < n].astype(np.int64)
     chosen = choice[start].astype(np.int64)
     words = np.zeros(len(start), np.uint64)
     escapes = ids[start[chosen == 0]]
