@@ -9,29 +9,30 @@ from ledgerlink.llm.common import keep
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, label) for every node of ``links`` (long columns a, b): label is the smallest node reachable.
+    """(node, label) for every node of ``links`` (long columns a, b); nodes of one component, and only they, have the
+    same label, a 64-bit number.
 
-    Each round gives every node its smallest neighbour (a forest that leads downwards), follows that twice, and keeps
-    only the links between different labels; the number of links at least halves where any are left, so a chain of n
-    nodes takes about log2(n) rounds.  Each round's tables are written to the shared folder, so the plan stays short
-    and a lost executor costs one round's tasks.  Nothing but one row count a round reaches the driver."""
-    links = keep(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "links")
-    labels = None
-    while links.limit(1).count():
-        both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        down = keep(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("up")), "forest")
-        for _ in range(2):
-            higher = down.select(F.col("node").alias("up"), F.col("up").alias("top"))
-            down = down.join(higher, "up").select("node", F.col("top").alias("up"))
-        down = keep(down, "forest")
-        if labels is None:
-            labels = down.select("node", F.col("up").alias("label"))
-        else:
-            labels = labels.join(down.select(F.col("node").alias("label"), "up"), "label", "left").select("node", F.coalesce("up", "label").alias("label"))
-        labels = keep(labels, "labels")
-        to_a, to_b = down.select(F.col("node").alias("a"), F.col("up").alias("la")), down.select(F.col("node").alias("b"), F.col("up").alias("lb"))
-        moved = links.join(to_a, "a").join(to_b, "b").where("la <> lb")
-        links = keep(moved.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct(), "links")
-    if labels is None:
+    Each round renames the nodes by a hash, sends each to the smallest of itself and its neighbours and from there
+    once more, and keeps the links that still join different names.  In hashed order no chain is long in a falling
+    row, so each round is expected to leave a fixed share of the names at most, whatever the shape.  Each round's
+    tables are written to the shared folder: the plan stays short, and a lost executor costs one round's tasks.
+    Nothing but whether links are left reaches the driver."""
+    links = keep(links.select("a", "b").where("a <> b").distinct(), "links")
+    if links.isEmpty():
         return links.select(F.col("a").alias("node"), F.col("a").alias("label"))
+    nodes = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    labels = nodes.withColumn("label", F.col("node"))
+    turn = 0
+    while not links.isEmpty():
+        turn += 1
+        named = links.select(F.xxhash64("a", F.lit(turn)).alias("a"), F.xxhash64("b", F.lit(turn)).alias("b"))
+        both = named.union(named.select("b", "a"))
+        up = keep(both.groupBy("a").agg(F.least("a", F.min("b")).alias("up")), "forest")
+        higher = up.select(F.col("a").alias("up"), F.col("up").alias("top"))
+        top = keep(up.join(higher, "up").select(F.col("a").alias("name"), "top"), "forest")
+        renamed = labels.select("node", F.xxhash64("label", F.lit(turn)).alias("name"))
+        labels = keep(renamed.join(top, "name", "left").select("node", F.coalesce("top", "name").alias("label")), "labels")
+        of_a, of_b = top.select(F.col("name").alias("a"), F.col("top").alias("ta")), top.select(F.col("name").alias("b"), F.col("top").alias("tb"))
+        moved = named.join(of_a, "a").join(of_b, "b").where("ta <> tb")
+        links = keep(moved.select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct(), "links")
     return labels

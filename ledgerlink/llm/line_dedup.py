@@ -231,7 +231,7 @@ def _first(*columns: str) -> Column:
 
 
 def line_places(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Per different long line: key, class (smallest key of its class), place (its first), class_place, links."""
+    """Per different long line: key, class (a number), place (its first), class_place (its class's first), links."""
     links = line_links(docs, edits, min_chars)
     places = keep(long_lines(docs, min_chars).groupBy("key").agg(_first("doc_id", "doc", "at").alias("place")), "places")
     labels = components(links.where("a <> b")).select(F.col("node").alias("key"), F.col("label").alias("class"))
