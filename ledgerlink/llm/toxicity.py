@@ -7,7 +7,8 @@ letters, each hashed into 2**18 numbers; a term counts once.  The score is the l
 
 over the document's terms, so pairs of terms add what the weights of each alone do not say.  Weights are learned on a
 bounded sample of the labelled rows (``most_labelled``, chosen by a hash of the doc_id); only terms whose likelihood
-ratio against the label passes a Bonferroni bound at 0.05 get weights, the others stay at zero.
+ratio against the label passes a Bonferroni bound at 0.05 get weights, MOST_TERMS of the most telling at most; the
+others stay at zero.
 """
 
 from __future__ import annotations
@@ -27,10 +28,11 @@ TERM_BITS = 18
 PREFIXES = (4, 5, 6)
 FACTORS = 4
 MOST_LABELLED = 20_000
+MOST_TERMS = 4_096
 
 
-def document_terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(row, term) for each distinct hashed term of each text."""
+def document_terms(texts: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, term) for each distinct hashed term of each text; with ``wanted``, a flag for each term, only those."""
     words, counts = word_lists(texts)
     code, distinct = coded(words)
     plain = pc.utf8_trim(pc.utf8_lower(pa.array(distinct, pa.string())), ".,;:!?\"'()[]{}<>|*_-#/\\`~").to_pylist()
@@ -39,6 +41,10 @@ def document_terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     term = (np.stack(of, axis=1) >> np.uint64(64 - TERM_BITS)).astype(np.int64)
     term[[not w for w in plain]] = -1
     row = np.repeat(np.arange(len(counts)), counts)
+    if wanted is not None:
+        term[~wanted[term]] = -1
+        some = (term >= 0).any(axis=1)[code]
+        row, code = row[some], code[some]
     key = (row[:, None] << TERM_BITS) + term[code]
     key = np.unique(key[term[code] >= 0])
     return key >> TERM_BITS, key & ((1 << TERM_BITS) - 1)
@@ -102,38 +108,43 @@ def learn(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED
     share = min(1.0, most_labelled / max(total, 1))
     draw = (F.xxhash64("doc_id", F.lit("toxicity")).bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)) < share
     sample = docs.select("doc_id", "text").where("text is not null").join(labels.where(draw), "doc_id")
-    sample = sample.select(F.xxhash64("doc_id", "text").alias("key"), "text", "toxic")
+    # equal texts are one example, so a large group of copies doesn't weigh as many
+    sample = sample.select(F.xxhash64("text").alias("key"), "text", "toxic")
     sample = sample.groupBy("key").agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
     found = sample.mapInArrow(term_rows, "key long, term int, toxic int")
-    counts = found.groupBy("term").agg(F.count("*").alias("n"), F.sum("toxic").alias("k")).toPandas()
+    counts = found.groupBy("term").agg(F.count("*").alias("n"), F.sum("toxic").alias("k")).toPandas().sort_values("term")
     sizes = sample.agg(F.count("*"), F.sum("toxic")).first()
     n_all, k_all = int(sizes[0]), int(sizes[1] or 0)
     chosen = _telling(counts["n"].to_numpy(float), counts["k"].to_numpy(float), n_all, k_all)
-    terms = counts["term"].to_numpy()[chosen]
+    terms = np.sort(counts["term"].to_numpy()[chosen])
     spark = docs.sparkSession
     wanted = spark.createDataFrame([(int(x),) for x in terms], "term int")
     # rows without chosen terms are alike but for the label, and only counted
     rows = found.join(F.broadcast(wanted), "term").select("key", "term", "toxic").toPandas()
+    rows = rows.sort_values(["key", "term"])
     keys, row = np.unique(rows["key"].to_numpy(), return_inverse=True)
     label = np.zeros(len(keys))
     label[row] = rows["toxic"].to_numpy()
     bare_toxic = int(k_all - label.sum())
     bare = n_all - len(keys)
     label = np.concatenate([label, np.ones(bare_toxic), np.zeros(max(bare - bare_toxic, 0))])
-    return fit(row, rows["term"].to_numpy(), label)
+    term = rows["term"].to_numpy()
+    del rows, counts
+    return fit(row, term, label)
 
 
 def _telling(n: np.ndarray, k: np.ndarray, n_all: int, k_all: int) -> np.ndarray:
-    """Which terms' likelihood ratio against the label passes 2 ln(terms / 0.05)."""
+    """The terms whose likelihood ratio against the label passes 2 ln(terms / 0.05), the most telling MOST_TERMS."""
     def part(x, expected):
         return np.where(x > 0, x * np.log(np.maximum(x, 1e-12) / np.maximum(expected, 1e-12)), 0)
 
     if not len(n) or not n_all:
-        return np.zeros(len(n), bool)
+        return np.zeros(0, np.int64)
     share = k_all / n_all
     cells = ((k, n * share), (n - k, n * (1 - share)), (k_all - k, (n_all - n) * share), (n_all - n - k_all + k, (n_all - n) * (1 - share)))
     ratio = 2 * sum(part(x, e) for x, e in cells)
-    return ratio > 2 * np.log(len(n) / 0.05)
+    best = np.argsort(-ratio, kind="stable")[:MOST_TERMS]
+    return best[ratio[best] > 2 * np.log(len(n) / 0.05)]
 
 
 def scored(docs: DataFrame, machine: Machine) -> DataFrame:
@@ -145,7 +156,7 @@ def scored(docs: DataFrame, machine: Machine) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for piece in pieces(batches):
-            row, term = document_terms(piece.column("text"))
+            row, term = document_terms(piece.column("text"), model.place >= 0)
             score = pa.array(model.scores(row, term, piece.num_rows), pa.float64())
             yield pa.RecordBatch.from_arrays([*piece.columns, score], names=[*piece.schema.names, "score"])
 
