@@ -91,6 +91,8 @@ def learn(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Trees:
 
 
 def build(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Trees:
+    if not languages:
+        return Trees([], np.zeros(256, np.uint8), np.zeros(1, np.int32), np.zeros((0, 1), np.float32), 1)
     size = np.zeros(len(gram), np.int64)
     for k in range(1, ORDER + 2):
         size += gram >= 1 << 8 * k

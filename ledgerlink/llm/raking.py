@@ -26,6 +26,8 @@ TARGETS: Targets = {
     "topic": {"prose": 0.95, "*": 0.05},
 }
 SEED = 11
+#: A cell's weight is at most this many times the mean: a target that few tokens must meet does not empty the rest.
+MOST_WEIGHT = 8.0
 
 
 def topic(text: Column) -> Column:
@@ -42,7 +44,7 @@ def rake(cells: np.ndarray, totals: np.ndarray, targets: list[np.ndarray], round
     """Weights for cells (rows of value numbers, one column a dimension) that give their totals the target shares.
 
     Targets of values without tokens are spread over the others of their dimension.  Where the cells can't meet all
-    targets at once, the weights are those after the last round."""
+    targets at once, or not with weights of MOST_WEIGHT at most, the weights are those after the last round."""
     share = totals / max(totals.sum(), 1)
     goals = []
     for d, t in enumerate(targets):
@@ -54,7 +56,7 @@ def rake(cells: np.ndarray, totals: np.ndarray, targets: list[np.ndarray], round
         for d, goal in enumerate(goals):
             now = np.bincount(cells[:, d], share * weights, len(goal))
             off = max(off, float(np.abs(now - goal).max(initial=0)))
-            weights = weights * (goal / np.where(now > 0, now, 1))[cells[:, d]]
+            weights = np.minimum(weights * (goal / np.where(now > 0, now, 1))[cells[:, d]], MOST_WEIGHT)
         if off < close:
             break
     return weights

@@ -73,7 +73,7 @@ def fit(row: np.ndarray, term: np.ndarray, label: np.ndarray, rounds: int = 600,
     place = np.full(1 << TERM_BITS, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
     at, n = place[term], len(label)
-    rate_of = (label.sum() + 0.5) / (n + 1)
+    rate_of = (label.sum() + 0.5) / (n + 2)
     rng = np.random.default_rng(seed)
     p = {"b": np.array([np.log(rate_of / (1 - rate_of))]), "w": np.zeros(len(chosen)), "v": rng.normal(0, 0.01, (len(chosen), FACTORS))}
     m, s = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}
