@@ -162,7 +162,3 @@ def page_text(text, grid) -> Column:
     """The grid text when the grid has more than one row, else the page text."""
     return F.when(F.coalesce(F.size(_c(grid)), F.lit(0)) > 1, grid_text(grid)).otherwise(_c(text))
 
-
-def truncate(c, n: int = 6000) -> Column:
-    """First ``n`` characters."""
-    return F.substring(_c(c), 1, n)

@@ -99,7 +99,7 @@ def word_matches(lines: DataFrame, names: DataFrame, line_keys: list[str], text_
         no_tok = nm.where(F.col("_dm_key").isNull()).drop("_dm_key")
         sub = substring_matches(lines, no_tok, line_keys, text_col, name_col).drop("offset")
         cand = cand.unionByName(sub.join(lines.select(*line_keys, text_col), list(line_keys)))
-    pattern = F.concat(F.lit("(?i)\\b"), _quote(F.col(name_col)), F.lit("\\b"))
+    pattern = F.concat(F.lit("(?iuU)\\b"), _quote(F.col(name_col)), F.lit("\\b"))
     hits = cand.withColumn("_dm_pat", pattern).where(F.expr(f"`{text_col}` RLIKE _dm_pat"))
     hits = hits.withColumn("offset", F.expr(f"regexp_instr(`{text_col}`, _dm_pat)"))
     return hits.drop("_dm_pat", text_col)

@@ -38,14 +38,15 @@ def _first_non_empty(value: str, order: list[Column]) -> Column:
 
 
 def doc_backfill(df: DataFrame, doc_col: str, fields: list[str], page_col: str | None = "page_no",
-                 seq_col: str = "seq", missing_page: int = 999) -> DataFrame:
+                 seq_col: str = "seq") -> DataFrame:
     """F1 (``page_col`` given) / F2 (``page_col=None``: arrival order).
 
     Per document and field: the first non-empty value (emptiness tested before
     stripping, so ' ' can win and yields ''), stripped, written to every row;
     '' when the document has none.  Rows without a document are dropped.
     """
-    order = ([F.coalesce(F.col(page_col), F.lit(missing_page)).alias("p")] if page_col else []) \
+    # rows without a page number come after all pages
+    order = ([F.col(page_col).isNull().alias("n"), F.col(page_col).alias("p")] if page_col else []) \
         + [F.col(seq_col).alias("s")]
     rows = df.where(F.col(doc_col).isNotNull())
     firsts = rows.groupBy(doc_col).agg(*[_first_non_empty(f, order).alias(f"_bf_{f}") for f in fields])

@@ -9,23 +9,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table.  A file written as a single row group scans as one
-    task; when a scan yields fewer partitions than the cluster runs at once,
-    it is spread round-robin so the per-row work before the first shuffle
-    (parsing, explodes, regexes) uses every core.  At scale (many files and
-    row groups) this is a no-op; filters and column pruning still reach the
-    scan through the repartition."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (e.g. a Spark Connect session: no RDD view)
-        return df
-    return df.repartition(want) if have < want else df
+    """One driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def sql_pad6(expr: str) -> str:

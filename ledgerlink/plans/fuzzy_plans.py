@@ -25,9 +25,9 @@ def fuzzy_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     name = F.col("p_name")
     first_space = F.instr(name, " ")
     noisy = (F.when(F.col("p_size") % 4 == 0, F.array_join(F.reverse(F.split(name, " ")), " "))
-             .when(F.col("p_size") % 4 == 1, F.concat(F.substring(name, 1, 1), F.substring(name, 3, 1000)))
+             .when(F.col("p_size") % 4 == 1, F.concat(F.substring(name, 1, 1), F.substr(name, F.lit(3))))
              .when(F.col("p_size") % 4 == 2, F.concat(name, F.lit(" / "), F.col("p_brand")))
-             .otherwise(F.concat(F.substring(name, 1, 2), F.substring(name, first_space, 1000))))
+             .otherwise(F.concat(F.substring(name, 1, 2), F.substr(name, first_space))))
     names = p.select(F.col("p_partkey").alias("seq"), noisy.alias("plan_name"))
     choices = p.select(F.col("p_partkey").alias("seq"), F.col("p_name").alias("plan"))
     words = p.select("p_partkey", F.explode(F.split(name, " ")).alias("w")).where(F.col("w") != "")

@@ -48,15 +48,20 @@ def page_matches(spark: SparkSession, sf_dir: str, pages: DataFrame) -> DataFram
         F.max(F.when(F.col("dict") == "payer", F.col("joined"))).alias("matched_payers"))
 
 
-def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _pages(spark, sf_dir)
+def page_answers(pages: DataFrame) -> DataFrame:
+    """One parsed answer for each page; null where it is no record list."""
     word = F.regexp_extract("text", r"^([A-Za-z]+)", 1)
     date = F.when(F.col("page_no") == 2, F.lit("January 1, 2024")).otherwise(F.lit(""))
     raw = F.when(F.col("role") == "system", F.lit("No records on this page.")).otherwise(F.concat(
         F.lit('```json\n[{"payer_name": "'), word, F.lit('", "plan_name": "'), F.col("role"),
         F.lit('", "effective_date": "'), date, F.lit('"}]\n```')))
     answers = pages.select("document_name", "page_no", raw.alias("raw"))
-    recs = (answers.withColumn("recs", parse_records("raw", PAGE_SCHEMA))
+    return answers.withColumn("recs", parse_records("raw", PAGE_SCHEMA))
+
+
+def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _pages(spark, sf_dir)
+    recs = (page_answers(pages)
             .select("document_name", "page_no", F.posexplode_outer("recs").alias("rec_idx", "rec"))
             .where(F.col("rec_idx").isNotNull())
             .select("document_name", "page_no", "rec_idx", "rec.payer_name", "rec.plan_name", "rec.effective_date"))
@@ -71,15 +76,12 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E8 for the page job: documents, pages read, pages whose answer was
     rejected, and records produced, in one aggregate over the pages."""
-    pages = _pages(spark, sf_dir)
-    recs = page_records(spark, sf_dir).groupBy("document_name", "page_no").agg(
-        F.count(F.lit(1)).alias("n_recs"))
-    joined = pages.join(recs, ["document_name", "page_no"], "left")
-    return joined.agg(
+    answers = page_answers(_pages(spark, sf_dir))
+    return answers.agg(
         F.count_distinct("document_name").alias("documents"),
         F.count(F.lit(1)).alias("pages"),
-        F.count_if(F.col("role") == "system").cast("long").alias("rejected_pages"),
-        F.coalesce(F.sum("n_recs"), F.lit(0)).cast("long").alias("records"))
+        F.count_if(F.col("recs").isNull()).cast("long").alias("rejected_pages"),
+        F.coalesce(F.sum(F.when(F.col("recs").isNotNull(), F.size("recs"))), F.lit(0)).cast("long").alias("records"))
 
 
 QUERIES = {"page_records": page_records, "page_run_counters": page_run_counters}
@@ -183,14 +185,20 @@ SELECT document_name, page_no, rec_idx,
                                '^\s+|\s+$', '', 'g'), '') AS effective_date,
        matched_processor, matched_payer_parents, matched_payers
 FROM o
-WINDOW w AS (PARTITION BY document_name ORDER BY coalesce(page_no, 999), rec_idx
+WINDOW w AS (PARTITION BY document_name ORDER BY page_no NULLS LAST, rec_idx
              ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
 }
 
+# the answers as in page_records, parsed or not
+_PARSED = SQL["page_records"]
+_PARSED = _PARSED[_PARSED.index("ans AS ("):_PARSED.index("recs AS (")].rstrip().rstrip(",")
 SQL["page_run_counters"] = r"""
 WITH pages AS (
-  SELECT 'conv_' || CAST(conv_id AS VARCHAR) AS document_name, role FROM conversations WHERE trim(text) <> '')
+  SELECT 'conv_' || CAST(conv_id AS VARCHAR) AS document_name, CAST(turn + 1 AS INTEGER) AS page_no, role,
+         replace(text, 'Ø', '0') AS text
+  FROM conversations WHERE trim(text) <> ''),
+""" + _PARSED + r"""
 SELECT CAST(count(DISTINCT document_name) AS BIGINT) AS documents, CAST(count(*) AS BIGINT) AS pages,
-       CAST(count(*) FILTER (WHERE role = 'system') AS BIGINT) AS rejected_pages,
-       CAST(count(*) FILTER (WHERE role <> 'system') AS BIGINT) AS records
-FROM pages"""
+       CAST(count(*) FILTER (WHERE recs IS NULL) AS BIGINT) AS rejected_pages,
+       CAST(coalesce(sum(len(recs)), 0) AS BIGINT) AS records
+FROM p"""

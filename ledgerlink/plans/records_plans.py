@@ -266,7 +266,7 @@ ratio AS (SELECT count(*) FILTER (WHERE starts_with(name, 'Customer')) * 1.0 / c
 SELECT CASE WHEN (SELECT r FROM ratio) > 0.8 THEN regexp_replace(name, '^Customer\s*', '') ELSE name END AS name
 FROM n""",
     "wrapped_lines": _WRAPPED,
-    "doc_backfill": _backfill_sql("coalesce(page_no, 999), seq"),
+    "doc_backfill": _backfill_sql("page_no NULLS LAST, seq"),
     "backfill_arrival": _backfill_sql("seq"),
     "running_first": _running_sql(),
 }

@@ -5,7 +5,7 @@ plan_variants: per query (pages as results), the first benefit-variant and
   'q<query_id>'.  Each result's text is its title and snippet plus a phrase
   chosen by page_id mod 5.
 known_codes: every order's key (BIN = padded customer key, GRP = 'G' ||
-  order key) looked up in a code table derived from the BUILDING customers and
+  order key) looked up in a code table derived from the customers and
   in an invented group-rule table.
 top_links: per query, the results of the first template that returned any
   (template 1 = PDF links, 2 = the rest), at most 3 by position.
@@ -53,7 +53,7 @@ def known_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     keys = o.select(F.col("o_orderkey").alias("row_id"), format_bin("o_custkey").alias("bin"),
                     F.concat(F.lit("G"), F.col("o_orderkey").cast("string")).alias("grp"))
-    c = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "BUILDING")
+    c = table(spark, sf_dir, "customer")
     codes = c.select(format_bin("c_custkey").alias("code"),
                      F.concat(F.lit("Building nation "), F.col("c_nationkey").cast("string")).alias("label"))
     coded = S.known_code_lookup(keys, "bin", codes).withColumnRenamed("label", "code_label")
@@ -179,7 +179,7 @@ WITH k AS (
   SELECT o_orderkey AS row_id, {sql_pad6('o_custkey')} AS bin, 'G' || CAST(o_orderkey AS VARCHAR) AS grp FROM orders),
 codes AS (
   SELECT {sql_pad6('c_custkey')} AS code, min('Building nation ' || CAST(c_nationkey AS VARCHAR)) AS label
-  FROM customer WHERE c_mktsegment = 'BUILDING' GROUP BY 1),
+  FROM customer GROUP BY 1),
 rules AS (SELECT * FROM (VALUES {_RULES}) v(priority, pattern, kind, label)),
 hits AS (
   SELECT k.row_id, rules.priority, rules.label FROM k JOIN rules

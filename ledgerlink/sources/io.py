@@ -7,7 +7,7 @@ so a re-run after a lost executor or a failed job leaves a complete table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,13 +42,16 @@ def scan_files(spark: SparkSession, folder: str, ext: str = "pdf", recursive: bo
 def scan_lines(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
     """A2: lines of a text file in a given encoding, with a stable line number.
 
-    ``text`` ignores the encoding, so the csv reader is used with a separator
-    and quote that never occur.  Line numbers come from ``zipWithIndex`` (one
-    extra job, no single-partition shuffle)."""
-    raw = (spark.read.option("encoding", encoding).option("sep", "\u0001").option("quote", "")
-           .option("header", "false").schema("line string").csv(path))
-    indexed = raw.rdd.zipWithIndex().map(lambda t: (t[1] + 1, t[0][0]))
-    return spark.createDataFrame(indexed, "line_no long, line string")
+    ``text`` keeps blank lines and the bytes as they are; they are decoded
+    afterwards.  A line's number is its place within its block of the file and
+    the lines of the blocks before it (one row per block)."""
+    raw = spark.read.text(path).select(
+        F.decode(F.col("value").cast("binary"), encoding).alias("line"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    blocks = raw.groupBy("block").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    blocks = blocks.select("block", "first", (F.sum("n").over(Window.orderBy("block")) - F.col("n")).alias("before"))
+    return raw.join(F.broadcast(blocks), "block").select(
+        (F.col("before") + F.col("at") - F.col("first") + 1).alias("line_no"), "line")
 
 
 def read_table(spark: SparkSession, path: str, schema: str | T.StructType, fmt: str = "parquet",

@@ -15,7 +15,6 @@ touched buckets are overwritten (dynamic partition overwrite).
 
 from __future__ import annotations
 
-import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +22,6 @@ from pyspark.sql import functions as F
 from ..operators.dedup import hash_files, incremental_dedup
 from ..operators.ordered import doc_backfill
 from ..sources.io import BINARY_FILE_SCHEMA, _exists, case_insensitive_glob
-from ..session import ensure_checkpoint_dir
 
 
 def _read_batches(spark: SparkSession, path: str, before: int) -> DataFrame | None:
@@ -39,8 +37,9 @@ class IncrementalDedup:
     def __init__(self, spark: SparkSession, state_dir: str, order_cols=("modificationTime", "file_name"),
                  algo: str = "md5"):
         self.spark = spark
-        self.registry_path = f"{state_dir.rstrip('/')}/registry"
-        self.results_path = f"{state_dir.rstrip('/')}/classified"
+        self.state_dir = state_dir.rstrip("/")
+        self.registry_path = f"{self.state_dir}/registry"
+        self.results_path = f"{self.state_dir}/classified"
         self.order_cols = tuple(order_cols)
         self.algo = algo
 
@@ -69,8 +68,8 @@ class IncrementalDedup:
         if max_files_per_trigger:
             src = src.option("maxFilesPerTrigger", str(max_files_per_trigger))
         stream = src.load(folder).withColumn("file_name", F.regexp_extract("path", r"([^/]*)$", 1))
-        tag = hashlib.sha1(self.registry_path.encode("utf-8")).hexdigest()[:16]
-        ckpt = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/k1-{tag}"
+        # beside the state, at a fixed path: a later application goes on where this one ended
+        ckpt = f"{self.state_dir}/checkpoint"
         q = (stream.writeStream.foreachBatch(lambda df, bid: self.process_batch(df, bid))
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
         q.awaitTermination()

@@ -140,3 +140,17 @@ def test_wrapped_lines_against_sequential_rule(spark):
     for i, t in enumerate(texts):
         assert got[i] == _merge_ref(t), (t, got[i])
     assert got[len(texts) - 2] == "Plan Gold\nBIN 1" and got[len(texts) - 1] == "a b\nc"
+
+
+def test_backfill_pages_beyond_a_thousand_come_before_unnumbered(spark):
+    from ledgerlink.operators.ordered import doc_backfill
+    rows = [("d", None, 1, "none"), ("d", 1000, 2, "late"), ("d", 2, 3, "")]
+    df = spark.createDataFrame(rows, "doc string, page_no int, seq int, v string")
+    assert {r.v for r in doc_backfill(df, "doc", ["v"]).collect()} == {"late"}
+
+
+def test_dictionary_match_ignores_the_case_of_accents(spark):
+    from ledgerlink.operators.dictionary import word_matches
+    lines = spark.createDataFrame([(1, "au CAFÉ noir"), (2, "cafés")], "id int, line string")
+    names = spark.createDataFrame([("café",)], "name string")
+    assert [r.id for r in word_matches(lines, names, ["id"]).collect()] == [1]

@@ -156,3 +156,10 @@ def test_load_first_existing(spark):
     assert [tuple(r) for r in got.collect()] == [("h", "a.pdf")]
     empty = IO.load_first_existing(spark, [os.path.join(base, "none")], IO.REGISTRY_SCHEMA)
     assert empty.count() == 0
+
+
+def test_scan_lines_keeps_blank_lines(spark, tmp_path):
+    path = tmp_path / "lat.txt"
+    path.write_bytes("één\n\n  \nthird, \"quoted\"\n\xa0x".encode("latin-1"))
+    got = [tuple(r) for r in IO.scan_lines(spark, str(path)).orderBy("line_no").collect()]
+    assert got == [(1, "één"), (2, ""), (3, "  "), (4, 'third, "quoted"'), (5, "\xa0x")]

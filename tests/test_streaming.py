@@ -78,3 +78,23 @@ def test_refresh_documents_matches_full_recompute(spark):
     got = {(r["doc"], r["seq"], r["f"]) for r in spark.read.parquet(out).collect()}
     full = doc_backfill(b0.unionByName(b1), "doc", ["f"])
     assert got == {(r["doc"], r["seq"], r["f"]) for r in full.collect()}
+
+
+def test_new_application_goes_on_where_the_last_ended(spark):
+    """The stream's checkpoint lies beside the state, not in a folder of one application."""
+    base = tempfile.mkdtemp(prefix="k1s-", dir="/tmp")
+    inbox, state = os.path.join(base, "in"), os.path.join(base, "state")
+    os.makedirs(inbox)
+    _write_files(inbox, [("a.pdf", "one"), ("b.pdf", "two")])
+    IncrementalDedup(spark, state, order_cols=("file_name",)).run_folder(inbox)
+    before = spark.sparkContext.getCheckpointDir()
+    spark.sparkContext.setCheckpointDir(os.path.join(base, "other"))  # as a later application's
+    try:
+        os.unlink(os.path.join(inbox, "a.pdf"))
+        _write_files(inbox, [("c.pdf", "one")])
+        again = IncrementalDedup(spark, state, order_cols=("file_name",))
+        again.run_folder(inbox)
+        got = {r["file_name"]: (r["original"], r["status"]) for r in again.results().collect()}
+    finally:
+        spark.sparkContext.setCheckpointDir(before)
+    assert set(got) == {"a.pdf", "b.pdf", "c.pdf"} and got["c.pdf"][0] == "a.pdf" and got["c.pdf"][1] != got["a.pdf"][1]
