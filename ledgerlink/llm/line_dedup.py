@@ -149,7 +149,8 @@ def verified_links(edits: int):
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], names=["a", "b", "n"])
 
         for (_, i, j), t in groups(batches, ["sig", "i", "j"]):
-            key, code, own, lines = (t.column(c).to_pylist() for c in ("key", "code", "own", "line"))
+            key, code, own = (t.column(c).to_numpy() for c in ("key", "code", "own"))
+            lines = t.column("line").to_pylist()
             top: dict[int, int] = {}
 
             def root(x: int, top: dict[int, int] = top) -> int:
@@ -157,17 +158,15 @@ def verified_links(edits: int):
                     x = top[x]
                 return x
 
-            index = [x for x in range(len(key)) if code[x] % 2 == 0]
-            probing = [x for x in range(len(key)) if code[x] % 2]
             parts = t.column("parts")[0].as_py()
             # two lines of one part meet wherever it does: they are compared with the next part alone
             home = [p for p in {i, j} if {i, j} == {p, (p + 1) % parts}]
-            todo = _pairs(index, probing, key, code, own, lines, home, edits)
+            todo = _pairs(key, code, own, lines, home, edits)
             while some := list(islice(todo, 2048)):
                 near = banded_distances([lines[x] for x, _ in some], [lines[y] for _, y in some], edits) <= edits
                 for (x, y), close in zip(some, near, strict=True):
                     if close:
-                        a, b = min(key[x], key[y]), max(key[x], key[y])
+                        a, b = sorted((int(key[x]), int(key[y])))
                         for one in (a, b):
                             out[one, one] = out.get((one, one), 0) + 1
                         if root(a) != root(b):
@@ -180,15 +179,16 @@ def verified_links(edits: int):
     return run
 
 
-def _pairs(index: list, probing: list, key: list, code: list, own: list, lines: list, home: list, edits: int) -> Iterator[tuple[int, int]]:
-    for x in index:
-        for y in probing:
-            if key[x] == key[y] or code[y] != code[x] + 1 or abs(len(lines[y]) - len(lines[x])) > edits:
-                continue
-            if len(lines[x]) == len(lines[y]) and key[x] > key[y]:
-                continue  # met the other way round
-            if own[x] == own[y] and own[x] not in home:
-                continue
+def _pairs(key: np.ndarray, code: np.ndarray, own: np.ndarray, lines: list, home: list, edits: int) -> Iterator[tuple[int, int]]:
+    size = np.fromiter(map(len, lines), np.int64, len(lines))
+    probing = np.flatnonzero(code % 2 == 1)
+    for x in np.flatnonzero(code % 2 == 0):
+        gap = size[probing] - size[x]
+        meets = (key[probing] != key[x]) & (code[probing] == code[x] + 1) & (gap >= 0) & (gap <= edits)
+        meets &= (gap > 0) | (key[probing] > key[x])  # those as long are met the other way round
+        if own[x] not in home:
+            meets &= own[probing] != own[x]
+        for y in probing[meets]:
             if first_segment(lines[x], lines[y], edits) * 2 == code[x]:
                 yield x, y
 
