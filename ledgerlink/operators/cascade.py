@@ -8,15 +8,13 @@ Plan (two phases, no per-level loop and no "join everything then filter"):
 
 1. Every left row is exploded into its applicable ``(rank, key)`` pairs (a
    level applies only when all its key parts are present).  Those pairs are
-   semi-joined against the *distinct* right ``(rank, key)`` pairs and reduced
-   to the minimum rank per left row.  The distinct right keys are a
-   map-side-combined aggregate, so a hot key costs one row, and AQE turns the
-   semi-join into a broadcast only when the measured distinct side is small.
-2. Left rows are joined once to their chosen key on the exploded right side.
-   Coarse levels never fan out for rows already settled at a finer level.
-
-Unmatched rows join with a unique never-matching key, so they are never
-shuffled into a single join partition under a null key.
+   joined to the right side's row *counts* per ``(rank, key)`` and reduced to
+   the first level per left row.  The counts are a map-side-combined aggregate,
+   so a hot key costs one row.  The summaries need no more than this.
+2. Left rows with a hit are joined once to their chosen key on the exploded
+   right side.  Coarse levels never fan out for rows already settled at a finer
+   level.  The join is inner, so AQE may split a hot key on either side; rows
+   without a hit (an anti-join on the row id) are added by a union.
 """
 
 from __future__ import annotations
@@ -58,7 +56,7 @@ def precomputed_levels(names=("BPG", "BIN_GRP", "GRP", "BIN_PCN", "BIN"),
     return [Level(n, (lc,), (rc,)) for n, lc, rc in zip(names, left_cols, right_cols)]
 
 
-RANK, KEY_PREFIX = "_cj_rank", "_cj_k"
+RANK, KEY_PREFIX, PICK = "_cj_rank", "_cj_k", "_cj_pick"
 
 
 def _key_cols(width: int) -> list[str]:
@@ -113,52 +111,66 @@ def cascade_join(left: DataFrame, right: DataFrame, levels: list[Level] | None =
     levels = levels or bpg_levels()
     width = max(len(lv.left) for lv in levels)
     keys = [RANK] + _key_cols(width)
-    names = F.array(*[F.lit(lv.name) for lv in levels])
+    lcols, rcols = left.columns, right.columns
+    picks = first_hits(left, right, levels, left_id).select(left_id, PICK)
 
-    # phase 1: the first level with a hit, per left row (hash aggregate on an int)
-    lkeys = _explode_levels(left, levels, "left", [left_id])
-    rcols = right.columns
-    right_x = _explode_levels(right, levels, "right", rcols)
-    rkeys = right_x.select(*keys).distinct()
-    picks = (lkeys.join(rkeys, keys, "left_semi")
-             .groupBy(left_id)
-             .agg(F.min(RANK).alias("_cj_pick")))
-
-    # phase 2: one left-outer equi-join on the chosen key.  The key is rebuilt
-    # from the left row for the picked rank; unmatched rows get rank 0 and
-    # their own id, a key no right row has, so they spread over all join
-    # partitions instead of meeting under one null key.
-    lcols = left.columns
+    # the key is rebuilt from the left row for the picked rank
+    entries = _level_entries(levels, "left", blank_to_null)
+    chosen = F.when(F.col(PICK) == len(levels), entries[-1])
+    for rank in range(len(levels) - 1, 0, -1):
+        chosen = F.when(F.col(PICK) == rank, entries[rank - 1]).otherwise(chosen)
+    hit = left.join(picks, left_id).withColumn("_cj_key", chosen).select(*lcols, PICK, "_cj_key.*")
     out_rcols = [c + suffix if c in lcols else c for c in rcols]
+    right_x = _explode_levels(right, levels, "right", rcols)
     right_side = right_x.select(*[F.col(c).alias(o) for c, o in zip(rcols, out_rcols)], *keys)
-    entries = _level_entries(levels, "left", blank_to_null)
-    pick = F.col("_cj_pick")
-    chosen = F.struct(F.lit(0).alias(RANK), F.col(left_id).cast("string").alias(_key_cols(width)[0]),
-                      *[F.lit("").alias(k) for k in _key_cols(width)[1:]])
-    for rank in range(len(levels), 0, -1):
-        chosen = F.when(pick == rank, entries[rank - 1]).otherwise(chosen)
-    hit = (left.join(picks, left_id, "left")
-           .withColumn("_cj_key", chosen)
-           .select(*lcols, "_cj_pick", "_cj_key.*"))
-    return (hit.join(right_side, keys, "left")
-            .select(*lcols, *out_rcols,
-                    # explicit null test: the optimizer takes element_at over a
-                    # literal array as non-null and would drop a coalesce
-                    F.when(F.col("_cj_pick").isNull(), F.lit(unmatched))
-                     .otherwise(F.element_at(names, F.col("_cj_pick"))).alias(level_col)))
+    matched = hit.join(right_side, keys).select(
+        *lcols, *out_rcols, _level_name(levels, unmatched).alias(level_col))
+    alone = left.join(picks, left_id, "left_anti").select(*lcols, F.lit(unmatched).alias(level_col))
+    return matched.unionByName(alone, allowMissingColumns=True)
+
+
+def first_hits(left: DataFrame, right: DataFrame, levels: list[Level], left_id: str) -> DataFrame:
+    """Phase 1: per left row with a hit, ``left_id``, the rank of its first
+    level and ``match_count``, the number of right rows with its key there."""
+    keys = [RANK] + _key_cols(max(len(lv.left) for lv in levels))
+    lkeys = _explode_levels(left, levels, "left", [left_id])
+    rkeys = _explode_levels(right, levels, "right", []).groupBy(*keys).agg(F.count(F.lit(1)).alias("_cj_n"))
+    # rank (top byte) and count in one long: the minimum stays a hash aggregate
+    packed = F.shiftleft(F.col(RANK).cast("long"), 56).bitwiseOR(F.col("_cj_n"))
+    hits = lkeys.join(rkeys, keys).groupBy(left_id).agg(F.min(packed).alias("_cj_p"))
+    return hits.select(left_id, F.shiftright("_cj_p", 56).cast("int").alias(PICK),
+                       F.col("_cj_p").bitwiseAND(F.lit((1 << 56) - 1)).alias("match_count"))
+
+
+def _level_name(levels: list[Level], unmatched: str) -> Column:
+    # explicit null test: the optimizer takes element_at over a literal array
+    # as non-null and would drop a coalesce
+    names = F.array(*[F.lit(lv.name) for lv in levels])
+    return F.when(F.col(PICK).isNull(), F.lit(unmatched)).otherwise(F.element_at(names, F.col(PICK)))
+
+
+def cascade_counts(left: DataFrame, right: DataFrame, levels: list[Level] | None = None, left_id: str = "row_id",
+                   level_col: str = "matched_level", unmatched: str = "Unmatched") -> DataFrame:
+    """Left columns + ``level_col`` + ``match_count``: how many rows
+    ``cascade_join`` would give for each left row, with no right row joined."""
+    levels = levels or bpg_levels()
+    return (left.join(first_hits(left, right, levels, left_id), left_id, "left")
+            .select(*left.columns, _level_name(levels, unmatched).alias(level_col),
+                    F.coalesce("match_count", F.lit(0)).cast("long").alias("match_count")))
 
 
 def match_summary(matches: DataFrame, key_col: str = "bpg", level_col: str = "matched_level",
-                  unmatched: str = "Unmatched") -> DataFrame:
+                  unmatched: str = "Unmatched", count_col: str | None = None) -> DataFrame:
     """Per key, number of matched rows and the sorted distinct levels used.
 
     Repeated left keys add up.  Null keys are dropped (as a group-by would).
-    Both aggregates combine map-side, so a hot key is no straggler.
+    Both aggregates combine map-side, so a hot key is no straggler.  With
+    ``count_col`` a row stands for that many matches (``cascade_counts``).
     """
     hits = matches.where((F.col(level_col) != unmatched) & F.col(level_col).isNotNull()
                          & F.col(key_col).isNotNull())
     return hits.groupBy(key_col).agg(
-        F.count(F.lit(1)).alias("match_count"),
+        (F.sum(count_col) if count_col else F.count(F.lit(1))).alias("match_count"),
         F.array_join(F.array_sort(F.collect_set(level_col)), ", ").alias("rules_used"))
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import format_bin, format_bpg
-from ..operators.cascade import attach_summary, cascade_join, match_summary, per_row_levels, precomputed_levels
+from ..operators.cascade import attach_summary, cascade_counts, cascade_join, match_summary, precomputed_levels
 from .base import sql_pad6, table
 
 
@@ -55,20 +55,19 @@ def cascade_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cascade_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left, _ = cascade_inputs(spark, sf_dir)
-    summary = match_summary(cascade_match(spark, sf_dir), key_col="bpg")
+    left, right = cascade_inputs(spark, sf_dir)
+    summary = match_summary(cascade_counts(left, right), key_col="bpg", count_col="match_count")
     return attach_summary(left.select("row_id", "bpg"), summary, key_col="bpg")
 
 
 def cascade_per_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return per_row_levels(cascade_match(spark, sf_dir), left_id="row_id")
+    return cascade_counts(*cascade_inputs(spark, sf_dir)).select("row_id", "matched_level", "match_count")
 
 
 def cascade_level_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = cascade_match(spark, sf_dir)
-    return m.groupBy("matched_level").agg(
-        F.count_distinct("row_id").alias("left_rows"),
-        F.count_if(F.col("right_id").isNotNull()).cast("long").alias("matched_rows"))
+    counts = cascade_counts(*cascade_inputs(spark, sf_dir))
+    return counts.groupBy("matched_level").agg(
+        F.count(F.lit(1)).alias("left_rows"), F.sum("match_count").alias("matched_rows"))
 
 
 def _with_precomputed(df: DataFrame) -> DataFrame:
