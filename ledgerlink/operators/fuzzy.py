@@ -1,35 +1,35 @@
 """Fuzzy name matching (B11 B12 C5 C6 C7): best match and top-k by token-sort ratio.
 
 Plan:
-  1. names are split on '/', each part cleaned (B11) and abbreviation-expanded
-     (B12) with built-in column functions;
-  2. the *distinct* cleaned parts are scored against the choice list inside
-     ``mapInPandas``: the choice list is a dimension whose size is checked
-     before it is broadcast (blocks of at most ``max_broadcast`` choices are
-     scored one after the other and reduced, so any size stays exact);
-  3. each part keeps only its top-k (score, choice position) rows: pairs are
-     never materialised as rows;
+  1. names are split on '/'; each distinct text is cleaned (B11) and its tokens
+     are expanded (B12) by a join with the abbreviation table, of any size;
+  2. the *distinct* cleaned parts are scored against every choice in cells of
+     one group of parts and one block of choices (``cogroup``): both sides are
+     shuffled to the cells, so nothing passes through the driver, no side is
+     broadcast and a task holds one block whatever the sizes;
+  3. each cell keeps only a part's top-k (score, choice position) rows: pairs
+     are never materialised as rows; the cells of a part are then ranked;
   4. per-part results join back to the name rows on the part text and reduce
      per row (best = highest score, then first part, then first choice).
 
 Score: token-sort ratio = 100 * 2 * LCS(a', b') / (|a'| + |b'|) where x' is x's
 whitespace tokens sorted and joined by one space (normalised Indel
 similarity).  LCS uses the bit-parallel row update of Hyyro (2004), run for
-one part against all choices at once with numpy uint64 words.
+one part against all choices of a block at once with numpy uint64 words, as
+many as the part needs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_name, expand_abbreviations
+from ..functions.text import clean_name
 
 DEFAULT_THRESHOLD = 85.0
+PART_GROUP, CHOICE_BLOCK = 64, 1 << 14  # expected rows of a scoring cell, on either side
 
 
 # ------------------------------------------------------------------ scoring
@@ -53,40 +53,49 @@ def _lcs_python(a: str, b: str) -> int:
 
 
 class ChoiceBlock:
-    """Choices encoded once per task: sorted-token texts as a padded code matrix."""
+    """Choices encoded once per cell: the codes of the sorted-token texts, one
+    text after the other, longest first, so a long choice widens no other."""
 
     def __init__(self, texts: list[str], positions: list[int]):
         self.texts = [sort_tokens(t) for t in texts]
         self.positions = np.asarray(positions, dtype=np.int64)
         self.lens = np.array([len(t) for t in self.texts], dtype=np.int64)
+        self.order = np.argsort(-self.lens, kind="stable")
         alphabet = sorted({ch for t in self.texts for ch in t})
-        self.index = {ch: i + 1 for i, ch in enumerate(alphabet)}  # 0 = padding
-        width = int(self.lens.max()) if len(self.texts) else 0
-        codes = np.zeros((len(self.texts), width), dtype=np.int32)
-        for k, t in enumerate(self.texts):
-            if t:
-                codes[k, :len(t)] = [self.index[ch] for ch in t]
-        self.codes_t = np.ascontiguousarray(codes.T)  # (width, n): one row per character step
+        self.index = {ch: i for i, ch in enumerate(alphabet)}
+        self.codes = np.array([self.index[ch] for i in self.order for ch in self.texts[i]], dtype=np.int64)
+        lens = self.lens[self.order]
+        self.first = np.cumsum(lens) - lens
+        # how many texts have a character at each place
+        self.active = np.searchsorted(-lens, -np.arange(lens.max(initial=0)), side="left")
 
     def lcs(self, a: str) -> np.ndarray:
-        n = len(self.texts)
-        m = len(a)
+        n, m = len(self.texts), len(a)
         if m == 0 or n == 0:
             return np.zeros(n, dtype=np.int64)
-        if m > 64:
-            return np.array([_lcs_python(a, b) for b in self.texts], dtype=np.int64)
-        pm = np.zeros(len(self.index) + 1, dtype=np.uint64)
+        words = -(-m // 64)
+        pm = np.zeros((words, max(len(self.index), 1)), dtype=np.uint64)
         for i, ch in enumerate(a):
             k = self.index.get(ch)
             if k is not None:
-                pm[k] |= np.uint64(1) << np.uint64(i)
-        mask = np.uint64((1 << m) - 1)
-        v = np.full(n, mask, dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            for step in self.codes_t:
-                u = v & pm[step]
-                v = ((v + u) | (v - u)) & mask
-        return m - np.bitwise_count(v).astype(np.int64)
+                pm[i // 64, k] |= np.uint64(1) << np.uint64(i % 64)
+        v = np.full((words, n), np.uint64(0xFFFFFFFFFFFFFFFF))
+        for j, k in enumerate(self.active):
+            code = self.codes[self.first[:k] + j]
+            carry = np.zeros(k, dtype=np.uint64)
+            for w in range(words):
+                old = v[w, :k]
+                u = old & pm[w, code]
+                part = old + u
+                total = part + carry
+                carry = ((part < old) | (total < part)).astype(np.uint64)
+                v[w, :k] = total | (old & ~u)
+        out = np.zeros(n, dtype=np.int64)
+        for w in range(words):  # a matched character is a zero bit
+            bits = min(64, m - 64 * w)
+            mask = np.uint64((1 << bits) - 1)
+            out[self.order] += bits - np.bitwise_count(v[w] & mask).astype(np.int64)
+        return out
 
     def scores(self, part: str) -> np.ndarray:
         a = sort_tokens(part)
@@ -107,96 +116,82 @@ def token_sort_ratio(a: str | None, b: str | None) -> float | None:
     return 200.0 * _lcs_python(x, y) / (len(x) + len(y))
 
 
-def top_k_for_parts(parts: Iterator[pd.DataFrame], block: ChoiceBlock, k: int) -> Iterator[pd.DataFrame]:
-    """mapInPandas body: (part) -> k rows (part, rank, score, choice_pos)."""
-    for pdf in parts:
-        out_part, out_rank, out_score, out_pos = [], [], [], []
-        for part in pdf["part"].tolist():
-            s = block.scores(part)
-            if len(s) == 0:
-                continue
-            # highest score first, then lowest choice position
-            order = np.lexsort((block.positions, -s))[:k]
-            for r, i in enumerate(order, start=1):
-                out_part.append(part)
-                out_rank.append(r)
-                out_score.append(float(s[i]))
-                out_pos.append(int(block.positions[i]))
-        yield pd.DataFrame({"part": out_part, "rank": out_rank, "score": out_score, "choice_pos": out_pos})
+def top_k_for_parts(parts: list[str], block: ChoiceBlock, k: int) -> pd.DataFrame:
+    """The k best choices of the block for each part: (part, score, choice_pos)."""
+    out_part, out_score, out_pos = [], [], []
+    for part in parts:
+        s = block.scores(part)
+        # highest score first, then lowest choice position
+        for i in np.lexsort((block.positions, -s))[:k]:
+            out_part.append(part)
+            out_score.append(float(s[i]))
+            out_pos.append(int(block.positions[i]))
+    return pd.DataFrame({"part": out_part, "score": out_score, "choice_pos": out_pos})
 
 
 # ---------------------------------------------------------------- plan
-def abbreviation_map(abbrevs: DataFrame, spark: SparkSession, max_entries: int = 100_000) -> Column:
-    """B12 map (last duplicate wins, by ``seq``) as a literal map column.
-
-    The dictionary is size-checked before it is brought to the driver."""
-    dedup = (abbrevs.select(F.lower(F.trim("abbreviation")).alias("k"), F.lower(F.trim("full_form")).alias("v"), "seq")
-             .where(F.col("k").isNotNull())
-             .groupBy("k").agg(F.max_by("v", "seq").alias("v")))
-    n = dedup.count()
-    if n > max_entries:
-        raise ValueError(f"abbreviation dictionary has {n} entries (> {max_entries}); not broadcast")
-    rows = dedup.collect()
-    if not rows:
-        return F.create_map().cast("map<string,string>")
-    return F.create_map(*[x for r in rows for x in (F.lit(r["k"]), F.lit(r["v"]))])
+def abbreviation_table(abbrevs: DataFrame) -> DataFrame:
+    """B12 dictionary (tok, full): of repeated abbreviations the last by ``seq``,
+    then by full form, wins."""
+    full = F.lower(F.trim("full_form")).alias("full")
+    return (abbrevs.select(F.lower(F.trim("abbreviation")).alias("tok"), full, "seq")
+            .where(F.col("tok").isNotNull())
+            .groupBy("tok").agg(F.max(F.struct("seq", "full"))["full"].alias("full")))
+
+
+def prepared(texts: DataFrame, abbrevs: DataFrame) -> DataFrame:
+    """(raw, cleaned) for each distinct non-null ``raw``: B11, then B12 token by
+    token through a join; the tokens of one text come together again."""
+    toks = (texts.where(F.col("raw").isNotNull()).select("raw").distinct()
+            .select("raw", F.posexplode_outer(F.split(clean_name("raw"), r"\s+", -1)).alias("i", "tok")))
+    joined = toks.join(abbreviation_table(abbrevs), "tok", "left")
+    word = F.struct("i", F.coalesce("full", "tok").alias("w"))
+    return joined.groupBy("raw").agg(F.array_sort(F.collect_list(word)).alias("ws")).select(
+        "raw", F.array_join(F.filter(F.transform("ws", lambda x: x["w"]), lambda w: w != ""), " ").alias("cleaned"))
+
+
+def prepare_choices(choices: DataFrame, abbrevs: DataFrame, name_col: str = "plan", seq_col: str = "seq") -> DataFrame:
+    """One row per cleaned choice: first position and first original name."""
+    c = choices.where(F.col(name_col).isNotNull()).groupBy(F.col(name_col).alias("raw")).agg(F.min(seq_col).alias("pos"))
+    return c.join(prepared(c, abbrevs), "raw").groupBy("cleaned").agg(
+        F.min("pos").alias("choice_pos"), F.min_by("raw", "pos").alias("original"))
 
 
-def preprocess(c, abbr: Column) -> Column:
-    return expand_abbreviations(clean_name(c), abbr)
+def _explode_parts(names: DataFrame, abbrevs: DataFrame, id_col: str, name_col: str) -> DataFrame:
+    raw = (names.where(F.col(name_col).isNotNull())
+           .select(id_col, F.posexplode(F.split(name_col, "/", -1)).alias("part_idx", "raw")))
+    return raw.join(prepared(raw, abbrevs), "raw").select(id_col, "part_idx", F.col("cleaned").alias("part"))
 
 
-def prepare_choices(choices: DataFrame, abbr: Column, name_col: str = "plan", seq_col: str = "seq") -> DataFrame:
-    """One row per cleaned choice: first position and first original name."""
-    c = choices.where(F.col(name_col).isNotNull()).select(
-        preprocess(name_col, abbr).alias("cleaned"), F.col(seq_col).alias("pos"), F.col(name_col).alias("original"))
-    return c.groupBy("cleaned").agg(F.min("pos").alias("choice_pos"), F.min_by("original", "pos").alias("original"))
+def score_parts(spark: SparkSession, parts: DataFrame, choices: DataFrame, k: int) -> DataFrame:
+    """(part) -> top-k (part, rank, score, choice_pos) against every choice."""
+    distinct_parts = parts.select("part").distinct()
+    groups = max(1, -(-distinct_parts.count() // PART_GROUP))
+    blocks = max(1, -(-choices.count() // CHOICE_BLOCK))
 
+    def cell(own, other, n_own, n_other, col):
+        spread = F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
+        return lambda df: df.withColumn(own, F.pmod(F.xxhash64(col), F.lit(n_own)).cast("int")).withColumn(other, spread)
 
-def _explode_parts(names: DataFrame, abbr: Column, id_col: str, name_col: str) -> DataFrame:
-    return (names.where(F.col(name_col).isNotNull())
-            .select(id_col, F.posexplode(F.split(name_col, "/", -1)).alias("part_idx", "raw"))
-            .select(id_col, "part_idx", preprocess("raw", abbr).alias("part")))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    left = distinct_parts.transform(cell("g", "b", groups, blocks, "part")).repartition(n, "g", "b")
+    right = choices.select("cleaned", "choice_pos").transform(cell("b", "g", blocks, groups, "cleaned")).repartition(n, "g", "b")
 
+    def score(some: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        return top_k_for_parts(some["part"].tolist(), ChoiceBlock(block["cleaned"].tolist(), block["choice_pos"].tolist()), k)
 
-def score_parts(spark: SparkSession, parts: DataFrame, choices: DataFrame, k: int,
-                max_broadcast: int = 200_000) -> DataFrame:
-    """(part) -> top-k (part, rank, score, choice_pos) against every choice."""
-    distinct_parts = parts.select("part").distinct()
-    n = choices.count()
-    schema = "part string, rank int, score double, choice_pos long"
-    results = None
-    nblocks = max(1, -(-n // max_broadcast))
-    for b in range(nblocks):
-        blk = choices if nblocks == 1 else choices.where(
-            F.pmod(F.xxhash64("cleaned"), F.lit(nblocks)) == b)
-        rows = blk.select("cleaned", "choice_pos").collect()  # <= max_broadcast rows, checked above
-        payload = ([r["cleaned"] for r in rows], [r["choice_pos"] for r in rows])
-        try:
-            bc = spark.sparkContext.broadcast(payload)
-            get = (lambda bc=bc: bc.value)  # read on the executor
-        except Exception:  # noqa: BLE001  (no SparkContext, e.g. Spark Connect: ship with the function)
-            get = (lambda p=payload: p)
-
-        def run(it, get=get, k=k):
-            texts, pos = get()
-            return top_k_for_parts(it, ChoiceBlock(texts, pos), k)
-
-        res = distinct_parts.mapInPandas(run, schema)
-        results = res if results is None else results.unionByName(res)
-    if nblocks > 1:
-        w = Window.partitionBy("part").orderBy(F.col("score").desc(), F.col("choice_pos").asc())
-        results = (results.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
-    return results
+    best = left.groupBy("g", "b").cogroup(right.groupBy("g", "b")).applyInPandas(
+        score, "part string, score double, choice_pos long")
+    w = Window.partitionBy("part").orderBy(F.col("score").desc(), F.col("choice_pos").asc())
+    return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def fuzzy_best(spark: SparkSession, names: DataFrame, choices: DataFrame, abbrevs: DataFrame,
                id_col: str = "seq", name_col: str = "plan_name", threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """Per name row, best original choice (null below ``threshold``) and its score.
     A null name gives a null match and a null score (D14)."""
-    abbr = abbreviation_map(abbrevs, spark)
-    ch = prepare_choices(choices, abbr)
-    parts = _explode_parts(names, abbr, id_col, name_col)
+    ch = prepare_choices(choices, abbrevs)
+    parts = _explode_parts(names, abbrevs, id_col, name_col)
     top = score_parts(spark, parts, ch, 1).where(F.col("rank") == 1)
     scored = parts.join(top, "part").join(ch.select("choice_pos", "original"), "choice_pos")
     best = scored.groupBy(id_col).agg(F.max(F.struct(
@@ -213,9 +208,8 @@ def fuzzy_top_k(spark: SparkSession, names: DataFrame, choices: DataFrame, abbre
     """Per name row, the top ``k`` distinct choices over all parts as
     ``match{i}_plan`` / ``match{i}_score`` (no threshold, as the reference).
     Order: score desc, then part order, then rank inside the part."""
-    abbr = abbreviation_map(abbrevs, spark)
-    ch = prepare_choices(choices, abbr)
-    parts = _explode_parts(names, abbr, id_col, name_col)
+    ch = prepare_choices(choices, abbrevs)
+    parts = _explode_parts(names, abbrevs, id_col, name_col)
     top = score_parts(spark, parts, ch, k)
     scored = parts.join(top, "part").join(ch.select("choice_pos", "original"), "choice_pos")
     per_row = scored.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct(
