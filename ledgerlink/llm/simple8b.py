@@ -144,13 +144,18 @@ class WordIds:
                     self.known[w] = array("I", e.ids)  # arrays, not lists: the garbage collector passes them over
 
     def ids_of(self, words: list[str]) -> list[array]:
-        split = [(m[1], m[2]) if (m := _ENDED.fullmatch(w)) else (w, "") for w in words]
-        new = {x for pair in split for x in pair} - self.known.keys()
-        if len(self.known) + len(new) > self.most:
-            self.known, new = {}, {x for pair in split for x in pair}
-        self.learn(new)
+        new = [w for w in words if w not in self.known]
+        if len(self.known) + 2 * len(new) > self.most:
+            self.known, new = {}, words
         known = self.known
-        return [known[w] + known[end] if end else known[w] for w, end in split]
+        ended = {w: m for w in new if w[-1] in ".," and (m := _ENDED.fullmatch(w))}
+        wanted = {w for w in new if w not in ended}
+        for m in ended.values():
+            wanted.update(m.groups())
+        self.learn(wanted - known.keys())
+        for w, m in ended.items():
+            known[w] = known[m[1]] + known[m[2]]
+        return [known[w] for w in words]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, the end id behind each, and how many each text has."""
