@@ -162,3 +162,32 @@ def page_text(text, grid) -> Column:
     """The grid text when the grid has more than one row, else the page text."""
     return F.when(F.coalesce(F.size(_c(grid)), F.lit(0)) > 1, grid_text(grid)).otherwise(_c(text))
 
+
+# Page parts that are not shown, tags that don't part words, and named character references.
+HIDDEN_PARTS = r"(?is)<!--.*?(?:-->|$)|<(script|style|head|noscript|template)\b[^>]*>.*?(?:</\1\s*>|$)"
+INLINE_TAGS = r"(?i)</?(?:a|abbr|b|code|em|font|i|mark|s|small|span|strong|sub|sup|u)\b[^>]*>"
+REFERENCES = {"nbsp": " ", "copy": "©", "middot": "·", "reg": "®", "trade": "™", "ndash": "–", "mdash": "—",
+              "hellip": "…", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "quot": '"', "apos": "'",
+              "lt": "<", "gt": ">", "amp": "&"}
+
+
+def visible_text(html) -> Column:
+    """All text that a page shows, in order: no comments, head, scripts or styles; block tags part words, inline
+    tags don't; paragraphs need no closing tag; white space is squeezed.  '' for an empty page, null for null."""
+    v = F.regexp_replace(_c(html), HIDDEN_PARTS, " ")
+    v = F.regexp_replace(F.regexp_replace(v, INLINE_TAGS, ""), r"(?s)</?[A-Za-z!][^>]*(?:>|$)", " ")
+    # numeric references, decimal and hexadecimal: each piece behind a '&#' starts with one
+    pieces = F.split(v, "&#", -1)
+
+    def decoded(piece: Column) -> Column:
+        code = F.coalesce(F.nullif(F.regexp_extract(piece, r"^(\d{1,7});", 1), F.lit("")).cast("int"),
+                          F.conv(F.nullif(F.regexp_extract(piece, r"^[xX]([0-9A-Fa-f]{1,6});", 1), F.lit("")), 16, 10).cast("int"))
+        ok = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        # the code point's four UTF-32 bytes
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(ok, F.concat(char, F.regexp_replace(piece, r"^[xX]?[0-9A-Fa-f]+;", ""))).otherwise(F.concat(F.lit("&#"), piece))
+
+    v = let(pieces, lambda ps: F.concat(F.element_at(ps, 1), F.array_join(F.transform(F.slice(ps, 2, F.greatest(F.size(ps) - 1, F.lit(0))), decoded), "")))
+    for name, char in REFERENCES.items():
+        v = F.replace(v, F.lit(f"&{name};"), F.lit(char))
+    return strip(F.regexp_replace(v, r"(?U)\s+", " "))

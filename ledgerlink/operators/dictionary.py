@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+
 # word characters as Java's \b sees them: letters, decimal digits, underscore
 WORD_RUN = r"[\p{L}\p{Nd}_]+"
 NOT_FOUND = "Not Found"
@@ -29,6 +31,8 @@ def _quote(c: Column) -> Column:
 
 
 BROADCAST_ROWS = 200_000
+FEW_PATTERNS = 64
+PIECE_CHARS = 256
 
 
 def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -50,6 +54,7 @@ def substring_matches(lines: DataFrame, patterns: DataFrame, line_keys: list[str
     bound the join and the check run in the scan's generated code and a text
     is only copied for real hits; a larger table takes a shuffle join without
     the text and joins the texts back for its candidates only.
+    At most FEW_PATTERNS patterns are looked for in each text one by one.
     ``line_keys`` must identify a line.
     """
     low = F.lower if lower else (lambda c: c)
@@ -57,20 +62,40 @@ def substring_matches(lines: DataFrame, patterns: DataFrame, line_keys: list[str
     pt = (patterns.where(F.col(pattern_col).isNotNull() & (F.col(pattern_col) != ""))
           .withColumn("_sm_p", low(F.col(pattern_col))))
     pt = pt.withColumn("_sm_g", F.substring("_sm_p", 1, q))
-    stats = pt.agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.length("_sm_g")).alias("ls")).first()
-    lengths = sorted(stats["ls"]) or [q]  # at most q values
-    txt = lines.select(*line_keys, low(F.col(text_col)).alias("_sm_t"))
-    pos = txt.select(*line_keys, "_sm_t",
-                     F.explode(F.sequence(F.lit(1), F.greatest(F.length("_sm_t"), F.lit(1)))).alias("_sm_i"))
-    grams = pos.select(*line_keys, "_sm_t", "_sm_i", F.explode(F.array(
+    stats = pt.agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.length("_sm_g")).alias("ls"),
+                   F.max(F.length("_sm_p")).alias("longest")).first()
+    whole = lines.select(*line_keys, low(F.col(text_col)).alias("_sm_w")).where(F.col("_sm_w").isNotNull())
+    if stats["n"] <= FEW_PATTERNS:
+        few = [r[0] for r in pt.select("_sm_p").distinct().collect()]
+        places = F.array(*[F.struct(F.lit(p).alias("p"), F.locate(p, F.col("_sm_w")).alias("i")) for p in few]) \
+            if few else F.array().cast("array<struct<p:string,i:int>>")
+        found = whole.select(*line_keys, F.explode_outer(places).alias("_sm_f")).where(F.col("_sm_f.i") > 0)
+        hits = found.select(*line_keys, F.col("_sm_f.p").alias("_sm_p"), F.col("_sm_f.i").alias("_sm_i")) \
+            .join(F.broadcast(pt), "_sm_p")
+        return hits.groupBy(*line_keys, *pcols).agg(F.min("_sm_i").cast("int").alias("offset"))
+    lengths = sorted(stats["ls"])  # at most q values
+    # a substring at place i walks i characters, so a long text is cut into
+    # pieces first, each overlapping the next by the longest pattern: the work
+    # grows with the text's length, not its square
+    over = stats["longest"] - 1
+    step = max(PIECE_CHARS, over)
+    cut = let(F.split("_sm_w", "", -1), lambda chars: F.transform(
+        F.sequence(F.lit(0), F.floor((F.greatest(F.size(chars), F.lit(1)) - 1) / step).cast("int")),
+        lambda p: F.struct((p * step).alias("at"),
+                           F.array_join(F.slice(chars, p * step + 1, F.lit(step + over)), "").alias("text"))))
+    txt = whole.select(*line_keys, F.explode_outer(cut).alias("_sm_c")).select(
+        *line_keys, F.col("_sm_c.at").alias("_sm_at"), F.col("_sm_c.text").alias("_sm_t"))
+    pos = txt.select(*line_keys, "_sm_at", "_sm_t", F.explode(F.sequence(
+        F.lit(1), F.greatest(F.least(F.length("_sm_t"), F.lit(step)), F.lit(1)))).alias("_sm_i"))
+    grams = pos.select(*line_keys, "_sm_at", "_sm_t", "_sm_i", F.explode(F.array(
         *[F.substring("_sm_t", F.col("_sm_i"), F.lit(L)) for L in lengths])).alias("_sm_g"))
     at_pos = F.substring(F.col("_sm_t"), F.col("_sm_i"), F.length("_sm_p")) == F.col("_sm_p")
     if stats["n"] <= BROADCAST_ROWS:
         hits = grams.join(F.broadcast(pt), "_sm_g").where(at_pos)
     else:
-        cand = grams.select(*line_keys, "_sm_i", "_sm_g").join(pt, "_sm_g")
-        hits = cand.join(txt, list(line_keys)).where(at_pos)
-    return (hits.groupBy(*line_keys, *pcols).agg(F.min("_sm_i").cast("int").alias("offset")))
+        cand = grams.select(*line_keys, "_sm_at", "_sm_i", "_sm_g").join(pt, "_sm_g")
+        hits = cand.join(txt, [*line_keys, "_sm_at"]).where(at_pos)
+    return (hits.groupBy(*line_keys, *pcols).agg(F.min(F.col("_sm_at") + F.col("_sm_i")).cast("int").alias("offset")))
 
 
 def word_matches(lines: DataFrame, names: DataFrame, line_keys: list[str], text_col: str = "line",

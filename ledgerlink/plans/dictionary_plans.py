@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import zero_for_slashed_o
+from ..functions.text import visible_text, zero_for_slashed_o
 from ..operators import dictionary as DM
 from ..operators.ordered import merge_wrapped_lines
 from .base import param_table, table
@@ -76,7 +76,7 @@ def search_results(spark, sf_dir) -> DataFrame:
         (F.col("page_id") % 10 + 1).cast("int").alias("pos"),
         F.regexp_extract("html", r"<title>(.*?)</title>", 1).alias("title"),
         F.col("url").alias("link"),
-        F.regexp_extract("html", r"<p>(.*?)</p>", 1).alias("snippet"))
+        visible_text("html").alias("snippet"))
 
 
 def network_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:

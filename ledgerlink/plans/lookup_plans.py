@@ -4,7 +4,8 @@ B29 C13 C14 F6) over orders, pages, customer and the parsed records.
 Search results are the pages: query = page_id div 10, position = page_id mod
 10 + 1, title text = the page title's ASCII letters plus a layout suffix
 chosen by page_id mod 6, link = the URL (with '.pdf' added when page_id mod 3
-is 0), sitelinks = the page's anchors (with '.pdf' added to even-length ones).
+is 0), sitelinks = the page's anchors (with '.pdf' added to even-length ones),
+snippet = all text the page shows.
 Keyword and domain tables below are invented parameters.
 """
 
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lookup as LK
-from ..functions.text import file_name_from_url, prefix_when, url_type
+from ..functions.text import file_name_from_url, prefix_when, url_type, visible_text
 from ..operators.conform import conform as _conform
 from ..operators.dictionary import first_by_priority, substring_matches
 from ..operators.links import pick_document_link
@@ -61,7 +62,7 @@ def search_results(spark, sf_dir) -> DataFrame:
         F.when(F.length(a) % 2 == 0, F.concat(a, F.lit(".pdf"))).otherwise(a).alias("link")))
     return p.select("page_id", (F.col("page_id") / 10).cast("long").alias("query_id"),
                     (F.col("page_id") % 10 + 1).cast("int").alias("pos"), title.alias("title"),
-                    link.alias("link"), F.regexp_extract("html", r"<p>(.*?)</p>", 1).alias("snippet"),
+                    link.alias("link"), visible_text("html").alias("snippet"),
                     sitelinks.alias("sitelinks"))
 
 
