@@ -10,13 +10,15 @@ similar as the sum of the smaller weights over the sum of the larger ones.
 2. Fingerprints: 64-bit SimHash over the words, of windows and of items.
 3. Blocks: RADIUS + 1 runs of bits.  Two fingerprints within RADIUS bits agree in one run at least, so the join on
    (size, run, its bits) meets every such pair; their distance is then counted.
-4. The exact weighted similarity decides, at 0.75.  At that similarity an item differs in one or two words, about
-   7 bits of 64; RADIUS = 17 lies four standard deviations above.
+4. Shared shingles: no radius is certain, as words that are cut off at an edge or repeated move many bits at once.  A
+   window that passes lacks a quarter of an item's shingles at most, so it holds one of any n // 4 + 1 of the n.  The
+   join on (size, one of those that the fewest items have) meets every such pair, whatever its distance.
+5. The exact weighted similarity decides, at 0.75, for the pairs of both joins: none that passes is left out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlink.llm.common import keep, read
@@ -64,6 +66,14 @@ def shared_weight(a: Column, b: Column) -> Column:
     return F.aggregate(F.array_distinct(a), F.lit(0), lambda n, s: n + F.least(count(a, s), count(b, s)))
 
 
+def rare_grams(items: DataFrame) -> DataFrame:
+    """(size, gram, item_id): of each item's n shingles the n // 4 + 1 that the fewest items have."""
+    each = items.select("item_id", "size", F.size("grams").alias("n"), F.posexplode("grams").alias("place", "gram"))
+    spread = each.groupBy("gram").agg(F.count_distinct("item_id").alias("items"))
+    rank = F.row_number().over(Window.partitionBy("item_id").orderBy("items", "gram", "place"))
+    return each.join(spread, "gram").withColumn("rank", rank).where("rank <= n div 4 + 1").select("size", "gram", "item_id").distinct()
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One row for each document and item found in it: row_key, doc_id, item_id, start (of the best window, in words),
     n_words, similarity, distance.
@@ -96,14 +106,19 @@ def hits(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS) -> DataFra
     contents = keep(windows.groupBy("content", "size").agg(F.first("words").alias("words")), "contents")
     of_windows = simhash(contents.select("content", F.explode("words").alias("word")), "content", "word")
     of_items = simhash(items.select("item_id", F.explode("h").alias("word")), "item_id", "word")
-    left = contents.select("content", "size").join(of_windows, "content").select("content", "size", F.col("fingerprint").alias("of_window"), F.inline(blocks(F.col("fingerprint"), radius)))
+    prints = keep(contents.select("content", "size").join(of_windows, "content"), "fingerprints")
+    left = prints.select("content", "size", F.col("fingerprint").alias("of_window"), F.inline(blocks(F.col("fingerprint"), radius)))
     right = items.select("item_id", "size").join(of_items, "item_id").select("item_id", "size", F.col("fingerprint").alias("of_item"), F.inline(blocks(F.col("fingerprint"), radius)))
     distance = F.bit_count(F.col("of_window").bitwiseXOR(F.col("of_item")))
-    near = left.join(right, ["size", "run", "bits"]).where(distance <= radius).select("content", "item_id", distance.alias("distance")).distinct()
+    near = left.join(right, ["size", "run", "bits"]).where(distance <= radius).select("content", "item_id")
+    held = contents.select("content", "size", F.explode_outer(F.array_distinct(shingles(F.col("words")))).alias("gram"))
+    near = near.union(held.join(rare_grams(items), ["size", "gram"]).select("content", "item_id")).distinct()
 
     pairs = near.join(contents.select("content", shingles(F.col("words")).alias("a")), "content").join(items.select("item_id", F.col("grams").alias("b")), "item_id")
     pairs = pairs.withColumn("both", shared_weight(F.col("a"), F.col("b"))).withColumn("all", F.size("a") + F.size("b") - F.col("both"))
-    passed = pairs.where("4 * both >= 3 * all").select("content", "item_id", "distance", (F.col("both") / F.col("all")).alias("similarity"))
+    passed = pairs.where("4 * both >= 3 * all").select("content", "item_id", (F.col("both") / F.col("all")).alias("similarity"))
+    passed = passed.join(prints.select("content", F.col("fingerprint").alias("of_window")), "content").join(of_items.withColumnRenamed("fingerprint", "of_item"), "item_id")
+    passed = passed.select("content", "item_id", distance.alias("distance"), "similarity")
     best = F.max_by(F.struct("start", F.size("words").alias("n_words"), "similarity", "distance"), F.struct("similarity", -F.col("start"), -F.col("distance")))
     out = windows.join(passed, "content").groupBy("row_key", "doc_id", "item_id").agg(best.alias("best"))
     return out.select("row_key", "doc_id", "item_id", "best.*")
