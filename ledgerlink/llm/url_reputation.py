@@ -43,7 +43,7 @@ def _strength(level: DataFrame) -> float:
     """How many pages the prior of a level weighs, from rows of n, good and the mean above (m)."""
     v = F.col("m") * (1 - F.col("m"))
     p = F.col("good") / F.col("n")
-    s = level.agg(F.sum(F.col("n") * (p - F.col("m")) ** 2 / v).alias("s"), F.sum("n").alias("w"), F.sum(F.col("n") * F.col("n")).alias("w2"), F.count("*").alias("k")).first()
+    s = level.where("n > 0").agg(F.sum(F.col("n") * (p - F.col("m")) ** 2 / v).alias("s"), F.sum("n").alias("w"), F.sum(F.col("n") * F.col("n")).alias("w2"), F.count("*").alias("k")).first()
     if not s["k"] or s["k"] < 2:
         return 1.0
     room = s["w"] - s["w2"] / s["w"] - (s["k"] - 1)
@@ -53,12 +53,13 @@ def _strength(level: DataFrame) -> float:
 
 
 def reputations(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """(host, low, mean, high) for every host with a labelled page.
+    """(host, low, mean, high) for every host of ``pages``.  One without a labelled page has its domain's mean, at the
+    weight of the prior; a domain or suffix without any has that of the level above.
 
     ``pages`` has page_id and host, ``labels`` page_id and good (0 or 1); rows of one page_id count once, as bad if
     any says so.  Hosts, domains and suffixes stay tables; the driver gets sums over each level."""
     labels = labels.where("good in (0, 1) and page_id is not null").groupBy("page_id").agg(F.min("good").alias("good"))
-    hosts = pages.join(labels, "page_id").groupBy("host").agg(F.count("*").alias("n"), F.sum("good").alias("good"))
+    hosts = pages.join(labels, "page_id", "left").groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"))
     hosts = hosts.withColumn("domain", F.substring_index("host", ".", -2)).withColumn("suffix", F.substring_index("host", ".", -1))
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
@@ -80,8 +81,8 @@ def reputations(pages: DataFrame, labels: DataFrame) -> DataFrame:
 def judged(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
     """``pages`` (page_id, url) as page_id, host, path, rule, verdict.
 
-    A null url, or one without ``://``, has an empty host and path.  A host without labelled pages is allowed: its
-    posterior is the prior.  Repeated rows are each judged; other columns are left out."""
+    A null url, or one without ``://``, has an empty host and path.  A host without labelled pages is judged by its
+    domain's posterior, or its suffix's or all pages'.  Repeated rows are each judged; other columns are left out."""
     host, path = host_and_path(F.col("url"))
     pages = pages.select("page_id", host.alias("host"), path.alias("path"))
     blocked = reputations(pages, labels).where(F.col("high") < GOOD).select("host", F.lit("block").alias("found"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from ledgerlink.llm import decontaminate
+from ledgerlink.llm import decontaminate, url_reputation
 
 WORDS = "the river runs past old stones while quiet birds watch grey water turn under bridges near villages where people sell bread".split()
 
@@ -13,6 +13,19 @@ def prose(rng, n):
     return [rng.choice(WORDS) + str(rng.randrange(30)) for _ in range(n)]
 
 
+def test_unlabelled_subdomains_are_judged_by_their_domain(spark):
+    pages = [(i, f"http://h{i % 12}.bad.org/{i}") for i in range(240)] + [(1000 + i, f"http://h{i % 12}.good.org/{i}") for i in range(240)]
+    labels = [(i, 0) for i in range(240)] + [(1000 + i, 1) for i in range(240)]
+    pages += [(5000, "http://new.bad.org/"), (5001, "http://new.good.org/"), (5002, "http://unknown.org/"), (5003, "http://a.nowhere/")]
+    p = spark.createDataFrame(pages, "page_id long, url string")
+    out = {r.page_id: r.verdict for r in url_reputation.judged(p, spark.createDataFrame(labels, "page_id long, good int"), ()).collect()}
+    assert out[0] == out[5000] == "block" and out[1000] == out[5001] == "allow"
+    of_hosts = p.select("page_id", url_reputation.host_and_path(p.url)[0].alias("host"))
+    found = {r.host: r for r in url_reputation.reputations(of_hosts, spark.createDataFrame(labels, "page_id long, good int")).collect()}
+    assert len(found) == 28 and found["new.bad.org"].mean < 0.1 < 0.9 < found["new.good.org"].mean
+    assert 0.4 < found["unknown.org"].mean < 0.6 and 0.4 < found["a.nowhere"].mean < 0.6
+
+
 def test_passages_cut_at_an_edge_are_found_at_any_distance(spark):
     rng = random.Random(3)
     items, docs = [], []
