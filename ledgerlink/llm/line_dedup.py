@@ -7,7 +7,8 @@ substrings for each length that a partner may have, at the places that the lengt
 choice).  Both are 64-bit hashes of (length, segment, substring).  Hashes that only one line gives are left out by an
 aggregation before lines meet; what meets is verified by a banded bit-parallel edit distance, many pairs at a time.
 
-Linked lines make classes, and a line stays only at the first place (doc_id, line) of its class.  Shorter lines stay.
+Linked lines make classes, and a line stays only at the first place (doc_id, line) of its class.  Shorter lines are
+not joined: with ``short_copies``, as in the query, equal ones are a class, found by their key; else they stay.
 """
 
 from __future__ import annotations
@@ -230,10 +231,10 @@ def _first(*columns: str) -> Column:
     return F.min(F.struct(*columns))
 
 
-def line_places(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Per different long line: key, class (a number), place (its first), class_place (its class's first), links."""
+def line_places(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short_copies: bool = False) -> DataFrame:
+    """Per different long line, with ``short_copies`` of any length: key, class (a number), place (its first), class_place (its class's first), links."""
     links = line_links(docs, edits, min_chars)
-    places = keep(long_lines(docs, min_chars).groupBy("key").agg(_first("doc_id", "doc", "at").alias("place")), "places")
+    places = keep(long_lines(docs, 0 if short_copies else min_chars).groupBy("key").agg(_first("doc_id", "doc", "at").alias("place")), "places")
     labels = components(links.where("a <> b")).select(F.col("node").alias("key"), F.col("label").alias("class"))
     degree = links.where("a = b").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("links"))
     linked = keep(labels.join(degree, "key").join(places, "key"), "linked")
@@ -242,33 +243,33 @@ def line_places(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     return places.join(linked, "key", "left").select("key", F.coalesce("class", "key").alias("class"), "place", F.coalesce("class_place", "place").alias("class_place"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
-def line_report(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_report(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short_copies: bool = False) -> DataFrame:
     """Per document: doc_id, n_lines, n_long, n_kept, n_copies, n_near, n_links.
 
-    n_long counts lines of ``min_chars`` characters or more; n_copies those that equal a line at an earlier place;
-    n_near those that differ from all earlier ones but belong to an earlier line's class; n_kept all other lines, the
-    short ones included; n_links the links of the lines that have their first place here.  A null text has no lines, an
+    n_long counts lines of ``min_chars`` characters or more; n_copies those (with ``short_copies`` lines of any length,
+    blank ones too) that equal a line at an earlier place; n_near those that differ from all earlier ones but belong to
+    an earlier line's class; n_kept all other lines, the other short ones included; n_links the links of the lines that have their first place here.  A null text has no lines, an
     empty one has one.  Equal rows (doc_id and text) share their places and each get a row.  Null doc_ids come first.
     Columns besides doc_id and text are not read."""
     docs = docs.select("doc_id", "text")
-    here = line_places(docs, edits, min_chars).groupBy("place.doc_id", "place.doc").agg(F.count("*").alias("firsts"), F.sum((F.col("place") == F.col("class_place")).cast("int")).alias("leading"), F.sum("links").alias("links"))
+    here = line_places(docs, edits, min_chars, short_copies).groupBy("place.doc_id", "place.doc").agg(F.count("*").alias("firsts"), F.sum((F.col("place") == F.col("class_place")).cast("int")).alias("leading"), F.sum("links").alias("links"))
     here = here.withColumnsRenamed({"doc_id": "_id", "doc": "_doc"})
     many = F.filter(F.split("text", "\n"), lambda x: F.length(x) >= min_chars)
     rows = docs.select("doc_id", F.xxhash64("text").alias("doc"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"), F.coalesce(F.size(many), F.lit(0)).alias("n_long"))
     rows = rows.withColumn("n_lines", F.greatest("n_lines", F.lit(0))).withColumn("n_long", F.greatest("n_long", F.lit(0)))
     out = rows.join(here, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("doc") == F.col("_doc")), "left").na.fill(0, ["firsts", "leading", "links"])
-    copies, near = F.col("n_long") - F.col("firsts"), F.col("firsts") - F.col("leading")
+    copies, near = F.col("n_lines" if short_copies else "n_long") - F.col("firsts"), F.col("firsts") - F.col("leading")
     return out.select("doc_id", "n_lines", "n_long", (F.col("n_lines") - copies - near).alias("n_kept"), copies.alias("n_copies"), near.alias("n_near"), F.col("links").alias("n_links"))
 
 
-def without_repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short_copies: bool = False) -> DataFrame:
     """``docs`` with the texts that are left: lines that stay, in order.  A null text stays null."""
-    leading = line_places(docs.select("doc_id", "text"), edits, min_chars).where("place = class_place")
+    leading = line_places(docs.select("doc_id", "text"), edits, min_chars, short_copies).where("place = class_place")
     stays = leading.groupBy(F.col("place.doc_id").alias("_id"), F.col("place.doc").alias("_doc")).agg(F.collect_set("place.at").alias("_stays"))
     joined = docs.join(stays, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_doc")), "left")
-    lines = F.filter(F.split("text", "\n"), lambda x, i: (F.length(x) < min_chars) | F.coalesce(F.array_contains("_stays", i), F.lit(False)))
+    lines = F.filter(F.split("text", "\n"), lambda x, i: (F.length(x) < (0 if short_copies else min_chars)) | F.coalesce(F.array_contains("_stays", i), F.lit(False)))
     return joined.withColumn("text", F.array_join(lines, "\n")).select(*docs.columns)
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_report(read(spark, sf_dir, "documents"))
+    return line_report(read(spark, sf_dir, "documents"), short_copies=True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from ledgerlink.llm import decontaminate, url_reputation
+from ledgerlink.llm import decontaminate, line_dedup, url_reputation
 
 WORDS = "the river runs past old stones while quiet birds watch grey water turn under bridges near villages where people sell bread".split()
 
@@ -40,3 +40,13 @@ def test_passages_cut_at_an_edge_are_found_at_any_distance(spark):
     found = decontaminate.hits(spark.createDataFrame(docs, "doc_id long, text string"), b).collect()
     assert {(r.doc_id, r.item_id) for r in found} == {(i, i) for i in range(40)}
     assert all(r.similarity >= 0.75 for r in found) and max(r.distance for r in found) > decontaminate.RADIUS
+
+
+def test_equal_short_lines_are_copies(spark, tmp_path):
+    long = "a line that is long enough to join"
+    df = spark.createDataFrame([(1, f"Menu\n{long}\n\nMenu"), (2, f"Menu\nMenus\n{long}s\n"), (3, None), (4, "")], "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: tuple(r)[1:6] for r in line_dedup.op4(spark, str(tmp_path)).collect()}
+    assert got == {1: (4, 1, 3, 1, 0), 2: (4, 1, 1, 2, 1), 3: (0, 0, 0, 0, 0), 4: (1, 0, 0, 1, 0)}
+    left = {r.doc_id: r.text for r in line_dedup.without_repeated_lines(df, short_copies=True).collect()}
+    assert left == {1: f"Menu\n{long}\n", 2: "Menus", 3: None, 4: ""}
