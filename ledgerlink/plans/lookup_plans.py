@@ -138,9 +138,12 @@ def url_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per key; an invalid key has the status 'invalid_key' and no query."""
     from ..functions.keys import is_valid_bpg, parse_bpg
-    k = _keys(spark, sf_dir).where(is_valid_bpg("bpg")).withColumn("p", parse_bpg("bpg"))
-    return k.select("seq", "bpg", LK.compose_query(F.col("p.bin"), F.col("p.pcn"), F.col("p.grp")).alias("query"))
+    k = _keys(spark, sf_dir).withColumn("p", parse_bpg("bpg")).withColumn("valid", is_valid_bpg("bpg"))
+    query = F.when(F.col("valid"), LK.compose_query(F.col("p.bin"), F.col("p.pcn"), F.col("p.grp")))
+    return k.select("seq", "bpg", query.alias("query"),
+                    F.when(F.col("valid"), F.lit("ok")).otherwise(F.lit("invalid_key")).alias("status"))
 
 
 CONFORM_COLUMNS = ["document_name", "page_no", "bin", "pcn", "grp", "plan_name", "effective_date", "channel"]
