@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlink.llm import decontaminate, language_id, line_dedup, mtree, near_dedup, raking, sharding, simple8b, toxicity, url_reputation
+from ledgerlink.llm import decontaminate, divergence, language_id, line_dedup, mtree, near_dedup, raking, sharding, simple8b, toxicity, url_reputation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,9 +21,11 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_decontamination": decontaminate.op8,
     "op9_hyperminhash_near_dedup": near_dedup.op9,
     "op10_mtree_top5": mtree.op10,
+    "op11_chunk_divergence": divergence.op11,
 }
 
 SQL: dict[str, str] = {
     "op2_host_reputation": url_reputation.OP2_SQL,
     "op8_simhash_decontamination": decontaminate.OP8_SQL,
+    "op11_chunk_divergence": divergence.OP11_SQL,
 }
