@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlink.llm import decontaminate, divergence, language_id, line_dedup, mtree, near_dedup, raking, sharding, simple8b, toxicity, url_reputation
+from ledgerlink.llm import decontaminate, divergence, language_id, line_dedup, mtree, near_dedup, raking, repair, sharding, simple8b, toxicity, url_reputation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,7 @@ QUERIES: dict[str, Query] = {
     "op9_hyperminhash_near_dedup": near_dedup.op9,
     "op10_mtree_top5": mtree.op10,
     "op11_chunk_divergence": divergence.op11,
+    "op12_auction_repair": repair.op12,
 }
 
 SQL: dict[str, str] = {
