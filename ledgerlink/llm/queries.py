@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlink.llm import decontaminate, divergence, language_id, line_dedup, mtree, near_dedup, raking, repair, sharding, simple8b, toxicity, url_reputation
+from ledgerlink.llm import decontaminate, divergence, language_id, line_dedup, mtree, near_dedup, passages, raking, repair, sharding, simple8b, toxicity, url_reputation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,7 @@ QUERIES: dict[str, Query] = {
     "op10_mtree_top5": mtree.op10,
     "op11_chunk_divergence": divergence.op11,
     "op12_auction_repair": repair.op12,
+    "op13_attention_quality": passages.op13,
 }
 
 SQL: dict[str, str] = {
