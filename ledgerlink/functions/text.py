@@ -164,7 +164,9 @@ def page_text(text, grid) -> Column:
 
 
 # Page parts that are not shown, tags that don't part words, and named character references.
-HIDDEN_PARTS = r"(?is)<!--.*?(?:-->|$)|<(script|style|head|noscript|template)\b[^>]*>.*?(?:</\1\s*>|$)"
+HIDDEN_TAGS = ("script", "style", "head", "noscript", "template")
+HIDDEN_PARTS = rf"(?is)<!--.*?(?:-->|$)|<({'|'.join(HIDDEN_TAGS)})\b[^>]*>.*?(?:</\1\s*>|$)"
+UNICODE_SPACES = r"\t\n\x0b\f\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 INLINE_TAGS = r"(?i)</?(?:a|abbr|b|code|em|font|i|mark|s|small|span|strong|sub|sup|u)\b[^>]*>"
 REFERENCES = {"nbsp": " ", "copy": "©", "middot": "·", "reg": "®", "trade": "™", "ndash": "–", "mdash": "—",
               "hellip": "…", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "quot": '"', "apos": "'",

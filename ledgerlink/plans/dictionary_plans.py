@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.text import visible_text, zero_for_slashed_o
 from ..operators import dictionary as DM
 from ..operators.ordered import merge_wrapped_lines
-from .base import param_table, table
+from .base import param_table, sql_visible_text, table
 
 WORD2 = r"^([A-Za-z]+ [A-Za-z]+)"
 WORD3 = r"^[A-Za-z]+ [A-Za-z]+ ([A-Za-z]+)"
@@ -74,7 +74,7 @@ def search_results(spark, sf_dir) -> DataFrame:
     return p.select(
         (F.col("page_id") / 10).cast("long").alias("query_id"),
         (F.col("page_id") % 10 + 1).cast("int").alias("pos"),
-        F.regexp_extract("html", r"<title>(.*?)</title>", 1).alias("title"),
+        F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1).alias("title"),
         F.col("url").alias("link"),
         visible_text("html").alias("snippet"))
 
@@ -148,13 +148,13 @@ SELECT documents.doc_id,
        coalesce(max(names) FILTER (WHERE d = 'payer'), 'Not Found') AS matched_payers
 FROM documents LEFT JOIN agg ON documents.doc_id = agg.doc_id
 GROUP BY documents.doc_id""",
-    "network_indicator": r"""
+    "network_indicator": f"""
 WITH res AS (
   SELECT CAST(page_id // 10 AS BIGINT) AS query_id, CAST(page_id % 10 + 1 AS INTEGER) AS pos, url AS link,
-         lower(concat_ws(' ', regexp_extract(html, '<title>(.*?)</title>', 1), url,
-                         regexp_extract(html, '<p>(.*?)</p>', 1))) AS t
+         lower(concat_ws(' ', regexp_extract(html, '(?s)<title>(.*?)</title>', 1), url,
+                         {sql_visible_text('html')})) AS t
   FROM pages),
-ind AS (SELECT * FROM (VALUES (1, '.org/', 'Org Network'), (2, '/de/', 'German Network'),
+""" + r"""ind AS (SELECT * FROM (VALUES (1, '.org/', 'Org Network'), (2, '/de/', 'German Network'),
                               (3, 'm.', 'Mobile Network'), (4, 'example.net', 'Net Network')) v(priority, indicator, network)),
 hits AS (SELECT res.query_id, res.pos, res.link, ind.priority, ind.network
          FROM res JOIN ind ON contains(res.t, lower(ind.indicator))),

@@ -5,7 +5,7 @@ Search results are the pages: query = page_id div 10, position = page_id mod
 10 + 1, title text = the page title's ASCII letters plus a layout suffix
 chosen by page_id mod 6, link = the URL (with '.pdf' added when page_id mod 3
 is 0), sitelinks = the page's anchors (with '.pdf' added to even-length ones),
-snippet = all text the page shows.
+snippet = all text the page shows, with a last paragraph chosen by page_id mod 7.
 Keyword and domain tables below are invented parameters.
 """
 
@@ -19,7 +19,7 @@ from ..functions.text import file_name_from_url, prefix_when, url_type, visible_
 from ..operators.conform import conform as _conform
 from ..operators.dictionary import first_by_priority, substring_matches
 from ..operators.links import pick_document_link
-from .base import param_table, table
+from .base import param_table, sql_visible_text, table
 from .dictionary_plans import INDICATORS
 from .extract_plans import parse_records
 from .keys_plans import _keys
@@ -28,6 +28,7 @@ from .keys_plans import _keys
 VENDOR_KEYWORDS = [("ththth", "Thread Health"), ("onen", "Onen Benefits")]
 TRUSTED_DOMAINS = ["example.org", "m."]
 CHANNEL_KEYWORDS = [("house", "Household"), ("mach", "Machinery"), ("auto", "Automotive"), ("build", "Building")]
+LATE_PARAGRAPHS = ["Effective 12 March 2021", "", "Choice Coverage for 2020-07-09", "", "Union Members", "Revised 3/14/2019", ""]
 SUFFIXES = [" Formulary", " Preferred Drug List", " PDL 2024", " Download Formulary", " Medicaid", ""]
 
 
@@ -51,10 +52,16 @@ def date_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("o_orderkey", "text", LK.extract_date("text").alias("document_date"))
 
 
+def late_paragraph():
+    """A last paragraph whose hits stand nowhere else on the page, chosen by page_id mod 7."""
+    return F.element_at(F.array(*[F.lit(f"<p>{x}</p>") for x in LATE_PARAGRAPHS]), (F.col("page_id") % 7 + 1).cast("int"))
+
+
 def search_results(spark, sf_dir) -> DataFrame:
     p = table(spark, sf_dir, "pages")
     suffix = F.element_at(F.array(*[F.lit(s) for s in SUFFIXES]), (F.col("page_id") % 6 + 1).cast("int"))
-    raw_title = F.regexp_extract("html", r"<title>(.*?)</title>", 1)
+    html = F.concat("html", late_paragraph())
+    raw_title = F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)
     title = F.concat(F.trim(F.regexp_replace(raw_title, "[^A-Za-z ]", " ")), suffix)
     link = F.when(F.col("page_id") % 3 == 0, F.concat("url", F.lit(".pdf"))).otherwise(F.col("url"))
     anchors = F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), 1)
@@ -62,7 +69,7 @@ def search_results(spark, sf_dir) -> DataFrame:
         F.when(F.length(a) % 2 == 0, F.concat(a, F.lit(".pdf"))).otherwise(a).alias("link")))
     return p.select("page_id", (F.col("page_id") / 10).cast("long").alias("query_id"),
                     (F.col("page_id") % 10 + 1).cast("int").alias("pos"), title.alias("title"),
-                    link.alias("link"), visible_text("html").alias("snippet"),
+                    link.alias("link"), visible_text(html).alias("snippet"),
                     sitelinks.alias("sitelinks"))
 
 
@@ -198,14 +205,15 @@ def _title_sql(expr: str) -> str:
     return "coalesce(" + ", ".join(cands) + ", 'Not Found')"
 
 
+SQL_HTML = "(html || [" + ", ".join(f"'<p>{x}</p>'" for x in LATE_PARAGRAPHS) + "][page_id % 7 + 1])"
 _SUFFIX_SQL = "[" + ", ".join(f"'{s}'" for s in SUFFIXES) + "]"
 _RESULTS = f"""
 WITH r0 AS (
   SELECT page_id, CAST(page_id // 10 AS BIGINT) AS query_id, CAST(page_id % 10 + 1 AS INTEGER) AS pos,
-         trim(regexp_replace(regexp_extract(html, '<title>(.*?)</title>', 1), '[^A-Za-z ]', ' ', 'g'))
+         trim(regexp_replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '[^A-Za-z ]', ' ', 'g'))
            || {_SUFFIX_SQL}[page_id % 6 + 1] AS title,
          CASE WHEN page_id % 3 = 0 THEN url || '.pdf' ELSE url END AS link,
-         regexp_extract(html, '<p>(.*?)</p>', 1) AS snippet,
+         {sql_visible_text(SQL_HTML)} AS snippet,
          list_transform(regexp_extract_all(html, 'href="([^"]*)"', 1),
                         lambda a: CASE WHEN length(a) % 2 = 0 THEN a || '.pdf' ELSE a END) AS sitelinks
   FROM pages),
@@ -287,9 +295,10 @@ def _more_sql():
     from .extract_plans import SQL as XS
     from .keys_plans import _K
     sq = _K + """
-SELECT seq, bpg, trim(concat_ws(' ', coalesce('BIN ' || bin, ''), coalesce('PCN ' || pcn, ''),
-                                 coalesce('GroupID ' || grp, ''), 'filetype:pdf')) AS query
-FROM q WHERE is_valid"""
+SELECT seq, bpg, CASE WHEN is_valid THEN trim(concat_ws(' ', coalesce('BIN ' || bin, ''), coalesce('PCN ' || pcn, ''),
+                                 coalesce('GroupID ' || grp, ''), 'filetype:pdf')) END AS query,
+       CASE WHEN is_valid THEN 'ok' ELSE 'invalid_key' END AS status
+FROM q"""
     pr = XS["parse_records"]
     cols = ", ".join(
         "page_no" if c == "page_no" else

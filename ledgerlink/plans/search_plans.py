@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import format_bin
 from ..operators import search as S
-from .base import param_table, sql_pad6, table
+from .base import param_table, sql_pad6, sql_visible_text, table
 from ..functions import lookup as LK
 from ..operators.dictionary import first_by_priority, substring_matches
 from ..operators.links import pick_document_link
-from .lookup_plans import (_RESULTS, _TRUSTED, TRUSTED_DOMAINS, VENDOR_KEYWORDS, _date_sql, _title_sql,
+from .lookup_plans import (_RESULTS, _TRUSTED, SQL_HTML, TRUSTED_DOMAINS, VENDOR_KEYWORDS, _date_sql, _title_sql,
                            search_results)
 
 PHRASES = ["Premium Benefits", "Tier ", "low deductible", "Retiree Members", "ref q"]
@@ -147,14 +147,14 @@ def _first_pattern_sql(text: str, patterns, extra: str | None = None) -> str:
     return "coalesce(" + ", ".join(hits) + ")"
 
 
-_RES = """
+_RES = f"""
 WITH r AS (
   SELECT CAST(page_id // 10 AS BIGINT) AS query_id, CAST(page_id % 10 + 1 AS INTEGER) AS pos,
          'q' || CAST(page_id // 10 AS VARCHAR) AS group_id,
          concat_ws(' ',
-           trim(regexp_replace(regexp_extract(html, '<title>(.*?)</title>', 1), '[^A-Za-z ]', ' ', 'g'))
+           trim(regexp_replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '[^A-Za-z ]', ' ', 'g'))
              || [' Formulary', ' Preferred Drug List', ' PDL 2024', ' Download Formulary', ' Medicaid', ''][page_id % 6 + 1],
-           regexp_extract(html, '<p>(.*?)</p>', 1),
+           {sql_visible_text(SQL_HTML)},
            CASE page_id % 5 WHEN 0 THEN 'Premium Benefits' WHEN 1 THEN 'Tier ' || CAST(page_id % 4 AS VARCHAR)
                             WHEN 2 THEN 'low deductible' WHEN 3 THEN 'Retiree Members'
                             ELSE 'ref q' || CAST(page_id // 10 AS VARCHAR) || 'AB7' END) AS text,
