@@ -50,13 +50,13 @@ def crc_fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut into runs of rows whose texts hold about PIECE_BYTES (one longer text is a run of its own)."""
+def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows whose texts hold about ``most`` bytes (one longer text is a run of its own)."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        run = np.cumsum(sizes, dtype=np.int64) // PIECE_BYTES
+        run = np.cumsum(sizes, dtype=np.int64) // most
         cuts = np.flatnonzero(np.diff(run)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             yield batch.slice(a, b - a)

@@ -3,12 +3,12 @@
 A term is a run of letters A-Z, a-z and characters beyond ASCII, A-Z lower-cased.  Terms never hold ASCII white space, so a
 document's terms are those of its whitespace chunks, and most chunks stand in many documents:
 
-1. ``chunk_counts`` counts the chunks of each document and adds them up for the documents of one Arrow batch: a row for
-   each (chunk, lang, source) with the occurrences, the number of documents, and, where those are few, their row numbers.
+1. ``chunk_counts`` counts the chunks of each document and adds them up for the documents of a piece of a partition: a
+   row for each (chunk, lang, source) with its occurrences and documents.
 2. ``occurrences`` deals these rows by chunk, adds them up, cuts each globally distinct chunk into its terms once and
    joins them back.
-3. ``kept_terms`` counts the distinct documents of each (lang, term).  A term has at least as many as its most frequent
-   chunk and at most as many as its chunks together; only where the threshold lies between are row numbers compared.
+3. ``candidates`` adds up terms.  A term stands in at least as many documents of its language as its most frequent chunk
+   and at most as many as its chunks together; ``kept_terms`` compares documents only where the threshold lies between.
 4. ``divergence`` compares smoothed shares in whole numbers.
 
 Each row of ``docs`` is one document, also where doc_id is null or repeats.  Null text, lang and source are read as ''.
@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlink.llm.common import bounded_batches, coded, keep, read, word_lists
+from ledgerlink.llm.common import bounded_batches, coded, keep, pieces, read, word_lists
 
 MIN_DOCS = 30
 SMOOTHING = 5
@@ -42,21 +42,25 @@ BLOCK_SOURCES = 32
 #: Bytes of a chunk: letters and bytes beyond ASCII stay (A-Z lower-cased), line feeds divide chunks, all else divides terms.
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 or c == 10 else 32 for c in range(256))
 
-_COUNTS = "chunk string, lang string, source string, n long, d long, ids array<long>"
-_TERMS = "lang string, source string, term string, n long, d long, most long, ids array<long>"
+SMALL_BYTES = 8 << 20  # of open terms or their chunks sent to every task; more are joined by shuffle
+PIECE_BYTES = 8 << 20
 
+_COUNTS = "chunk string, lang string, source string, n long, d long"
+_TERMS = "lang string, source string, term string, n long, d long, most long, chunk string"
 
-def chunk_counts(docs: DataFrame, few: int) -> DataFrame:
-    """Chunk, lang, source, ``n`` occurrences and ``d`` documents within one batch, their row numbers where d < few."""
+
+def chunk_counts(docs: DataFrame) -> DataFrame:
+    """Chunk, lang, source, ``n`` occurrences and ``d`` documents within one piece, in the order of chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            chunks, counts = word_lists(batch.column("text"))
+        for piece in pieces(batches, most=PIECE_BYTES):
+            chunks, counts = word_lists(piece.column("text"))
             code, distinct = coded(chunks)
-            lang, source = (batch.column(c).dictionary_encode() for c in ("lang", "source"))
+            if not distinct:
+                continue
+            lang, source = (piece.column(c).dictionary_encode() for c in ("lang", "source"))
             group = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
-            order = np.argsort(np.array(distinct, object), kind="stable") if distinct else np.zeros(0, np.int64)
+            order = np.argsort(np.array(distinct, object), kind="stable")
             rank = np.empty(len(distinct), np.int64)
             rank[order] = np.arange(len(distinct))
             # one number for (chunk, document): documents come group by group, so a group's documents are neighbours
@@ -64,32 +68,47 @@ def chunk_counts(docs: DataFrame, few: int) -> DataFrame:
             place = np.empty(len(group), np.int64)
             place[by_group] = np.arange(len(group))
             key, n = np.unique(rank[code] * len(group) + np.repeat(place, counts), return_counts=True)
-            row = by_group[key % max(len(group), 1)]
-            chunk = key // max(len(group), 1)
-            starts = np.flatnonzero(np.r_[True, (np.diff(chunk) != 0) | (np.diff(group[row]) != 0)][: len(key)])
-            d = np.diff(np.r_[starts, len(key)])
-            listed = np.repeat(d < few, d)
-            ends = np.r_[0, np.cumsum(np.where(d < few, d, 0))].astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(first + row[listed]), mask=pa.array(d >= few))
-            of = group[row[starts]]
+            chunk, of = key // len(group), group[by_group[key % len(group)]]
+            starts = np.flatnonzero(np.r_[True, (np.diff(chunk) != 0) | (np.diff(of) != 0)])
+            of = of[starts]
             yield pa.RecordBatch.from_arrays([
                 pa.array(distinct, pa.string()).take(pa.array(order[chunk[starts]])),
-                lang.dictionary.take(pa.array(of // max(len(source.dictionary), 1))),
-                source.dictionary.take(pa.array(of % max(len(source.dictionary), 1))),
-                pa.array(np.add.reduceat(n, starts) if len(starts) else np.zeros(0, np.int64), pa.int64()),
-                pa.array(d, pa.int64()), ids], names=["chunk", "lang", "source", "n", "d", "ids"])
-            first += batch.num_rows
+                lang.dictionary.take(pa.array(of // len(source.dictionary))),
+                source.dictionary.take(pa.array(of % len(source.dictionary))),
+                pa.array(np.add.reduceat(n, starts)), pa.array(np.diff(np.r_[starts, len(key)]))], names=["chunk", "lang", "source", "n", "d"])
 
     bounded_batches(docs.sparkSession)
     return docs.mapInArrow(run, _COUNTS)
 
 
+def chunk_documents(docs: DataFrame, wanted: pa.Array | None) -> DataFrame:
+    """lang, chunk and a number for the document, for each distinct chunk of each document (of the wanted ones)."""
+    sent = docs.sparkSession.sparkContext.broadcast(wanted)  # bounded by SMALL_BYTES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 33
+        for piece in pieces(batches, most=PIECE_BYTES):
+            chunks, counts = word_lists(piece.column("text"))
+            chunks = chunks.dictionary_encode()
+            code = chunks.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(len(counts)), counts)
+            if sent.value is not None:
+                open_ = pc.is_in(chunks.dictionary, value_set=sent.value).to_numpy(zero_copy_only=False)[code]
+                code, row = code[open_], row[open_]
+            key = np.unique(row * max(len(chunks.dictionary), 1) + code)
+            row, code = key // max(len(chunks.dictionary), 1), key % max(len(chunks.dictionary), 1)
+            yield pa.RecordBatch.from_arrays([piece.column("lang").take(pa.array(row)), chunks.dictionary.take(pa.array(code)), pa.array(first + row)], names=["lang", "chunk", "id"])
+            first += piece.num_rows
+
+    return docs.mapInArrow(run, "lang string, chunk string, id long")
+
+
 def _terms_of(chunks: list[str]) -> list[list[bytes]]:
     return [x.split() for x in "\n".join(chunks).encode().translate(_PLAIN).split(b"\n")] if chunks else []
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each chunk's rows with its terms; rows come in the order of their chunks, so that each is cut once."""
+def _cut(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterator[pa.RecordBatch]:
+    """Each chunk's rows with its terms; rows come in the order of chunk and lang, so that each chunk is cut once."""
     last: tuple[str, list[bytes]] = ("", [])
     for batch in batches:
         code, distinct = coded(batch.column("chunk"))
@@ -101,38 +120,59 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = [list(Counter(x).items()) if len(x) > 1 else [(y, 1) for y in x] for x in cut]
         size = np.array([len(x) for x in count], np.int64)
         start = np.cumsum(size) - size
+        lang = batch.column("lang").dictionary_encode().indices.to_numpy()
+        d = batch.column("d").to_numpy()
+        runs = np.flatnonzero(np.r_[True, (np.diff(code) != 0) | (np.diff(lang) != 0)])
+        most = np.repeat(np.add.reduceat(d, runs), np.diff(np.r_[runs, len(d)]))
         many = size[code]
-        row = pa.array(np.repeat(np.arange(len(code)), many))
+        row = np.repeat(np.arange(len(code)), many)
         at = np.repeat(start[code] - (np.cumsum(many) - many), many) + np.arange(many.sum())
         terms = pa.array([t.decode() for x in count for t, _ in x], pa.string())
         times = np.array([k for x in count for _, k in x], np.int64)
-        n = batch.column("n").take(row).to_numpy(zero_copy_only=False) * times[at]
-        yield pa.RecordBatch.from_arrays([
-            batch.column("lang").take(row), batch.column("source").take(row), terms.take(pa.array(at)), pa.array(n),
-            *(batch.column(c).take(row) for c in ("d", "most", "ids"))], names=["lang", "source", "term", "n", "d", "most", "ids"])
+        rare = pc.if_else(pa.array(most < min_docs), batch.column("chunk"), None)
+        lang, source = batch.column("lang").take(pa.array(row)), batch.column("source").take(pa.array(row))
+        yield pa.RecordBatch.from_arrays([lang, source, terms.take(pa.array(at)), pa.array(batch.column("n").to_numpy()[row] * times[at]), pa.array(d[row]), pa.array(most[row]), rare.take(pa.array(row))], names=["lang", "source", "term", "n", "d", "most", "chunk"])
+
+
+def plain_docs(docs: DataFrame) -> DataFrame:
+    return docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")))
 
 
 def occurrences(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """lang, source, term for each chunk that holds the term: ``n`` occurrences, ``d`` documents of the chunk in the
-    group, ``most`` documents of the chunk in the language, and ``ids`` of the documents where ``most`` < min_docs.
+    group, ``most``: so many documents of the language hold the chunk at least, and ``chunk`` itself where those are
+    fewer than min_docs.  A frequent chunk comes as one row for each piece and group, and is summed where it lies."""
+    dealt = chunk_counts(docs).repartition("chunk")
+    summed = dealt.groupBy("chunk", "lang", "source").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
+    cut = summed.sortWithinPartitions("chunk", "lang").mapInArrow(lambda batches: _cut(batches, min_docs), _TERMS)
+    return keep(cut, "terms")
+
+
+def candidates(found: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """lang, source, term, ``n`` for the terms that min_docs documents of the language may hold, with ``lang_n``
+    occurrences in the language and whether the term is ``sure`` to be kept.  Dealt once, by (lang, term)."""
+    dealt = found.select("lang", "source", "term", "n", "d", "most").repartition("lang", "term")
+    groups = dealt.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("d").alias("d"), F.max("most").alias("most"))
+    terms = groups.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("d").alias("total"), F.max("most").alias("least")).where(F.col("total") >= min_docs)
+    both = groups.join(terms, ["lang", "term"])
+    return keep(both.select("lang", "source", "term", "n", "d", "most", "lang_n", (F.col("least") >= min_docs).alias("sure")), "term-candidates")
+
 
-    A frequent chunk comes as one row for each batch and group; the rows of a chunk are summed where they lie."""
-    docs = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")))
-    dealt = chunk_counts(docs, min_docs).repartition("chunk")
-    in_lang = F.sum("d").over(Window.partitionBy("chunk", "lang"))
-    dealt = dealt.withColumn("most", in_lang).withColumn("ids", F.when(F.col("most") < min_docs, F.col("ids")))
-    summed = dealt.groupBy("chunk", "lang", "source").agg(F.sum("n").alias("n"), F.sum("d").alias("d"), F.max("most").alias("most"), F.flatten(F.collect_list("ids")).alias("ids"))
-    return keep(summed.sortWithinPartitions("chunk").mapInArrow(_cut, _TERMS), "terms")
+def _is_small(df: DataFrame, column: str) -> bool:
+    """Whether the strings of a kept table take SMALL_BYTES at most, 64 bytes a row for the rest."""
+    return (df.agg(F.sum(F.octet_length(column) + 64)).first()[0] or 0) <= SMALL_BYTES
 
 
-def kept_terms(found: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(lang, term) in at least ``min_docs`` documents of the language, out of ``occurrences``."""
-    bounds = found.groupBy("lang", "term").agg(F.max("most").alias("least"), F.sum("d").alias("total")).where(F.col("total") >= min_docs)
-    bounds = keep(bounds, "term-bounds")
-    open_ = bounds.where(F.col("least") < min_docs).select("lang", "term")
-    ids = found.where(F.col("most") < min_docs).join(open_, ["lang", "term"], "left_semi").select("lang", "term", F.explode("ids").alias("id"))
-    exact = ids.distinct().groupBy("lang", "term").count().where(F.col("count") >= min_docs)
-    return keep(bounds.where(F.col("least") >= min_docs).select("lang", "term").unionByName(exact.select("lang", "term")), "kept-terms")
+def kept_terms(docs: DataFrame, found: DataFrame, terms: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(lang, term) in at least ``min_docs`` documents of the language, out of ``occurrences`` and ``candidates``."""
+    open_ = keep(terms.where("not sure").select("lang", "term").distinct(), "open-terms")
+    sent = F.broadcast(open_) if _is_small(open_, "term") else open_
+    chunks = found.where("chunk is not null").select("lang", "term", "chunk").join(sent, ["lang", "term"]).distinct()
+    chunks = keep(chunks, "open-chunks")
+    wanted = pa.array(chunks.select("chunk").distinct().toArrow().column(0).combine_chunks()) if _is_small(chunks, "chunk") else None
+    ids = chunk_documents(docs, wanted).join(chunks, ["lang", "chunk"]).select("lang", "term", "id").distinct()
+    exact = ids.groupBy("lang", "term").count().where(F.col("count") >= min_docs)
+    return keep(terms.where("sure").select("lang", "term").distinct().unionByName(exact.select("lang", "term")), "kept-terms")
 
 
 def share(count: Column, total: Column, size: Column) -> Column:
@@ -162,10 +202,12 @@ def _differences(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS) -> DataFrame:
     """lang, source, part, item, value, rank: ``pair`` compares a source's shares with each other source of the
     language, ``term`` has the source's ``top_terms`` terms with the largest excess over the language's share."""
+    docs = plain_docs(docs)
     found = occurrences(docs, min_docs)
-    kept = kept_terms(found, min_docs)
-    counts = keep(found.join(kept, ["lang", "term"], "left_semi").groupBy("lang", "source", "term").agg(F.sum("n").alias("n")), "term-counts")
-    groups = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source"))).distinct()
+    terms = candidates(found, min_docs)
+    kept = kept_terms(docs, found, terms, min_docs)
+    counts = keep(terms.select("lang", "source", "term", "n", "lang_n").join(kept, ["lang", "term"], "left_semi"), "term-counts")
+    groups = docs.select("lang", "source").distinct()
     sizes = kept.groupBy("lang").agg(F.count("*").alias("size"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = groups.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left").fillna(0, ["total", "size"])
@@ -189,9 +231,8 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_T
     rest = (F.col("size") - F.col("terms")) * F.abs(F.col("own0") - F.col("other0"))
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", (F.col("part") + rest).alias("value"))
 
-    of_lang = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
-    lang_totals = of_lang.groupBy("lang").agg(F.sum("lang_n").alias("lang_total"))
-    excess = shares.join(of_lang, ["lang", "term"]).join(lang_totals, "lang")
+    lang_totals = counts.groupBy("lang").agg(F.sum("n").alias("lang_total"))
+    excess = shares.join(lang_totals, "lang")
     excess = excess.withColumn("value", F.col("p") - share(F.col("lang_n"), F.col("lang_total"), F.col("size"))).where("value > 0")
     terms = excess.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value")
 
