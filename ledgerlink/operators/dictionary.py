@@ -2,11 +2,11 @@
 
 No text x dictionary nested loop:
 
-* C8 (case-insensitive, word-bounded): every token of a matching name occurs
-  in the line as a whole word run, so lines are tokenised into word runs and
-  joined to the names on each name's longest token; the candidates are then
-  verified with the exact pattern ``(?i)\\b<name>\\b``.  Names without any
-  word character (no token) take the substring candidates below.
+* C8 (case-insensitive, word-bounded): lower-cased lines and names are cut where word runs begin and end; a name that
+  begins and ends with a word run occurs on word boundaries exactly where its pieces are the line's pieces.  The line's
+  pieces are an index by position: they are joined to the names on each name's longest word, and the name is compared
+  with the text of as many pieces at its place.  No pattern is compiled for a row.  Other names (no word character at
+  an end) take the substring candidates below and the pattern ``(?i)\\b<name>\\b``.
 * C9/C13 (plain substring): lines are cut into character q-grams and joined
   to the patterns on each pattern's first q-gram; candidates are verified
   with ``contains``.  Patterns shorter than q are keyed by their whole text
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import let
+from .sizes import BROADCAST_BYTES, measured
 
 # word characters as Java's \b sees them: letters, decimal digits, underscore
 WORD_RUN = r"[\p{L}\p{Nd}_]+"
@@ -30,18 +31,12 @@ def _quote(c: Column) -> Column:
     return F.concat(F.lit("\\Q"), F.replace(c, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
 
 
-BROADCAST_ROWS = 200_000
+# where a word run begins or ends
+EDGES = r"(?<=[\p{L}\p{Nd}_])(?=[^\p{L}\p{Nd}_])|(?<=[^\p{L}\p{Nd}_])(?=[\p{L}\p{Nd}_])"
 FEW_PATTERNS = 64
 PIECE_CHARS = 256
 
 
-def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a dimension only after counting it: at most ``limit`` rows are
-    sent to every task; a larger table is left to a shuffle join (AQE may still
-    broadcast it when its measured size is small)."""
-    return F.broadcast(df) if df.count() <= limit else df
-
-
 def substring_matches(lines: DataFrame, patterns: DataFrame, line_keys: list[str], text_col: str = "text",
                       pattern_col: str = "pattern", q: int = 3, lower: bool = True) -> DataFrame:
     """C9/C13 hits: one row per (line, pattern) where the text contains the
@@ -90,7 +85,7 @@ def substring_matches(lines: DataFrame, patterns: DataFrame, line_keys: list[str
     grams = pos.select(*line_keys, "_sm_at", "_sm_t", "_sm_i", F.explode(F.array(
         *[F.substring("_sm_t", F.col("_sm_i"), F.lit(L)) for L in lengths])).alias("_sm_g"))
     at_pos = F.substring(F.col("_sm_t"), F.col("_sm_i"), F.length("_sm_p")) == F.col("_sm_p")
-    if stats["n"] <= BROADCAST_ROWS:
+    if measured(pt) <= BROADCAST_BYTES:
         hits = grams.join(F.broadcast(pt), "_sm_g").where(at_pos)
     else:
         cand = grams.select(*line_keys, "_sm_at", "_sm_i", "_sm_g").join(pt, "_sm_g")
@@ -102,32 +97,34 @@ def word_matches(lines: DataFrame, names: DataFrame, line_keys: list[str], text_
                  name_col: str = "name") -> DataFrame:
     """C8 hits: one row per (line, name) where the name occurs as a whole word run.
 
-    ``lines``: line_keys + text_col; ``names``: name_col (+ any payload).
+    ``lines``: line_keys (which identify a line) + text_col; ``names``: name_col (+ any payload).
     Output: line_keys, names' columns, ``offset`` (1-based first position).
     """
-    nm = (names.where(F.col(name_col).isNotNull() & (F.trim(F.col(name_col)) != ""))
-          .withColumn("_dm_toks", F.regexp_extract_all(F.lower(F.col(name_col)), F.lit(WORD_RUN), 0)))
-    longest = F.aggregate("_dm_toks", F.lit(""),
-                          lambda acc, t: F.when(F.length(t) > F.length(acc), t).otherwise(acc))
-    nm = nm.withColumn("_dm_key", F.when(F.size("_dm_toks") > 0, longest)).drop("_dm_toks")
-    toks = lines.select(*line_keys, text_col, F.explode_outer(F.array_distinct(
-        F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD_RUN), 0))).alias("_dm_key")) \
-        .where(F.col("_dm_key").isNotNull())
-    # one pass over the (dimension-sized) names: size for the broadcast bound
-    # and whether any name has no word token
-    stats = nm.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_dm_key").isNull()).alias("no_tok")).first()
-    with_tok = nm.where(F.col("_dm_key").isNotNull())
-    with_tok = F.broadcast(with_tok) if stats["n"] <= BROADCAST_ROWS else with_tok
-    cand = toks.join(with_tok, "_dm_key").drop("_dm_key")
-    if stats["no_tok"] > 0:
-        # names without word characters: substring hits are the candidates
-        no_tok = nm.where(F.col("_dm_key").isNull()).drop("_dm_key")
-        sub = substring_matches(lines, no_tok, line_keys, text_col, name_col).drop("offset")
-        cand = cand.unionByName(sub.join(lines.select(*line_keys, text_col), list(line_keys)))
+    payload = names.columns
+    nm = names.where(F.col(name_col).isNotNull() & (F.trim(F.col(name_col)) != "")).withColumn("_dm_low", F.lower(F.col(name_col)))
+    bounded = F.col("_dm_low").rlike(r"(?s)^[\p{L}\p{Nd}_](.*[\p{L}\p{Nd}_])?$")
+    parts = F.filter(F.transform(F.split("_dm_low", EDGES, -1), lambda x, i: F.struct(F.length(x).alias("n"), (-i).alias("i"), x.alias("word"))), lambda x: x["word"].rlike(WORD_RUN))
+    keyed = nm.where(bounded).withColumn("_dm_k", F.array_max(parts)).select(
+        *payload, "_dm_low", F.col("_dm_k.word").alias("_dm_word"), (-F.col("_dm_k.i")).alias("_dm_at"), F.size(F.split("_dm_low", EDGES, -1)).alias("_dm_n"))
+    cut = lines.select(*line_keys, F.split(F.lower(F.col(text_col)), EDGES, -1).alias("_dm_p"))
+    # outer: no condition on the pieces is inferred below the generator, where they would be cut again
+    words = cut.select(*line_keys, "_dm_p", F.posexplode_outer("_dm_p").alias("_dm_i", "_dm_word")).where(F.col("_dm_word").rlike("^" + WORD_RUN))
+    start = F.col("_dm_i") - F.col("_dm_at")
+    same = (start >= 0) & (F.array_join(F.slice("_dm_p", F.greatest(start, F.lit(0)) + 1, F.col("_dm_n")), "") == F.col("_dm_low"))
+    offset = F.length(F.array_join(F.slice("_dm_p", 1, F.col("_dm_s")), "")) + 1
+    if measured(keyed) <= BROADCAST_BYTES:
+        found = words.join(F.broadcast(keyed), "_dm_word").where(same).withColumn("_dm_s", start)
+    else:  # the pieces stay behind: candidates go back to their lines
+        found = words.drop("_dm_p").join(keyed, "_dm_word").join(cut, line_keys).where(same).withColumn("_dm_s", start)
+    hits = found.groupBy(*line_keys, *payload).agg(F.min(offset).cast("int").alias("offset"))
+    odd = nm.where(~bounded).select(*payload)
+    if odd.isEmpty():
+        return hits
     pattern = F.concat(F.lit("(?iuU)\\b"), _quote(F.col(name_col)), F.lit("\\b"))
-    hits = cand.withColumn("_dm_pat", pattern).where(F.expr(f"`{text_col}` RLIKE _dm_pat"))
-    hits = hits.withColumn("offset", F.expr(f"regexp_instr(`{text_col}`, _dm_pat)"))
-    return hits.drop("_dm_pat", text_col)
+    sub = substring_matches(lines, odd, line_keys, text_col, name_col).drop("offset")
+    cand = sub.join(lines.select(*line_keys, text_col), list(line_keys)).withColumn("_dm_pat", pattern)
+    verified = cand.where(F.expr(f"`{text_col}` RLIKE _dm_pat")).withColumn("offset", F.expr(f"regexp_instr(`{text_col}`, _dm_pat)"))
+    return hits.unionByName(verified.select(*hits.columns))
 
 
 def hit_list(hits: DataFrame, group_keys: list[str], name_col: str, order_cols: list[str],

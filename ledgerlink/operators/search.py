@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .dictionary import bounded_broadcast, first_by_priority, substring_matches
+from .dictionary import _quote, first_by_priority, substring_matches
+from .sizes import small_side
 
 # Plan-variant phrases, tried in this order (case-insensitive).
 BENEFIT_PATTERNS = (
@@ -21,10 +22,6 @@ GROUP_PATTERNS = (
 )
 
 
-def _quote(c: Column) -> Column:
-    return F.concat(F.lit("\\Q"), F.replace(c, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
-
-
 def variant_phrase(text_col: str, patterns=BENEFIT_PATTERNS, pattern_col: str | None = None) -> Column:
     """B28 per result: the whole match of the first pattern (in order) found in
     the text, stripped.  ``pattern_col`` names a column holding one more,
@@ -65,7 +62,7 @@ def group_rule_lookup(keys: DataFrame, id_cols: list[str], group_col: str, rules
     upper-cased id, 'contains' looks for the pattern inside it; the first rule
     by priority wins; no rule -> null label."""
     up = keys.select(*id_cols, F.upper(F.col(group_col)).alias("_gr_id"))
-    exact = (up.join(bounded_broadcast(rules.where(F.col("kind") == "exact")
+    exact = (up.join(small_side(rules.where(F.col("kind") == "exact")
                                        .select("priority", F.upper("pattern").alias("_gr_id"), "label")), "_gr_id"))
     contains = substring_matches(up, rules.where(F.col("kind") == "contains"), list(id_cols), "_gr_id",
                                  "pattern", lower=False)

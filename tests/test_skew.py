@@ -105,3 +105,16 @@ def test_word_matches_hot_token(skewed):
     got = {(r["id"], r["name"]) for r in word_matches(l, n, ["id"], "line", "name").collect()}
     want = {(i, x) for i, t in lines for x in names if re.search(r"(?i)\b" + re.escape(x) + r"\b", t)}
     assert got == want
+
+
+def test_gap_fill_many_levels(skewed):
+    """Blocks of 3, levels of 4: values travel over several levels; a group's first rows lie far apart from its last."""
+    rng = random.Random(6)
+    rows = [(0 if i % 3 == 0 else rng.randint(1, 5), i * (1 if i < 1500 else 7), rng.choice([None] * 40 + [str(i)]), rng.choice(["", "x"])) for i in range(3000)]
+    df = skewed.createDataFrame(rows, "g int, seq long, bin string, pcn string")
+    plain = {(r["seq"], r["bin"]) for r in O.gap_fill(df, ["g"], "seq").collect()}
+    blocked = df.withColumn("blk", F.floor(F.col("seq") / 3))
+    filled = O.gap_fill(blocked, ["g"], "seq", block_col="blk", fan=4)
+    assert {(r["seq"], r["bin"]) for r in filled.collect()} == plain
+    # three levels above the blocks' own: ceil(log4 of 3,500 blocks) sweeps
+    assert filled._jdf.queryExecution().optimizedPlan().toString().count("Window [") >= 6
