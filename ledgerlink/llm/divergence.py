@@ -7,8 +7,8 @@ document's terms are those of its whitespace chunks, and most chunks stand in ma
    row for each (chunk, lang, source) with its occurrences and documents.
 2. ``occurrences`` deals these rows by chunk, adds them up, cuts each globally distinct chunk into its terms once and
    joins them back.
-3. ``candidates`` adds up terms.  A term stands in at least as many documents of its language as its most frequent chunk
-   and at most as many as its chunks together; ``kept_terms`` compares documents only where the threshold lies between.
+3. ``candidates`` adds up terms.  A term stands in at least as many documents of a group as its most frequent chunk and
+   at most as many as its chunks together; ``kept_terms`` compares documents only where the threshold lies between.
 4. ``divergence`` compares smoothed shares in whole numbers.
 
 Each row of ``docs`` is one document, also where doc_id is null or repeats.  Null text, lang and source are read as ''.
@@ -36,17 +36,17 @@ MIN_DOCS = 30
 SMOOTHING = 5
 UNIT = 1_000_000_000
 TOP_TERMS = 50
-BLOCK_TERMS = 16_384  # terms, and sources on each side, that one comparison task holds
+BLOCK_TERMS = 1_024  # terms, and sources on each side, that one comparison task holds
 BLOCK_SOURCES = 32
 
 #: Bytes of a chunk: letters and bytes beyond ASCII stay (A-Z lower-cased), line feeds divide chunks, all else divides terms.
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 or c == 10 else 32 for c in range(256))
 
 SMALL_BYTES = 8 << 20  # of open terms or their chunks sent to every task; more are joined by shuffle
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 16 << 20
 
 _COUNTS = "chunk string, lang string, source string, n long, d long"
-_TERMS = "lang string, source string, term string, n long, d long, most long, chunk string"
+_TERMS = "lang string, source string, term string, n long, d long, chunk string"
 
 
 def chunk_counts(docs: DataFrame) -> DataFrame:
@@ -55,27 +55,29 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, most=PIECE_BYTES):
             chunks, counts = word_lists(piece.column("text"))
-            code, distinct = coded(chunks)
-            if not distinct:
+            chunks = chunks.dictionary_encode()
+            if not len(chunks):
                 continue
             lang, source = (piece.column(c).dictionary_encode() for c in ("lang", "source"))
             group = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
-            order = np.argsort(np.array(distinct, object), kind="stable")
-            rank = np.empty(len(distinct), np.int64)
-            rank[order] = np.arange(len(distinct))
             # one number for (chunk, document): documents come group by group, so a group's documents are neighbours
             by_group = np.argsort(group, kind="stable")
             place = np.empty(len(group), np.int64)
             place[by_group] = np.arange(len(group))
-            key, n = np.unique(rank[code] * len(group) + np.repeat(place, counts), return_counts=True)
-            chunk, of = key // len(group), group[by_group[key % len(group)]]
-            starts = np.flatnonzero(np.r_[True, (np.diff(chunk) != 0) | (np.diff(of) != 0)])
+            key = chunks.indices.to_numpy(zero_copy_only=False) * np.int64(len(group))
+            key += np.repeat(place, counts)
+            key.sort()
+            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])  # of each (chunk, document)
+            n = np.diff(np.r_[first, len(key)])
+            chunk, of = np.divmod(key[first], len(group))
+            of = group[by_group[of]]
+            starts = np.flatnonzero(np.r_[True, (chunk[1:] != chunk[:-1]) | (of[1:] != of[:-1])])
             of = of[starts]
             yield pa.RecordBatch.from_arrays([
-                pa.array(distinct, pa.string()).take(pa.array(order[chunk[starts]])),
+                chunks.dictionary.take(pa.array(chunk[starts])),
                 lang.dictionary.take(pa.array(of // len(source.dictionary))),
                 source.dictionary.take(pa.array(of % len(source.dictionary))),
-                pa.array(np.add.reduceat(n, starts)), pa.array(np.diff(np.r_[starts, len(key)]))], names=["chunk", "lang", "source", "n", "d"])
+                pa.array(np.add.reduceat(n, starts)), pa.array(np.diff(np.r_[starts, len(first)]))], names=["chunk", "lang", "source", "n", "d"])
 
     bounded_batches(docs.sparkSession)
     return docs.mapInArrow(run, _COUNTS)
@@ -131,7 +133,7 @@ def _cut(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterator[pa.Record
         times = np.array([k for x in count for _, k in x], np.int64)
         rare = pc.if_else(pa.array(most < min_docs), batch.column("chunk"), None)
         lang, source = batch.column("lang").take(pa.array(row)), batch.column("source").take(pa.array(row))
-        yield pa.RecordBatch.from_arrays([lang, source, terms.take(pa.array(at)), pa.array(batch.column("n").to_numpy()[row] * times[at]), pa.array(d[row]), pa.array(most[row]), rare.take(pa.array(row))], names=["lang", "source", "term", "n", "d", "most", "chunk"])
+        yield pa.RecordBatch.from_arrays([lang, source, terms.take(pa.array(at)), pa.array(batch.column("n").to_numpy()[row] * times[at]), pa.array(d[row]), rare.take(pa.array(row))], names=["lang", "source", "term", "n", "d", "chunk"])
 
 
 def plain_docs(docs: DataFrame) -> DataFrame:
@@ -140,8 +142,8 @@ def plain_docs(docs: DataFrame) -> DataFrame:
 
 def occurrences(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """lang, source, term for each chunk that holds the term: ``n`` occurrences, ``d`` documents of the chunk in the
-    group, ``most``: so many documents of the language hold the chunk at least, and ``chunk`` itself where those are
-    fewer than min_docs.  A frequent chunk comes as one row for each piece and group, and is summed where it lies."""
+    group, and ``chunk`` itself where the documents seen beside it are fewer than min_docs in the language.  A frequent
+    chunk comes as one row for each piece and group, and is summed where it lies."""
     dealt = chunk_counts(docs).repartition("chunk")
     summed = dealt.groupBy("chunk", "lang", "source").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
     cut = summed.sortWithinPartitions("chunk", "lang").mapInArrow(lambda batches: _cut(batches, min_docs), _TERMS)
@@ -151,9 +153,10 @@ def occurrences(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 def candidates(found: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """lang, source, term, ``n`` for the terms that min_docs documents of the language may hold, with ``lang_n``
     occurrences in the language and whether the term is ``sure`` to be kept.  Dealt once, by (lang, term)."""
-    dealt = found.select("lang", "source", "term", "n", "d", "most").repartition("lang", "term")
-    groups = dealt.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("d").alias("d"), F.max("most").alias("most"))
-    terms = groups.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("d").alias("total"), F.max("most").alias("least")).where(F.col("total") >= min_docs)
+    dealt = found.select("lang", "source", "term", "n", "d").repartition("lang", "term")
+    groups = dealt.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("d").alias("d"), F.max("d").alias("most"))
+    # no document stands in two groups, so what each group has at least adds up
+    terms = groups.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("d").alias("total"), F.sum("most").alias("least")).where(F.col("total") >= min_docs)
     both = groups.join(terms, ["lang", "term"])
     return keep(both.select("lang", "source", "term", "n", "d", "most", "lang_n", (F.col("least") >= min_docs).alias("sure")), "term-candidates")
 
@@ -195,7 +198,7 @@ def _differences(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     for a in np.flatnonzero(block == i):
         others = np.flatnonzero(block == j) if i != j else np.arange(a + 1, len(sources))
         for b in others:
-            out.append((key[0], sources[a], sources[b], int(np.abs(table[a] - table[b]).sum()), table.shape[1]))
+            out.append((key[0], *sorted((sources[a], sources[b])), int(np.abs(table[a] - table[b]).sum()), table.shape[1]))
     return pd.DataFrame(out, columns=["lang", "a", "b", "part", "terms"])
 
 
