@@ -36,6 +36,16 @@ def _first_non_empty(value: str, order: list[Column]) -> Column:
     return F.min(F.when(F.length(v) > 0, F.struct(*order, py_strip(v).alias("v"))))
 
 
+def first_values(df: DataFrame, doc_col: str, fields: list[str], page_col: str | None = "page_no",
+                 seq_col: str = "seq") -> DataFrame:
+    """The aggregate of F1/F2: per document and field ``struct(order..., v)`` of its first non-empty value, or null.
+    The least of two such structs is that of their rows together, so partial results merge with ``min``."""
+    # rows without a page number come after all pages
+    order = ([F.col(page_col).isNull().alias("n"), F.col(page_col).alias("p")] if page_col else []) \
+        + [F.col(seq_col).alias("s")]
+    return df.groupBy(doc_col).agg(*[_first_non_empty(f, order).alias(f) for f in fields])
+
+
 def doc_backfill(df: DataFrame, doc_col: str, fields: list[str], page_col: str | None = "page_no",
                  seq_col: str = "seq") -> DataFrame:
     """F1 (``page_col`` given) / F2 (``page_col=None``: arrival order).
@@ -44,12 +54,9 @@ def doc_backfill(df: DataFrame, doc_col: str, fields: list[str], page_col: str |
     stripping, so ' ' can win and yields ''), stripped, written to every row;
     '' when the document has none.  Rows without a document are dropped.
     """
-    # rows without a page number come after all pages
-    order = ([F.col(page_col).isNull().alias("n"), F.col(page_col).alias("p")] if page_col else []) \
-        + [F.col(seq_col).alias("s")]
     rows = df.where(F.col(doc_col).isNotNull())
-    firsts = rows.groupBy(doc_col).agg(*[_first_non_empty(f, order).alias(f"_bf_{f}") for f in fields])
-    out = rows.join(firsts, doc_col)
+    firsts = first_values(rows, doc_col, fields, page_col, seq_col)
+    out = rows.join(firsts.select(doc_col, *[F.col(f).alias(f"_bf_{f}") for f in fields]), doc_col)
     for f in fields:
         out = out.withColumn(f, F.coalesce(F.col(f"_bf_{f}.v"), F.lit(""))).drop(f"_bf_{f}")
     return out

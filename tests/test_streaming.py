@@ -6,7 +6,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from ledgerlink.operators import dedup as D
-from ledgerlink.streaming.incremental import IncrementalDedup, pending, refresh_documents
+from ledgerlink.streaming.incremental import DocumentFields, IncrementalDedup, pending
 from ledgerlink.operators.ordered import doc_backfill
 from conftest import SF_SMALL
 
@@ -68,16 +68,47 @@ def test_pending(spark):
     assert sorted(r["doc"] for r in pending(a, done, "doc").collect()) == ["x", "z"]
 
 
-def test_refresh_documents_matches_full_recompute(spark):
-    base = tempfile.mkdtemp(prefix="k3-", dir="/tmp")
-    raw, out = os.path.join(base, "raw"), os.path.join(base, "out")
-    b0 = spark.createDataFrame([("d1", 2, 1, "X"), ("d2", 1, 1, "")], "doc string, page_no int, seq int, f string")
-    b1 = spark.createDataFrame([("d1", 1, 2, "W"), ("d2", 3, 2, "Z")], "doc string, page_no int, seq int, f string")
-    refresh_documents(spark, b0, 0, raw, out, "doc", ["f"], n_buckets=4)
-    refresh_documents(spark, b1, 1, raw, out, "doc", ["f"], n_buckets=4)
-    got = {(r["doc"], r["seq"], r["f"]) for r in spark.read.parquet(out).collect()}
-    full = doc_backfill(b0.unionByName(b1), "doc", ["f"])
-    assert got == {(r["doc"], r["seq"], r["f"]) for r in full.collect()}
+ROW = "doc string, page_no int, seq int, f string, g string"
+
+
+def _field_batches(spark):
+    rows = [[("d1", 2, 1, "X", ""), ("d2", 1, 1, "", "g2"), (None, 1, 1, "lost", "")],
+            [("d1", 1, 2, "W", None), ("d2", 3, 2, " Z ", "late"), ("d3", None, 1, "n", "")],
+            [("d3", 9, 5, "paged", ""), ("d4", 1, 1, None, None)]]
+    return [spark.createDataFrame(r, ROW) for r in rows]
+
+
+def test_document_fields_over_batches_equal_a_full_recompute(spark):
+    state = DocumentFields(spark, tempfile.mkdtemp(prefix="k3-", dir="/tmp"), "doc", ["f", "g"], n_buckets=8)
+    seen = None
+    for i, batch in enumerate(_field_batches(spark)):
+        state.add(batch, i)
+        if i == 1:
+            state.add(batch, i)  # a replay
+        seen = batch if seen is None else seen.unionByName(batch)
+        full = sorted(map(str, doc_backfill(seen, "doc", ["f", "g"]).collect()))
+        assert sorted(map(str, state.rows().collect())) == full
+        touched = {r["doc"] for r in batch.collect()} - {None}
+        want = {(r["doc"], r["f"], r["g"]) for r in doc_backfill(seen, "doc", ["f", "g"]).collect() if r["doc"] in touched}
+        assert {tuple(r) for r in state.values(i).collect()} == want
+    state.compact()
+    state.compact()
+    assert sorted(map(str, state.rows().collect())) == full
+    state.add(spark.createDataFrame([("d4", 1, 2, "new", None)], ROW), 3)
+    assert {tuple(r) for r in state.values(3).collect()} == {("d4", "new", "")}
+
+
+def test_document_fields_read_the_batch_and_its_buckets_alone(spark):
+    state = DocumentFields(spark, tempfile.mkdtemp(prefix="k3r-", dir="/tmp"), "doc", ["f"], n_buckets=32)
+    many = spark.range(2000).selectExpr("concat('doc', id) AS doc", "1 AS page_no", "1 AS seq", "concat('v', id) AS f", "'' AS g")
+    state.add(many, 0)
+    state.add(spark.createDataFrame([("doc7", 0, 1, "first", "")], ROW), 1)
+    got = state.values(1)
+    assert [tuple(r) for r in got.collect()] == [("doc7", "first")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan and "/rows" not in plan
+    read = got._jdf.queryExecution().toRdd().count() and state._partials().where(F.col("bucket").isin([r[0] for r in spark.read.parquet(f"{state.partials_path}/batch_id=1").select("bucket").collect()])).count()
+    assert read < 200  # of 2,000 documents
 
 
 def test_new_application_goes_on_where_the_last_ended(spark):
