@@ -108,7 +108,7 @@ def word_matches(lines: DataFrame, names: DataFrame, line_keys: list[str], text_
         *payload, "_dm_low", F.col("_dm_k.word").alias("_dm_word"), (-F.col("_dm_k.i")).alias("_dm_at"), F.size(F.split("_dm_low", EDGES, -1)).alias("_dm_n"))
     cut = lines.select(*line_keys, F.split(F.lower(F.col(text_col)), EDGES, -1).alias("_dm_p"))
     # outer: no condition on the pieces is inferred below the generator, where they would be cut again
-    words = cut.select(*line_keys, "_dm_p", F.posexplode_outer("_dm_p").alias("_dm_i", "_dm_word")).where(F.col("_dm_word").rlike("^" + WORD_RUN))
+    words = cut.select(*line_keys, "_dm_p", F.posexplode_outer("_dm_p").alias("_dm_i", "_dm_word"))
     start = F.col("_dm_i") - F.col("_dm_at")
     same = (start >= 0) & (F.array_join(F.slice("_dm_p", F.greatest(start, F.lit(0)) + 1, F.col("_dm_n")), "") == F.col("_dm_low"))
     offset = F.length(F.array_join(F.slice("_dm_p", 1, F.col("_dm_s")), "")) + 1
