@@ -214,7 +214,7 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_T
     sizes = kept.groupBy("lang").agg(F.count("*").alias("size"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = groups.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left").fillna(0, ["total", "size"])
-    sources = groups.groupBy("lang").agg(F.count("*").alias("sources"))
+    sources = groups.groupBy("lang").agg(F.count("*").alias("sources"), F.sum("total").alias("lang_total"))
     groups = groups.join(sources, "lang").withColumn("p0", share(F.lit(0), F.col("total"), F.col("size")))
     groups = keep(groups, "term-groups")
     shares = counts.join(groups, ["lang", "source"]).withColumn("p", share(F.col("n"), F.col("total"), F.col("size")))
@@ -234,9 +234,7 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_T
     rest = (F.col("size") - F.col("terms")) * F.abs(F.col("own0") - F.col("other0"))
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", (F.col("part") + rest).alias("value"))
 
-    lang_totals = counts.groupBy("lang").agg(F.sum("n").alias("lang_total"))
-    excess = shares.join(lang_totals, "lang")
-    excess = excess.withColumn("value", F.col("p") - share(F.col("lang_n"), F.col("lang_total"), F.col("size"))).where("value > 0")
+    excess = shares.withColumn("value", F.col("p") - share(F.col("lang_n"), F.col("lang_total"), F.col("size"))).where("value > 0")
     terms = excess.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value")
 
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
