@@ -5,20 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .rules import Rule, first_rule
 from .text import strip
 
 NOT_FOUND = "Not Found"
 
-# Month names and the four date layouts, tried in this order.
+# Month names and the four date layouts, tried in this order, each
+# with its groups of month, day and year and whether the month is a number.
 MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August",
           "September", "October", "November", "December")
 _MONTH_ALT = "|".join(MONTHS)
-DATE_PATTERNS = (
-    rf"(?i)\b({_MONTH_ALT})\s+(\d{{1,2}}),?\s+(\d{{4}})\b",   # Month D, YYYY
-    rf"(?i)\b(\d{{1,2}})\s+({_MONTH_ALT})\s+(\d{{4}})\b",      # D Month YYYY
-    r"\b(\d{1,2})/(\d{1,2})/(\d{4})\b",                        # M/D/YYYY
-    r"\b(\d{4})-(\d{1,2})-(\d{1,2})\b",                        # YYYY-M-D
+DATE_LAYOUTS = (
+    (rf"(?i)\b({_MONTH_ALT})\s+(\d{{1,2}}),?\s+(\d{{4}})\b", 1, 2, 3, False),
+    (rf"(?i)\b(\d{{1,2}})\s+({_MONTH_ALT})\s+(\d{{4}})\b", 2, 1, 3, False),
+    (r"\b(\d{1,2})/(\d{1,2})/(\d{4})\b", 1, 2, 3, True),
+    (r"\b(\d{4})-(\d{1,2})-(\d{1,2})\b", 2, 3, 1, True),
 )
+YEARS = (1990, 2030)
 
 
 def _c(c) -> Column:
@@ -30,71 +33,44 @@ def extract_date(text) -> Column:
 
     Numeric layouts need month 1-12, day 1-31, year 1990-2030; the day is kept
     as written.  No date -> 'Not Found'."""
-    t = _c(text)
     months = F.array(*[F.lit(m) for m in MONTHS])
-    outs = []
-    for i, p in enumerate(DATE_PATTERNS):
-        outs.append(F.try_element_at(_layout_hits(t, p, i, months), F.lit(1)))
-    return F.coalesce(*outs, F.lit(NOT_FOUND))
 
+    def dates(pattern, month, day, year, numeric):
+        def written(x):
+            m, d, y = (F.regexp_extract(x, pattern, k) for k in (month, day, year))
+            name = F.element_at(months, m.cast("int")) if numeric else m
+            out = F.concat(name, F.lit(" "), d, F.lit(", "), y)
+            if not numeric:
+                return out
+            return F.when(m.cast("int").between(1, 12) & d.cast("int").between(1, 31) & y.cast("int").between(*YEARS), out)
 
-def _layout_hits(t: Column, p: str, i: int, months: Column) -> Column:
-    """Formatted dates of one layout, in text order (invalid numeric ones dropped)."""
-    hits = F.regexp_extract_all(t, F.lit(p), 0)
+        found = F.transform(F.regexp_extract_all(_c(text), F.lit(pattern), 0), written)
+        return F.try_element_at(F.filter(found, lambda x: x.isNotNull()), F.lit(1))
 
-    def g(x, k):
-        return F.regexp_extract(x, p, k)
+    return F.coalesce(*[dates(*layout) for layout in DATE_LAYOUTS], F.lit(NOT_FOUND))
 
-    if i == 0:
-        return F.transform(hits, lambda x: F.concat(g(x, 1), F.lit(" "), g(x, 2), F.lit(", "), g(x, 3)))
-    if i == 1:
-        return F.transform(hits, lambda x: F.concat(g(x, 2), F.lit(" "), g(x, 1), F.lit(", "), g(x, 3)))
-    mi, di, yi = (1, 2, 3) if i == 2 else (2, 3, 1)
 
-    def conv(x):
-        m, d, y = g(x, mi).cast("int"), g(x, di).cast("int"), g(x, yi).cast("int")
-        ok = m.between(1, 12) & d.between(1, 31) & y.between(1990, 2030)
-        return F.when(ok, F.concat(F.element_at(months, m), F.lit(" "), g(x, di), F.lit(", "), g(x, yi)))
-
-    return F.filter(F.transform(hits, conv), lambda x: x.isNotNull())
-
-
-def date_value(date_text) -> Column:
-    """The 'Month D, YYYY' text as a DATE (null when not a real calendar day)."""
-    return F.try_to_timestamp(_c(date_text), F.lit("MMMM d, yyyy")).cast("date")
-
-
-# Formulary title layouts (tried in order, case-insensitive) and
-# the words that disqualify a captured name.
-TITLE_PATTERNS = (
+# Formulary title layouts (tried in order, in any case) with the
+# words that disqualify a captured name, and the state layout tried last.
+TITLE_RULES = tuple(Rule(f"(?i){layout}", 1, 2, ("pdf", "download", "file")) for layout in (
     r"^([A-Z][a-zA-Z\s&\-]+)\s+Formulary",
     r"^([A-Z][a-zA-Z\s&\-]+)\s+Preferred\s+Drug\s+List",
     r"^([A-Z][a-zA-Z\s&\-]+)\s+PDL",
     r"([A-Z][a-zA-Z\s&\-]+)\s+Medicaid\s+Formulary",
     r"([A-Z][a-zA-Z\s&\-]+)\s+Medicare\s+Formulary",
-)
-TITLE_STOP_WORDS = ("pdf", "download", "file")
-STATE_PATTERN = r"([A-Z][a-z]+)\s+Medicaid"
-
-
-def plan_name_from_title(title, vendor_keywords: list[tuple[str, str]] = ()) -> Column:
-    """Ordered formulary layouts (name longer than 2 and free of stop
-    words), then caller keywords (substring of the lower-cased title ->
-    name, first in list order), then '<Word> Medicaid'; else 'Not Found'."""
-    t = _c(title)
-    cands = []
-    for p in TITLE_PATTERNS:
-        name = strip(F.regexp_extract(t, "(?i)" + p, 1))
-        low = F.lower(name)
-        bad = F.lit(False)
-        for w in TITLE_STOP_WORDS:
-            bad = bad | low.contains(w)
-        cands.append(F.when((F.length(name) > 2) & ~bad, name))
-    for kw, label in vendor_keywords:
-        cands.append(F.when(F.lower(t).contains(kw.lower()), F.lit(label)))
-    state = F.regexp_extract(t, "(?i)" + STATE_PATTERN, 1)
-    cands.append(F.when(state != "", F.concat(state, F.lit(" Medicaid"))))
-    return F.coalesce(*cands, F.lit(NOT_FOUND))
+))
+STATE_RULE = Rule(r"(?i)([A-Z][a-z]+)\s+Medicaid", 1, 0, (), "{} Medicaid")
+
+
+def title_rules(vendor_keywords: list[tuple[str, str]] = ()) -> list[Rule]:
+    """The fixed layouts, then the caller's (keyword, name) pairs, then the state layout."""
+    return [*TITLE_RULES, *[Rule(rf"(?iu)\Q{kw}\E", label=name) for kw, name in vendor_keywords], STATE_RULE]
+
+
+def plan_name_from_title(title, rules: list[Rule] | None = None) -> Column:
+    """The name that the first fitting rule makes of a title; else 'Not Found'.
+    ``rules`` come from the caller (``title_rules``, or ``rules_of`` a table)."""
+    return F.coalesce(first_rule(title, rules if rules is not None else title_rules()), F.lit(NOT_FOUND))
 
 
 def normalize_channel(value, keywords: list[tuple[str, str]], mode: str = "substring") -> Column:

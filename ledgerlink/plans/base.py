@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -23,7 +23,7 @@ def param_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> Dat
     """A small caller-parameter table built JVM-side (inline literals): no
     Python worker is started to scan it, and the planner knows its size."""
     from pyspark.sql import functions as F
-    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows]
+    structs = [F.struct(*[(v if isinstance(v, Column) else F.lit(v)).alias(n) for v, n in zip(r, names)]) for r in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 

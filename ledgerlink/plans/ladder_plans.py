@@ -28,8 +28,8 @@ from ..operators.links import pick_document_link
 from ..operators.templates import issue
 from .base import param_table
 from .dictionary_plans import INDICATORS
-from .lookup_plans import _RESULTS, _TRUSTED, TRUSTED_DOMAINS, VENDOR_KEYWORDS, _date_sql, _title_sql, search_results
-from .search_plans import _first_pattern_sql
+from .lookup_plans import _RESULTS, _TRUSTED, TRUSTED_DOMAINS, _date_sql, _title_sql, plan_name, search_results
+from .search_plans import BENEFIT_PATTERNS, GROUP_PATTERNS, _first_pattern_sql
 
 # Invented parameters: (priority, template, needs).
 BIN_TEMPLATES = [(1, "BIN {bin} pharmacy network database", 0), (2, "BIN {bin} benefit manager", 0), (3, '"{bin}" pharmacy benefits network', 0)]
@@ -69,7 +69,7 @@ def searches(spark: SparkSession, sf_dir: str) -> DataFrame:
     for domain in TRUSTED_DOMAINS:
         trusted = trusted | F.lower("link").contains(domain)
     r = r.withColumns({
-        "snippet": F.concat_ws(" ", "snippet", phrase), "trusted": trusted, "plan_name": LK.plan_name_from_title("title", VENDOR_KEYWORDS),
+        "snippet": F.concat_ws(" ", "snippet", phrase), "trusted": trusted, "plan_name": plan_name(spark, "title"),
         "pdf_link": F.coalesce(pick_document_link("link", "sitelinks"), F.lit(LK.NOT_FOUND)),
         "doc_date": LK.extract_date(F.concat_ws(" ", "title", "snippet"))})
     m, early = F.col("query_id") % 6, F.col("pos") <= 5
@@ -134,8 +134,8 @@ def plan_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def refined(found: DataFrame) -> DataFrame:
         out = found.join(keys, "query_id")
-        out = with_variant(out, named, _templates(spark, PCN_REFINERS), results, S.BENEFIT_PATTERNS, " - ", "")
-        return with_variant(out, named, _templates(spark, GROUP_REFINERS), results, S.GROUP_PATTERNS, " (", ")", "grp")
+        out = with_variant(out, named, _templates(spark, PCN_REFINERS), results, BENEFIT_PATTERNS, " - ", "")
+        return with_variant(out, named, _templates(spark, GROUP_REFINERS), results, GROUP_PATTERNS, " (", ")", "grp")
 
     def by_bin(open_: DataFrame) -> DataFrame:
         return refined(networks_of(found_by(open_, own, _templates(spark, BIN_TEMPLATES), results), indicators))
@@ -242,7 +242,7 @@ def _refine_sql(source: str, out: str) -> str:
     return f"""
 {out}_b AS (
   SELECT query_id, arg_min(v, (priority, pos)) AS v FROM (
-    SELECT i.query_id, i.priority, s.pos, {variant('i', S.BENEFIT_PATTERNS, None)} AS v
+    SELECT i.query_id, i.priority, s.pos, {variant('i', BENEFIT_PATTERNS, None)} AS v
     FROM ({_issue_sql(f'(SELECT *, plan_type AS plan FROM {source})', PCN_REFINERS, 'query_id')}) i JOIN s USING (query))
   WHERE v IS NOT NULL GROUP BY query_id),
 {out}_1 AS (
@@ -250,7 +250,7 @@ def _refine_sql(source: str, out: str) -> str:
   FROM {source} x LEFT JOIN {out}_b USING (query_id)),
 {out}_g AS (
   SELECT query_id, arg_min(v, (priority, pos)) AS v FROM (
-    SELECT i.query_id, i.priority, s.pos, {variant('i', S.GROUP_PATTERNS, own)} AS v
+    SELECT i.query_id, i.priority, s.pos, {variant('i', GROUP_PATTERNS, own)} AS v
     FROM ({_issue_sql(f'(SELECT *, plan_type AS plan FROM {out}_1)', GROUP_REFINERS, 'query_id, grp')}) i JOIN s USING (query))
   WHERE v IS NOT NULL GROUP BY query_id),
 {out} AS (

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lookup as LK
+from ..functions.rules import Rule, rules_of, sql_first_rule
 from ..functions.text import file_name_from_url, prefix_when, url_type, visible_text
 from ..operators.conform import conform as _conform
 from ..operators.dictionary import first_by_priority, substring_matches
@@ -25,7 +26,15 @@ from .extract_plans import parse_records
 from .keys_plans import _keys
 
 # Invented parameter tables for the registered queries.
-VENDOR_KEYWORDS = [("ththth", "Thread Health"), ("onen", "Onen Benefits")]
+# (priority, pattern, group, longer_than, stop_words, label)
+TITLE_RULES = [
+    (1, r"(?i)^([A-Z][A-Za-z ]+?)\s+Formulary\b", 1, 2, ["download", "file"], None),
+    (2, r"(?i)^([A-Z][A-Za-z ]+?)\s+Preferred\s+Drug\s+List", 1, 2, ["download"], None),
+    (3, r"(?i)^([A-Z][A-Za-z ]+?)\s+PDL\s+\d+", 1, 4, [], None),
+    (4, r"(?i)ththth", 0, 0, [], "Thread Health"),
+    (5, r"(?i)onen", 0, 0, [], "Onen Benefits"),
+    (6, r"(?i)([A-Z][a-z]+)\s+Medicaid", 1, 0, [], "{} State Plan"),
+]
 TRUSTED_DOMAINS = ["example.org", "m."]
 CHANNEL_KEYWORDS = [("house", "Household"), ("mach", "Machinery"), ("auto", "Automotive"), ("build", "Building")]
 LATE_PARAGRAPHS = ["Effective 12 March 2021", "", "Choice Coverage for 2020-07-09", "", "Union Members", "Revised 3/14/2019", ""]
@@ -73,9 +82,19 @@ def search_results(spark, sf_dir) -> DataFrame:
                     sitelinks.alias("sitelinks"))
 
 
+def title_rule_table(spark) -> DataFrame:
+    return param_table(spark, [(*r[:4], F.array(*[F.lit(w) for w in r[4]]).cast("array<string>"), F.lit(r[5]).cast("string")) for r in TITLE_RULES],
+                       ["priority", "pattern", "group", "longer_than", "stop_words", "label"])
+
+
+def plan_name(spark, title):
+    """B27 by the rules of the table."""
+    return LK.plan_name_from_title(title, rules_of(title_rule_table(spark)))
+
+
 def title_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = search_results(spark, sf_dir)
-    return r.select("page_id", "title", LK.plan_name_from_title("title", VENDOR_KEYWORDS).alias("plan_name"))
+    return r.select("page_id", "title", plan_name(spark, "title").alias("plan_name"))
 
 
 def link_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +112,7 @@ def plan_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     for dom in TRUSTED_DOMAINS:
         trusted = trusted | F.lower("link").contains(dom)
     r = (r.withColumn("trusted", trusted)
-         .withColumn("plan_name", LK.plan_name_from_title("title", VENDOR_KEYWORDS))
+         .withColumn("plan_name", plan_name(spark, "title"))
          .withColumn("pdf_link", F.coalesce(pick_document_link("link", "sitelinks"), F.lit(LK.NOT_FOUND)))
          .withColumn("doc_date", LK.extract_date(F.concat_ws(" ", "title", "snippet"))))
     named = r.where(F.col("plan_name") != LK.NOT_FOUND).withColumn("untrusted", ~F.col("trusted"))
@@ -176,33 +195,20 @@ _MONTHS_SQL = "[" + ", ".join(f"'{m}'" for m in LK.MONTHS) + "]"
 
 
 def _date_sql(expr: str) -> str:
-    p0, p1, p2, p3 = (p.replace("'", "''") for p in LK.DATE_PATTERNS)
-    m0 = (f"list_transform(regexp_extract_all({expr}, '{p0}', 0), lambda x: regexp_extract(x, '{p0}', 1) || ' ' "
-          f"|| regexp_extract(x, '{p0}', 2) || ', ' || regexp_extract(x, '{p0}', 3))[1]")
-    m1 = (f"list_transform(regexp_extract_all({expr}, '{p1}', 0), lambda x: regexp_extract(x, '{p1}', 2) || ' ' "
-          f"|| regexp_extract(x, '{p1}', 1) || ', ' || regexp_extract(x, '{p1}', 3))[1]")
-
-    def num(p, mi, di, yi):
-        g = lambda k: f"regexp_extract(x, '{p}', {k})"
-        ok = (f"CAST({g(mi)} AS INTEGER) BETWEEN 1 AND 12 AND CAST({g(di)} AS INTEGER) BETWEEN 1 AND 31 "
-              f"AND CAST({g(yi)} AS INTEGER) BETWEEN 1990 AND 2030")
-        return (f"list_filter(list_transform(regexp_extract_all({expr}, '{p}', 0), lambda x: CASE WHEN {ok} THEN "
-                f"{_MONTHS_SQL}[CAST({g(mi)} AS INTEGER)] || ' ' || {g(di)} || ', ' || {g(yi)} END), "
-                f"lambda x: x IS NOT NULL)[1]")
-    return f"coalesce({m0}, {m1}, {num(p2, 1, 2, 3)}, {num(p3, 2, 3, 1)}, 'Not Found')"
+    found = []
+    for pattern, month, day, year, numeric in LK.DATE_LAYOUTS:
+        p = pattern.replace("'", "''")
+        m, d, y = (f"regexp_extract(x, '{p}', {k})" for k in (month, day, year))
+        out = (f"{_MONTHS_SQL}[CAST({m} AS INTEGER)]" if numeric else m) + f" || ' ' || {d} || ', ' || {y}"
+        if numeric:
+            out = (f"CASE WHEN CAST({m} AS INTEGER) BETWEEN 1 AND 12 AND CAST({d} AS INTEGER) BETWEEN 1 AND 31 "
+                   f"AND CAST({y} AS INTEGER) BETWEEN {LK.YEARS[0]} AND {LK.YEARS[1]} THEN {out} END")
+        found.append(f"list_filter(list_transform(regexp_extract_all({expr}, '{p}', 0), lambda x: {out}), lambda x: x IS NOT NULL)[1]")
+    return f"coalesce({', '.join(found)}, 'Not Found')"
 
 
 def _title_sql(expr: str) -> str:
-    cands = []
-    for p in LK.TITLE_PATTERNS:
-        n = f"trim(regexp_extract({expr}, '(?i){p}', 1))"
-        bad = " OR ".join(f"contains(lower({n}), '{w}')" for w in LK.TITLE_STOP_WORDS)
-        cands.append(f"CASE WHEN length({n}) > 2 AND NOT ({bad}) THEN {n} END")
-    for kw, label in VENDOR_KEYWORDS:
-        cands.append(f"CASE WHEN contains(lower({expr}), '{kw}') THEN '{label}' END")
-    st = f"regexp_extract({expr}, '(?i){LK.STATE_PATTERN}', 1)"
-    cands.append(f"CASE WHEN {st} <> '' THEN {st} || ' Medicaid' END")
-    return "coalesce(" + ", ".join(cands) + ", 'Not Found')"
+    return f"coalesce({sql_first_rule(expr, [Rule(r[1], r[2], r[3], tuple(r[4]), r[5]) for r in TITLE_RULES])}, 'Not Found')"
 
 
 SQL_HTML = "(html || [" + ", ".join(f"'<p>{x}</p>'" for x in LATE_PARAGRAPHS) + "][page_id % 7 + 1])"

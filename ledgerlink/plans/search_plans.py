@@ -22,9 +22,12 @@ from .base import param_table, sql_pad6, sql_visible_text, table
 from ..functions import lookup as LK
 from ..operators.dictionary import first_by_priority, substring_matches
 from ..operators.links import pick_document_link
-from .lookup_plans import (_RESULTS, _TRUSTED, SQL_HTML, TRUSTED_DOMAINS, VENDOR_KEYWORDS, _date_sql, _title_sql,
+from .lookup_plans import (_RESULTS, _TRUSTED, SQL_HTML, TRUSTED_DOMAINS, _date_sql, _title_sql, plan_name,
                            search_results)
 
+# Invented phrase patterns of benefit and group variants, tried in this order.
+BENEFIT_PATTERNS = (r"(Premium|Choice|Silver)\s*(Benefits?|Coverage)", r"(Tier\s*\d+)", r"(Low|High)\s*Deductible")
+GROUP_PATTERNS = (r"(Union|Retiree|Staff)\s*Members?", r"(Group\s*\w+)")
 PHRASES = ["Premium Benefits", "Tier ", "low deductible", "Retiree Members", "ref q"]
 GROUP_RULES = [(1, "G7", "exact", "Seven"), (2, "G1", "contains", "One family"), (3, "99", "contains", "Nines")]
 
@@ -43,8 +46,8 @@ def _variant_texts(spark, sf_dir) -> DataFrame:
 
 def plan_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _variant_texts(spark, sf_dir)
-    ben = S.first_variant(t, "query_id", "pos", "text", S.BENEFIT_PATTERNS, out_col="benefit_variant")
-    grp = S.first_variant(t, "query_id", "pos", "text", S.GROUP_PATTERNS, id_col="group_id",
+    ben = S.first_variant(t, "query_id", "pos", "text", BENEFIT_PATTERNS, out_col="benefit_variant")
+    grp = S.first_variant(t, "query_id", "pos", "text", GROUP_PATTERNS, id_col="group_id",
                           out_col="group_variant")
     return ben.join(grp, "query_id")
 
@@ -94,7 +97,7 @@ def bin_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when(k == 3, F.lit("Retiree Members"))
               .otherwise(F.concat(F.lit("ref q"), F.col("query_id").cast("string"), F.lit("AB7"))))
     r = (r.withColumn("trusted", trusted)
-         .withColumn("plan_name", LK.plan_name_from_title("title", VENDOR_KEYWORDS))
+         .withColumn("plan_name", plan_name(spark, "title"))
          .withColumn("pdf_link", F.coalesce(pick_document_link("link", "sitelinks"), nf))
          .withColumn("doc_date", LK.extract_date(F.concat_ws(" ", "title", "snippet")))
          .withColumn("group_id", F.concat(F.lit("q"), F.col("query_id").cast("string")))
@@ -109,8 +112,8 @@ def bin_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = first_by_priority(hits, ["query_id"], ["pos", "priority"], ["network", "pdf_link", "doc_date"]).select(
         "query_id", F.col("network").alias("n_plan"), F.col("pdf_link").alias("n_link"),
         F.col("doc_date").alias("n_date"))
-    ben = S.first_variant(r, "query_id", "pos", "vtext", S.BENEFIT_PATTERNS, out_col="ben")
-    gvar = S.first_variant(r, "query_id", "pos", "vtext", S.GROUP_PATTERNS, id_col="group_id", out_col="gv")
+    ben = S.first_variant(r, "query_id", "pos", "vtext", BENEFIT_PATTERNS, out_col="ben")
+    gvar = S.first_variant(r, "query_id", "pos", "vtext", GROUP_PATTERNS, id_col="group_id", out_col="gv")
     named = r.where(F.col("plan_name") != LK.NOT_FOUND).withColumn("untrusted", ~F.col("trusted"))
     pick = first_by_priority(named, ["query_id"], ["untrusted", "pos"], ["plan_name", "pdf_link", "doc_date"]).select(
         "query_id", F.col("plan_name").alias("p_plan"), F.col("pdf_link").alias("p_link"),
@@ -167,8 +170,8 @@ _RULES = ", ".join(f"({p}, '{pat}', '{k}', '{lab}')" for p, pat, k, lab in GROUP
 SQL = {
     "plan_variants": _RES + f""",
 v AS (
-  SELECT query_id, pos, {_first_pattern_sql('text', S.BENEFIT_PATTERNS)} AS bv,
-         {_first_pattern_sql('text', S.GROUP_PATTERNS, "'(?i)(' || group_id || '[A-Z]*\\d*)'")} AS gv
+  SELECT query_id, pos, {_first_pattern_sql('text', BENEFIT_PATTERNS)} AS bv,
+         {_first_pattern_sql('text', GROUP_PATTERNS, "'(?i)(' || group_id || '[A-Z]*\\d*)'")} AS gv
   FROM r)
 SELECT q.query_id,
        coalesce((SELECT arg_min(bv, pos) FROM v WHERE v.query_id = q.query_id AND bv IS NOT NULL), 'Not Found') AS benefit_variant,
@@ -219,8 +222,8 @@ hits AS (
   FROM r JOIN ind ON contains(lower(concat_ws(' ', r.title, r.link, r.snippet)), lower(ind.indicator))),
 net AS (SELECT query_id, arg_min((network, pdf_link, doc_date), (pos, priority)) AS n FROM hits GROUP BY query_id),
 v AS (
-  SELECT query_id, pos, {_first_pattern_sql('vtext', S.BENEFIT_PATTERNS)} AS bv,
-         {_first_pattern_sql('vtext', S.GROUP_PATTERNS, "'(?i)(' || group_id || '[A-Z]*\\d*)'")} AS gv
+  SELECT query_id, pos, {_first_pattern_sql('vtext', BENEFIT_PATTERNS)} AS bv,
+         {_first_pattern_sql('vtext', GROUP_PATTERNS, "'(?i)(' || group_id || '[A-Z]*\\d*)'")} AS gv
   FROM r),
 ben AS (SELECT query_id, arg_min(bv, pos) AS ben FROM v WHERE bv IS NOT NULL GROUP BY query_id),
 gvs AS (SELECT query_id, arg_min(gv, pos) AS gv FROM v WHERE gv IS NOT NULL GROUP BY query_id),

@@ -54,7 +54,7 @@ def test_extract_date(spark):
 
 
 def test_plan_name_from_title(spark):
-    f = lambda c: LK.plan_name_from_title(c, [("acme", "Acme Rx")])
+    f = lambda c: LK.plan_name_from_title(c, LK.title_rules([("acme", "Acme Rx")]))
     assert one(spark, f, "Blue Star Formulary 2024") == "Blue Star"
     assert one(spark, f, "Download Formulary") == "Not Found"
     assert one(spark, f, "the acme list") == "Acme Rx"
