@@ -55,6 +55,12 @@ def parse_pipe_table(raw, width: int = 5, min_parts: int = 1) -> Column:
         p, F.slice(pad, 1, F.greatest(F.lit(width) - F.size(p), F.lit(0))), F.array(F.lit(""))))
 
 
+def extra_parts(row, width: int = 5) -> Column:
+    """The parts of a ``parse_pipe_table`` row beyond its ``width`` columns, without the link slot."""
+    p = F.col(row) if isinstance(row, str) else row
+    return F.slice(p, width + 1, F.greatest(F.size(p) - 1 - width, F.lit(0)))
+
+
 # Extraction status codes.
 STATUS_SUCCESS, STATUS_PARTIAL, STATUS_NONE = "success", "partial", "none"
 

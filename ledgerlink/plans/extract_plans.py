@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.records import extraction_status, parse_pipe_table, parse_records as _parse
+from ..operators.records import extra_parts, extraction_status, parse_pipe_table, parse_records as _parse
 from .base import sql_pad6, table
 
 RECORD_SCHEMA = "array<struct<bin:string,pcn:string,grp:string,plan_name:string>>"
@@ -64,7 +64,8 @@ def pipe_answers(spark, sf_dir) -> DataFrame:
     raw = (F.when(F.col("l_returnflag") == "N",
                   F.concat(F.lit("BIN | PCN | Group | Plan\n"), F.col("l_partkey").cast("string"), F.lit(" | "),
                            F.col("l_linestatus"), F.lit(" | G"), F.col("l_suppkey").cast("string"),
-                           F.lit(" | plan "), F.col("l_quantity").cast("int").cast("string")))
+                           F.lit(" | plan "), F.col("l_quantity").cast("int").cast("string"),
+                           F.when(F.col("l_partkey") % 5 == 0, F.lit(" | note | second note | ")).otherwise(F.lit(""))))
            .when(F.col("l_returnflag") == "R", F.lit("No table was found in this document."))
            .otherwise(F.concat(F.col("l_partkey").cast("string"), F.lit(" |  | |"))))
     return li.select(F.col("l_orderkey").alias("key_id"), F.col("l_linenumber").alias("doc_pos"),
@@ -81,7 +82,7 @@ def _rows_of(answers: DataFrame) -> DataFrame:
     rows = (a.select("key_id", "doc_pos", "link", F.posexplode_outer("rows").alias("row_idx", "p"))
             .where(F.col("row_idx").isNotNull()))
     return rows.select("key_id", "doc_pos", "link", "row_idx",
-                       *[F.col("p")[i].alias(f"f{i + 1}") for i in range(5)]).withColumn(
+                       *[F.col("p")[i].alias(f"f{i + 1}") for i in range(5)], F.array_join(extra_parts("p", 5), "|").alias("more")).withColumn(
         "status", extraction_status("f1", "f2", "f3", "f4"))
 
 
@@ -103,7 +104,8 @@ def first_usable_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     missing = keys.join(first, "key_id", "left_anti").select(
         "key_id", F.lit(None).cast("int").alias("doc_pos"), F.lit(None).cast("string").alias("link"),
         F.lit(None).cast("int").alias("row_idx"),
-        *[F.lit(None).cast("string").alias(f"f{i}") for i in range(1, 6)], F.lit("no_document").alias("status"))
+        *[F.lit(None).cast("string").alias(f"f{i}") for i in range(1, 6)], F.lit(None).cast("string").alias("more"),
+        F.lit("no_document").alias("status"))
     return chosen.select(*missing.columns).unionByName(missing)
 
 
@@ -153,6 +155,7 @@ WITH a AS (
          CASE WHEN l_returnflag = 'N'
               THEN 'BIN | PCN | Group | Plan' || chr(10) || CAST(l_partkey AS VARCHAR) || ' | ' || l_linestatus
                    || ' | G' || CAST(l_suppkey AS VARCHAR) || ' | plan ' || CAST(CAST(trunc(l_quantity) AS INTEGER) AS VARCHAR)
+                   || CASE WHEN l_partkey % 5 = 0 THEN ' | note | second note | ' ELSE '' END
               WHEN l_returnflag = 'R' THEN 'No table was found in this document.'
               ELSE CAST(l_partkey AS VARCHAR) || ' |  | |' END AS raw
   FROM lineitem),
@@ -168,7 +171,7 @@ q AS (
 rows AS (
   SELECT key_id, doc_pos, link, row_idx,
          coalesce(p[1], '') AS f1, coalesce(p[2], '') AS f2, coalesce(p[3], '') AS f3,
-         coalesce(p[4], '') AS f4, coalesce(p[5], '') AS f5
+         coalesce(p[4], '') AS f4, coalesce(p[5], '') AS f5, array_to_string(p[6:], '|') AS more
   FROM q),
 s AS (
   SELECT *, CASE WHEN f1 <> '' AND f2 <> '' AND f3 <> '' AND f4 <> '' THEN 'success'
@@ -183,12 +186,12 @@ SELECT document_name, page_no, CAST(i - 1 AS INTEGER) AS rec_idx, recs[i].bin AS
 FROM (SELECT *, generate_subscripts(recs, 1) AS i FROM p WHERE recs IS NOT NULL)""",
     "parse_rejects": _RESP + """
 SELECT document_name, page_no, 'unparseable answer' AS reason FROM p WHERE recs IS NULL""",
-    "parse_pipe": _PIPE + "SELECT key_id, doc_pos, link, CAST(row_idx AS INTEGER) AS row_idx, f1, f2, f3, f4, f5, status FROM s",
+    "parse_pipe": _PIPE + "SELECT key_id, doc_pos, link, CAST(row_idx AS INTEGER) AS row_idx, f1, f2, f3, f4, f5, more, status FROM s",
     "first_usable_doc": _PIPE + """,
 fst AS (SELECT key_id, min(doc_pos) AS doc_pos FROM s GROUP BY key_id)
-SELECT s.key_id, s.doc_pos, s.link, CAST(s.row_idx AS INTEGER) AS row_idx, s.f1, s.f2, s.f3, s.f4, s.f5, s.status
+SELECT s.key_id, s.doc_pos, s.link, CAST(s.row_idx AS INTEGER) AS row_idx, s.f1, s.f2, s.f3, s.f4, s.f5, s.more, s.status
 FROM s JOIN fst ON s.key_id = fst.key_id AND s.doc_pos = fst.doc_pos
 UNION ALL
-SELECT k.key_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'no_document'
+SELECT k.key_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'no_document'
 FROM (SELECT DISTINCT key_id FROM a) k WHERE k.key_id NOT IN (SELECT key_id FROM fst)""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 # plan modules, each exposing QUERIES (and SQL where an oracle exists)
-MODULES = ["linkage", "dedup_plans", "records_plans", "keys_plans", "fuzzy_plans", "dictionary_plans", "extract_plans", "lookup_plans", "search_plans", "ladder_plans", "page_plans"]
+MODULES = ["linkage", "dedup_plans", "records_plans", "keys_plans", "fuzzy_plans", "dictionary_plans", "extract_plans", "lookup_plans", "search_plans", "ladder_plans", "page_plans", "table_plans"]
 
 
 def _modules():

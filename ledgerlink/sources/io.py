@@ -7,10 +7,13 @@ so a re-run after a lost executor or a failed job leaves a complete table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.numbering import counted_on
+from ..operators.sizes import small_side
+
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType(), False),
     T.StructField("modificationTime", T.TimestampType(), True),
@@ -39,19 +42,20 @@ def scan_files(spark: SparkSession, folder: str, ext: str = "pdf", recursive: bo
     return df.withColumn("file_name", F.regexp_extract("path", r"([^/]*)$", 1))
 
 
-def scan_lines(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
-    """A2: lines of a text file in a given encoding, with a stable line number.
+def scan_lines(spark: SparkSession, path: str, encoding: str = "ISO-8859-1", with_file: bool = False) -> DataFrame:
+    """A2: lines of a text file, or of the files of a folder in the order of their paths, in a given encoding, numbered
+    from 1; ``with_file`` adds ``file`` and the number within it, ``file_line_no``.
 
-    ``text`` keeps blank lines and the bytes as they are; they are decoded
-    afterwards.  A line's number is its place within its block of the file and
-    the lines of the blocks before it (one row per block)."""
+    ``text`` keeps blank lines and the bytes as they are; they are decoded afterwards.  A line's number is its place
+    within its block of its file, after the lines of all blocks before (one row per file and block is summed up)."""
     raw = spark.read.text(path).select(
-        F.decode(F.col("value").cast("binary"), encoding).alias("line"),
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
-    blocks = raw.groupBy("block").agg(F.min("at").alias("first"), F.count("*").alias("n"))
-    blocks = blocks.select("block", "first", (F.sum("n").over(Window.orderBy("block")) - F.col("n")).alias("before"))
-    return raw.join(F.broadcast(blocks), "block").select(
-        (F.col("before") + F.col("at") - F.col("first") + 1).alias("line_no"), "line")
+        F.decode(F.col("value").cast("binary"), encoding).alias("line"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    out = counted_on(raw, ["file", "_block"], "_at", "line_no")
+    if not with_file:
+        return out.select("line_no", "line")
+    starts = small_side(out.groupBy("file").agg((F.min("line_no") - 1).alias("_start")))
+    return out.join(starts, "file").select("line_no", "line", "file", (F.col("line_no") - F.col("_start")).alias("file_line_no"))
 
 
 def read_table(spark: SparkSession, path: str, schema: str | T.StructType, fmt: str = "parquet",
@@ -106,11 +110,31 @@ def write_report(folder: str, tables: dict[str, DataFrame], fmt: str = "parquet"
         write_table(df, f"{folder.rstrip('/')}/{name}", fmt)
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """(column, type, non_null, distinct) in one aggregate pass."""
-    aggs = []
-    for c, _ in df.dtypes:
-        aggs += [F.count(F.col(c)).alias(f"{c}__nn"), F.approx_count_distinct(F.col(c)).alias(f"{c}__nd")]
-    row = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', '{t}', `{c}__nn`, `{c}__nd`" for c, t in df.dtypes)
-    return row.selectExpr(f"stack({len(df.dtypes)}, {stack}) AS (column, type, non_null, distinct_approx)")
+def profile(df: DataFrame, order_col: str | None = None) -> DataFrame:
+    """Per column (position, column, type, rows, non_null, distinct, first): exact counts, and the value of the first
+    row by ``order_col`` (by place in the input without one).
+
+    Rows are unpivoted to (column, value) and counted per value, which combines map-side: one shuffle of distinct values,
+    no set of a column's values in one task.  Binary values count by their hex form, nested ones by their JSON."""
+    def shown(field) -> Column:
+        c = F.col("`" + field.name.replace("`", "``") + "`")
+        if isinstance(field.dataType, T.BinaryType):
+            return F.hex(c)
+        return F.to_json(c) if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)) else c.cast("string")
+
+    fields = df.schema.fields
+    at = F.col("`" + order_col.replace("`", "``") + "`") if order_col else F.monotonically_increasing_id()
+    cells = F.array(*[F.struct(F.lit(i).alias("position"), shown(f).alias("value")) for i, f in enumerate(fields)])
+    # one cell a column stands even for an empty table
+    every = df.sparkSession.range(1).select(F.explode(F.array(*[F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type")) for i, f in enumerate(fields)])).alias("x")).select("x.*")
+    found = df.select(at.alias("at"), F.explode(cells).alias("x")).select("at", "x.*")
+    values = found.groupBy("position", "value").agg(F.count("*").alias("n"), F.min("at").alias("at"))
+    sums = values.groupBy("position").agg(F.sum("n").alias("rows"), F.sum(F.when(F.col("value").isNotNull(), F.col("n"))).alias("non_null"),
+                                          F.count("value").alias("distinct"), F.min_by("value", "at").alias("first"))
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("rows", "non_null", "distinct")]
+    return every.join(sums, "position", "left").select("position", "column", "type", *zero, "first")
+
+
+def first_rows(df: DataFrame, n: int, *order) -> DataFrame:
+    """The first n rows in an order, for a look at a table (each task keeps n)."""
+    return df.orderBy(*order).limit(n)

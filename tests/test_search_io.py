@@ -1,8 +1,10 @@
 """Search-result operators, sources/sinks and profile."""
 
 import os
+import random
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlink.operators import search as S
@@ -163,3 +165,67 @@ def test_scan_lines_keeps_blank_lines(spark, tmp_path):
     path.write_bytes("één\n\n  \nthird, \"quoted\"\n\xa0x".encode("latin-1"))
     got = [tuple(r) for r in IO.scan_lines(spark, str(path)).orderBy("line_no").collect()]
     assert got == [(1, "één"), (2, ""), (3, "  "), (4, 'third, "quoted"'), (5, "\xa0x")]
+
+
+def test_scan_lines_over_several_files(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    rng = random.Random(2)
+    want, n = [], 0
+    for k in range(7):
+        lines = [rng.choice(["", " ", "caf\xe9", f"line {i}"]) for i in range(rng.choice([1, 3, 400]))]
+        (folder / f"part-{k}.txt").write_bytes("".join(x + "\n" for x in lines).encode("latin-1"))
+        for i, x in enumerate(lines, 1):
+            n += 1
+            want.append((n, x, f"part-{k}.txt", i))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")  # files of several blocks
+        got = [(r["line_no"], r["line"], r["file"].rsplit("/", 1)[1], r["file_line_no"]) for r in IO.scan_lines(spark, str(folder), with_file=True).orderBy("line_no").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == want
+
+
+def test_numbers_and_routes(spark, tmp_path):
+    from ledgerlink.operators import numbering as N
+    rng = random.Random(4)
+    values = [rng.randint(0, 50) for _ in range(500)]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, v int").repartition(6)
+    numbered = N.number_rows(df, [F.desc("v"), F.asc("id")])
+    order = sorted(((i, v) for i, v in enumerate(values)), key=lambda x: (-x[1], x[0]))
+    assert sorted(tuple(r) for r in numbered.collect()) == sorted((i, v, k) for k, (i, v) in enumerate(order, 1))
+    assert [tuple(r) for r in N.restored(numbered.repartition(3)).collect()] == order
+    assert N.number_rows(df.where("false"), ["v"]).count() == 0
+    N.write_routed(numbered, F.when(F.col("v") < 40, F.col("v") % 2 == 0), str(tmp_path / "r"))
+    valid, invalid = (N.read_routed(spark, str(tmp_path / "r"), numbered.schema.add("route", "string"), x) for x in ("valid", "invalid"))
+    assert {r["id"] for r in valid.collect()} == {i for i, v in enumerate(values) if v < 40 and v % 2 == 0}
+    assert valid.count() + invalid.count() == 500  # a null verdict is invalid
+
+
+def test_exact_profile(spark):
+    rows = [(i, None if i % 4 == 0 else f"v{i % 3}", [i % 2], bytearray([i % 5])) for i in range(100)]
+    df = spark.createDataFrame(rows, "`a``b'c` int, s string, arr array<int>, bin binary")
+    got = {r["column"]: (r["type"], r["rows"], r["non_null"], r["distinct"], r["first"]) for r in IO.profile(df, "a`b'c").collect()}
+    assert got == {"a`b'c": ("int", 100, 100, 100, "0"), "s": ("string", 100, 75, 3, None), "arr": ("array<int>", 100, 100, 2, "[0]"), "bin": ("binary", 100, 100, 5, "00")}
+    assert [tuple(r)[3:] for r in IO.profile(df.where("false")).collect()] == [(0, 0, 0, None)] * 4
+    assert [r["s"] for r in IO.first_rows(df, 2, F.desc("`a``b'c`")).collect()] == ["v0", "v2"]
+
+
+def test_rules_come_from_a_table(spark):
+    from ledgerlink.functions.rules import MOST_RULES, first_rule, rules_of
+    table = spark.createDataFrame([
+        (2, r"(?i)(\w+) plan", 1, 2, ["free"], None), (1, r"^#(\d+)$", 1, 0, None, "Number {}"), (3, "(?i)plan", 0, 0, [], "Any plan")],
+        "priority int, pattern string, group int, longer_than int, stop_words array<string>, label string")
+    texts = [("#12",), ("Gold PLAN",), ("Free plan",), ("ab plan",), ("none",), (None,)]
+    df = spark.createDataFrame(texts, "t string").select(first_rule("t", rules_of(table)).alias("v"))
+    assert [r["v"] for r in df.collect()] == ["Number 12", "Gold", "Any plan", "Any plan", None, None]
+    many = spark.range(MOST_RULES + 1).selectExpr("int(id) AS priority", "'x' AS pattern", "0 AS group", "0 AS longer_than", "array('') AS stop_words", "'y' AS label")
+    with pytest.raises(ValueError, match="rules"):
+        rules_of(many)
+
+
+def test_parts_beyond_the_columns_are_kept(spark):
+    from ledgerlink.operators.records import extra_parts, parse_pipe_table
+    df = spark.createDataFrame([("a|b|c|d|e|f| g \nx|y",)], "raw string").select(F.explode(parse_pipe_table("raw", 5)).alias("p"))
+    assert [r[0] for r in df.select(extra_parts("p", 5)).collect()] == [["f", "g"], []]
