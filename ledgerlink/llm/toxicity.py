@@ -5,10 +5,19 @@ letters, each hashed into 2**18 numbers; a term counts once.  The score is the l
 
     bias + sum_i w_i + 1/2 sum_f ((sum_i v_if)^2 - sum_i v_if^2)
 
-over the document's terms, so pairs of terms add what the weights of each alone do not say.  Weights are learned on a
-bounded sample of the labelled rows (``most_labelled``, chosen by a hash of the doc_id); only terms whose likelihood
-ratio against the label passes a Bonferroni bound at 0.05 get weights, MOST_TERMS of the most telling at most; the
-others stay at zero.
+over the document's terms, so pairs of terms add what the weights of each alone do not say.  The machine is learned on a
+bounded sample of the labelled rows (``most_labelled``, chosen by a hash of the doc_id) from all terms that LEAST_DOCS
+sample documents hold, whatever each says of the label by itself:
+
+* ``w`` by follow-the-regularized-leader with an L1 penalty over all terms at once, so few are not zero;
+* ``v`` starts at the leading sparse eigenvectors of the pair matrix ``sum_d e_d x_di x_dj`` (x: centred and scaled
+  terms, e: what w leaves unexplained), found by thresholded power iteration without forming the matrix; two terms that
+  say nothing alone stand out there if they tell together.  Then w and v are learned together.  Pairs stay if they lower
+  the loss on a fifth of the sample that took no part in learning them.
+
+Toxic rows weigh TOXIC_WEIGHT times the others.  Ties at 0.5 count as reached.  Equal texts are one example in the sample;
+rows that repeat are scored alike.  Very long texts are read whole, in pieces of bounded memory.  Without labelled rows
+every score is 0.5; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,8 +36,12 @@ from ledgerlink.llm.common import bounded_batches, coded, crc_fold, hashes, piec
 TERM_BITS = 18
 PREFIXES = (4, 5, 6)
 FACTORS = 4
-MOST_LABELLED = 20_000
-MOST_TERMS = 4_096
+MOST_LABELLED = 8_000
+LEAST_DOCS = 3
+TOXIC_WEIGHT = 2.0
+L1 = 20.0  # of the summed gradients of w
+BATCH, EPOCHS = 64, 8
+KEPT = 0.5  # of a factor's largest entry
 
 
 def document_terms(texts: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -67,84 +80,183 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(row: np.ndarray, term: np.ndarray, label: np.ndarray, rounds: int = 600, rate: float = 0.05, decay: float = 1e-5, seed: int = 7) -> Machine:
-    """Learn from the chosen terms of the sample's documents, by Adam on the mean log loss of all of them."""
-    chosen = np.unique(term)
+@dataclass
+class Sample:
+    """(row, at) for each term of each document, rows in order, ``at`` the place of the term; label and weight by row."""
+
+    row: np.ndarray
+    at: np.ndarray
+    label: np.ndarray
+    terms: int
+
+    def weight(self) -> np.ndarray:
+        return np.where(self.label > 0, TOXIC_WEIGHT, 1.0)
+
+    def part(self, chosen: np.ndarray) -> Sample:
+        new = np.cumsum(chosen) - 1
+        own = chosen[self.row]
+        return Sample(new[self.row[own]], self.at[own], self.label[chosen], self.terms)
+
+
+@dataclass
+class Weights:
+    bias: float
+    w: np.ndarray
+    v: np.ndarray
+
+    def z(self, s: Sample) -> np.ndarray:
+        n = len(s.label)
+        out = self.bias + np.bincount(s.row, self.w[s.at], n)
+        has = self.v.any(axis=1)[s.at]
+        row, at = s.row[has], s.at[has]
+        for f in range(self.v.shape[1] if len(row) else 0):
+            x = self.v[at, f]
+            out += 0.5 * (np.bincount(row, x, n) ** 2 - np.bincount(row, x * x, n))
+        return out
+
+    def loss(self, s: Sample) -> float:
+        return float((s.weight() * np.logaddexp(0, np.where(s.label > 0, -1, 1) * self.z(s))).sum())
+
+
+def pair_factors(s: Sample, error: np.ndarray, seed: int = 7) -> np.ndarray:
+    """The leading sparse eigenvectors of the pair matrix of ``error`` over centred and scaled terms; zeros where no
+    entry stands out of the noise of so many terms."""
+    n, p, rng = len(s.label), s.terms, np.random.default_rng(seed)
+    e = error - error.mean()
+    share = np.bincount(s.at, minlength=p) / n
+    usable = (share * n >= max(LEAST_DOCS, n / 100)) & (share <= 0.9)  # a pair of rarer terms is in too few documents
+    if not usable.any():
+        return np.zeros((p, FACTORS))
+    own = usable[s.at]
+    row, at = s.row[own], s.at[own]
+    scale = np.where(usable, 1 / np.sqrt(np.maximum(n * share * (1 - share), 1e-9)), 0)
+    noise = e.std() / np.sqrt(n) * np.sqrt(2 * np.log(max(usable.sum(), 2)))
+    diagonal = scale**2 * ((1 - 2 * share) * np.bincount(at, e[row], p) + share**2 * e.sum())
+
+    def times(x: np.ndarray) -> np.ndarray:
+        out = np.empty_like(x)
+        for f in range(x.shape[1]):
+            y = scale * x[:, f]
+            of = e * (np.bincount(row, y[at], n) - (share * y).sum())
+            out[:, f] = scale * (np.bincount(at, of[row], p) - share * of.sum()) - diagonal * x[:, f]
+        return out
+
+    x = np.linalg.qr(rng.normal(size=(p, FACTORS)) * usable[:, None])[0]
+    size = 1.0
+    for _ in range(5):
+        x, r = np.linalg.qr(times(x))
+        size = np.abs(np.diag(r)).max()
+    for _ in range(10):  # the shift puts the largest positive ones first
+        x = np.linalg.qr(times(x) + size * x)[0]
+    for _ in range(10):
+        y = times(x)
+        y = np.sign(y) * np.maximum(np.abs(y) - noise, 0)
+        some = np.abs(y).sum(axis=0) > 0
+        x = np.where(some, np.linalg.qr(y + 1e-12 * rng.normal(size=y.shape))[0], 0)
+        x = np.where(np.abs(x) > 1e-6, x, 0)
+    x = x * ((x * times(x)).sum(axis=0) > 0)
+    peak = np.maximum(np.abs(x).max(axis=0), 1e-9)
+    return np.where(np.abs(x) >= KEPT * peak, 0.3 * x / peak, 0)
+
+
+def descend(s: Sample, v: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Weights:
+    """Follow the regularized leader over batches of documents; entries of ``v`` that are zero stay so."""
+    n, rng, weight = len(s.label), np.random.default_rng(seed), s.weight()
+    rate = float(np.clip((weight * s.label).sum() / max(weight.sum(), 1), 0.5 / (n + 1), 1 - 0.5 / (n + 1)))
+    bias, bias_sum = np.log(rate / (1 - rate)), 1.0
+    z, squares, v, v_squares = np.zeros(s.terms), np.zeros(s.terms), v.copy(), np.zeros(v.shape)
+    paired = v.any(axis=1)
+    start, size = np.searchsorted(s.row, np.arange(n)), np.bincount(s.row, minlength=n)
+
+    def current(i) -> np.ndarray:
+        return np.where(np.abs(z[i]) <= L1, 0, -(z[i] - np.sign(z[i]) * L1) / (1 + np.sqrt(squares[i])))
+
+    for _ in range(epochs):
+        order = rng.permutation(n)
+        for k in range(0, n, BATCH):
+            docs = order[k : k + BATCH]
+            own = size[docs]
+            entry = np.repeat(start[docs] - (np.cumsum(own) - own), own) + np.arange(own.sum())
+            doc, at = np.repeat(np.arange(len(docs)), own), s.at[entry]
+            terms, place = np.unique(at, return_inverse=True)
+            w = current(terms)
+            out = bias + np.bincount(doc, w[place], len(docs))
+            pair = paired[at]
+            pair_doc, pair_at = doc[pair], at[pair]
+            if len(pair_at):
+                sums = np.stack([np.bincount(pair_doc, v[pair_at, f], len(docs)) for f in range(v.shape[1])], axis=1)
+                out += 0.5 * ((sums**2).sum(axis=1) - np.bincount(pair_doc, (v[pair_at] ** 2).sum(axis=1), len(docs)))
+            e = (1 / (1 + np.exp(-np.clip(out, -40, 40))) - s.label[docs]) * weight[docs]
+            gradient, more = np.bincount(place, e[doc], len(terms)), np.bincount(place, e[doc] ** 2, len(terms))
+            z[terms] += gradient - (np.sqrt(squares[terms] + more) - np.sqrt(squares[terms])) * w
+            squares[terms] += more
+            bias_sum += (e**2).sum()
+            bias -= 0.3 * e.sum() / np.sqrt(bias_sum)
+            if len(pair_at):
+                some, of = np.unique(pair_at, return_inverse=True)
+                g = np.zeros((len(some), v.shape[1]))
+                np.add.at(g, of, e[pair_doc, None] * (sums[pair_doc] - v[pair_at]))
+                g = np.where(v[some] != 0, g + 1e-3 * v[some], 0)
+                v_squares[some] += g * g
+                v[some] -= 0.1 * g / np.sqrt(1e-8 + v_squares[some])
+    return Weights(float(bias), current(np.arange(s.terms)), v)
+
+
+def fit(row: np.ndarray, term: np.ndarray, label: np.ndarray, seed: int = 7) -> Machine:
+    """Learn from the documents' hashed terms; rows are numbered from 0 in order."""
+    n = len(label)
+    found = np.bincount(term, minlength=1 << TERM_BITS)
+    chosen = np.flatnonzero(found >= LEAST_DOCS)
     place = np.full(1 << TERM_BITS, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
-    at, n = place[term], len(label)
-    rate_of = (label.sum() + 0.5) / (n + 2)
-    rng = np.random.default_rng(seed)
-    p = {"b": np.array([np.log(rate_of / (1 - rate_of))]), "w": np.zeros(len(chosen)), "v": rng.normal(0, 0.01, (len(chosen), FACTORS))}
-    m, s = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}
-    for t in range(1, rounds + 1 if len(chosen) else 1):
-        sums = np.stack([np.bincount(row, p["v"][at, f], n) for f in range(FACTORS)], axis=1)
-        squares = sum(np.bincount(row, p["v"][at, f] ** 2, n) for f in range(FACTORS))
-        z = p["b"][0] + np.bincount(row, p["w"][at], n) + 0.5 * ((sums**2).sum(axis=1) - squares)
-        e = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - label) / n
-        g = {"b": np.array([e.sum()]), "w": np.bincount(at, e[row], len(chosen)) + decay * p["w"]}
-        g["v"] = np.stack([np.bincount(at, e[row] * (sums[row, f] - p["v"][at, f]), len(chosen)) for f in range(FACTORS)], axis=1) + decay * p["v"]
-        for k in p:
-            m[k], s[k] = 0.9 * m[k] + 0.1 * g[k], 0.999 * s[k] + 0.001 * g[k] ** 2
-            p[k] = p[k] - rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(s[k] / (1 - 0.999**t)) + 1e-8)
-    return Machine(float(p["b"][0]), place, p["w"], p["v"])
+    own = place[term] >= 0
+    sample = Sample(row[own], place[term][own], np.asarray(label, float), len(chosen))
+    alone = np.zeros((len(chosen), FACTORS))
+
+    def paired(s: Sample, plain: Weights) -> np.ndarray:
+        return pair_factors(s, (s.label - 1 / (1 + np.exp(-np.clip(plain.z(s), -40, 40)))) * s.weight(), seed)
+
+    best = descend(sample, alone, seed=seed)
+    aside = np.random.default_rng(seed).random(n) < 0.2
+    if n >= 20 and 0 < sample.label[~aside].sum() < (~aside).sum():
+        known, rest = sample.part(~aside), sample.part(aside)
+        plain = descend(known, alone, seed=seed)
+        v = paired(known, plain)
+        if v.any() and descend(known, v, 2 * EPOCHS, seed).loss(rest) < plain.loss(rest):
+            v = paired(sample, best)
+            best = descend(sample, v, 2 * EPOCHS, seed) if v.any() else best
+    kept = np.flatnonzero((best.w != 0) | best.v.any(axis=1))
+    place = np.full(1 << TERM_BITS, -1, np.int32)
+    place[chosen[kept]] = np.arange(len(kept))
+    return Machine(best.bias, place, best.w[kept], best.v[kept])
 
 
 def term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each text: its label and its distinct hashed terms."""
     for piece in pieces(batches):
         row, term = document_terms(piece.column("text"))
-        toxic = piece.column("toxic").to_numpy(zero_copy_only=False).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([piece.column("key").take(pa.array(row)), pa.array(term.astype(np.int32)), pa.array(toxic[row])], names=["key", "term", "toxic"])
+        ends = np.searchsorted(row, np.arange(piece.num_rows + 1)).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([piece.column("key"), piece.column("toxic"), pa.ListArray.from_arrays(pa.array(ends), pa.array(term.astype(np.int32)))], names=["key", "toxic", "terms"])
 
 
 def learn(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED) -> Machine:
     """A machine learned from rows outside the held-out fold.
 
     Only rows with a text, a doc_id and a label of 0 or 1 count; a doc_id with contrary labels counts as toxic.  The
-    driver gets two counts for each term that occurs (2**18 at most), and the chosen terms of the sample."""
+    driver gets the terms of about most_labelled documents."""
     bounded_batches(docs.sparkSession)
-    labels = labels.where("toxic in (0, 1) and doc_id is not null").where(crc_fold(F.col("doc_id")) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    labels = labels.where("toxic in (0, 1) and doc_id is not null").where(crc_fold(F.col("doc_id")) != 0).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     total = labels.count()
     share = min(1.0, most_labelled / max(total, 1))
     draw = (F.xxhash64("doc_id", F.lit("toxicity")).bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)) < share
-    sample = docs.select("doc_id", "text").where("text is not null").join(labels.where(draw), "doc_id")
+    wanted = F.broadcast(labels.where(draw))  # bounded: about most_labelled rows of two numbers
+    sample = docs.select("doc_id", "text").where("text is not null").join(wanted, "doc_id")
     # equal texts are one example, so a large group of copies doesn't weigh as many
-    sample = sample.select(F.xxhash64("text").alias("key"), "text", "toxic")
-    sample = sample.groupBy("key").agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
-    found = sample.mapInArrow(term_rows, "key long, term int, toxic int")
-    counts = found.groupBy("term").agg(F.count("*").alias("n"), F.sum("toxic").alias("k")).toPandas().sort_values("term")
-    sizes = sample.agg(F.count("*"), F.sum("toxic")).first()
-    n_all, k_all = int(sizes[0]), int(sizes[1] or 0)
-    chosen = _telling(counts["n"].to_numpy(float), counts["k"].to_numpy(float), n_all, k_all)
-    terms = np.sort(counts["term"].to_numpy()[chosen])
-    spark = docs.sparkSession
-    wanted = spark.createDataFrame([(int(x),) for x in terms], "term int")
-    # rows without chosen terms are alike but for the label, and only counted
-    rows = found.join(F.broadcast(wanted), "term").select("key", "term", "toxic").toPandas()
-    rows = rows.sort_values(["key", "term"])
-    keys, row = np.unique(rows["key"].to_numpy(), return_inverse=True)
-    label = np.zeros(len(keys))
-    label[row] = rows["toxic"].to_numpy()
-    bare_toxic = int(k_all - label.sum())
-    bare = n_all - len(keys)
-    label = np.concatenate([label, np.ones(bare_toxic), np.zeros(max(bare - bare_toxic, 0))])
-    term = rows["term"].to_numpy()
-    del rows, counts
-    return fit(row, term, label)
-
-
-def _telling(n: np.ndarray, k: np.ndarray, n_all: int, k_all: int) -> np.ndarray:
-    """The terms whose likelihood ratio against the label passes 2 ln(terms / 0.05), the most telling MOST_TERMS."""
-    def part(x, expected):
-        return np.where(x > 0, x * np.log(np.maximum(x, 1e-12) / np.maximum(expected, 1e-12)), 0)
-
-    if not len(n) or not n_all:
-        return np.zeros(0, np.int64)
-    share = k_all / n_all
-    cells = ((k, n * share), (n - k, n * (1 - share)), (k_all - k, (n_all - n) * share), (n_all - n - k_all + k, (n_all - n) * (1 - share)))
-    ratio = 2 * sum(part(x, e) for x, e in cells)
-    best = np.argsort(-ratio, kind="stable")[:MOST_TERMS]
-    return best[ratio[best] > 2 * np.log(len(n) / 0.05)]
+    sample = sample.groupBy("text").agg(F.max("toxic").alias("toxic")).select(F.xxhash64("text").alias("key"), "text", "toxic")
+    got = sample.mapInArrow(term_rows, "key long, toxic int, terms array<int>").toArrow().combine_chunks().sort_by("key")
+    lists = got.column("terms").combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int32()))
+    size = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    return fit(np.repeat(np.arange(len(size)), size), lists.flatten().to_numpy(zero_copy_only=False), got.column("toxic").to_numpy().astype(float))
 
 
 def scored(docs: DataFrame, machine: Machine) -> DataFrame:
