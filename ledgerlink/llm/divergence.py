@@ -186,13 +186,15 @@ def share(count: Column, total: Column, size: Column) -> Column:
 
 
 def _differences(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Of two blocks of sources: the sum of |p - q| over the terms of this block that any of them has, and how many."""
+    """Of two blocks of sources: the sum of |p - q| over the terms of this block that any of them has, and how many.
+    Each source has a row without a term, so that one without terms here takes part."""
     _, _, i, j = key
-    term, names = rows["term"].factorize()[0], rows["source"].factorize()
-    source, sources = names
+    term, terms = rows["term"].factorize()
+    source, sources = rows["source"].factorize()
     first = rows.groupby(source).first()
-    table = np.repeat(first["p0"].to_numpy(np.int64)[:, None], term.max() + 1, axis=1)
-    table[source, term] = rows["p"].to_numpy(np.int64)
+    table = np.repeat(first["p0"].to_numpy(np.int64)[:, None], len(terms), axis=1)
+    has = term >= 0
+    table[source[has], term[has]] = rows["p"].to_numpy()[has].astype(np.int64)
     block = first["own"].to_numpy()
     out = []
     for a in np.flatnonzero(block == i):
@@ -220,9 +222,11 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_T
     shares = counts.join(groups, ["lang", "source"]).withColumn("p", share(F.col("n"), F.col("total"), F.col("size")))
 
     # blocks of terms and of sources, dealt by hash; a row goes to each pair of blocks that its own stands in
-    n_blocks = F.ceil(F.col("sources") / BLOCK_SOURCES).cast("int")
-    blocks = shares.withColumn("block", F.pmod(F.xxhash64("term"), F.ceil(F.col("size") / BLOCK_TERMS)))
-    blocks = blocks.withColumn("own", F.pmod(F.xxhash64("source"), n_blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+    n_terms, n_sources = F.ceil(F.col("size") / BLOCK_TERMS).cast("int"), F.ceil(F.col("sources") / BLOCK_SOURCES).cast("int")
+    present = shares.select("lang", "source", "size", "sources", F.pmod(F.xxhash64("term"), n_terms).cast("int").alias("block"), "term", "p", "p0")
+    every = groups.where("size > 0").select("lang", "source", "size", "sources", F.explode(F.sequence(F.lit(0), n_terms - 1)).alias("block"), F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("p"), "p0")
+    blocks = present.unionByName(every).withColumn("own", F.pmod(F.xxhash64("source"), n_sources).cast("int"))
+    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), n_sources - 1)))
     blocks = blocks.select("lang", "block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "source", "term", "p", "p0")
     parts = blocks.groupBy("lang", "block", "i", "j").applyInPandas(_differences, "lang string, a string, b string, part long, terms long")
     summed = parts.groupBy("lang", "a", "b").agg(F.sum("part").alias("part"), F.sum("terms").alias("terms"))

@@ -93,6 +93,7 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         bucket, sign = _hashed(kind.dictionary, salt)
         at = kind.indices.to_numpy(zero_copy_only=False)[code]
         x[:, SHARES:] += (np.bincount(passage * HASHED + bucket[at], sign[at], len(row) * HASHED)).reshape(len(row), HASHED) / some[:, None]
+    x[n == 0] = 0
     return row, x
 
 
