@@ -94,5 +94,14 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or where ``df`` has a column like it (in any case) the first of name_1, name_2, ... that is free."""
+    taken, n, out = {c.lower() for c in df.columns}, 0, name
+    while out.lower() in taken:
+        n += 1
+        out = f"{name}_{n}"
+    return out
+
+
 def plain_name(name: str) -> str:
     return re.sub(r"\W+", "_", name)

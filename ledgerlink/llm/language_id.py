@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlink.llm.common import bounded_batches, crc_fold, pieces, read
+from ledgerlink.llm.common import bounded_batches, crc_fold, fresh, pieces, read
 
 ORDER = 3
 SAMPLE_DOCUMENTS = 400  # of each language, expected
@@ -148,6 +148,8 @@ def identified(docs: DataFrame, trees: Trees) -> DataFrame:
     """``docs`` with lang_pred and score.  A text that is null or has no letter gets ``und`` and 0; with no language
     learned every text does.  Other columns stay, whatever their names but lang_pred and score."""
     bounded_batches(docs.sparkSession)
+    docs = docs.drop("lang_pred", "score")  # the new columns stand in the place of those of their names
+    letters_col = fresh(docs, "_letters")
     shared = docs.sparkSession.sparkContext.broadcast(trees)  # bounded by the sample and MOST_SYMBOLS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,17 +162,17 @@ def identified(docs: DataFrame, trees: Trees) -> DataFrame:
             score = np.zeros(piece.num_rows)
             if model.languages and len(data):
                 lengths = model.lengths(data, np.cumsum(sizes) - sizes)
-                letters = np.array(piece.column("_letters").to_pylist(), bool)
+                letters = np.array(piece.column(letters_col).to_pylist(), bool)
                 first = lengths.argmin(axis=1)
                 share = 1 / np.exp2(np.clip(lengths.min(axis=1, keepdims=True) - lengths, -1000, 0)).sum(axis=1)
                 best = [model.languages[k] if ok else "und" for k, ok in zip(first, letters, strict=True)]
                 score = np.where(letters, share, 0.0)
-            kept = [c for c, name in zip(piece.columns, piece.schema.names, strict=True) if name != "_letters"]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(best, pa.string()), pa.array(score)], names=[*(x for x in piece.schema.names if x != "_letters"), "lang_pred", "score"])
+            kept = [c for c, name in zip(piece.columns, piece.schema.names, strict=True) if name != letters_col]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(best, pa.string()), pa.array(score)], names=[*(x for x in piece.schema.names if x != letters_col), "lang_pred", "score"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return docs.withColumn("_letters", letters).mapInArrow(run, schema)
+    has = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return docs.withColumn(letters_col, has).mapInArrow(run, schema)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlink.llm.common import bounded_batches, keep, mixed, pieces, read, signed
+from ledgerlink.llm.common import bounded_batches, fresh, keep, mixed, pieces, read, signed
 from ledgerlink.llm.graph import components
 from ledgerlink.llm.near_dedup import groups
 
@@ -265,9 +265,10 @@ def line_report(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
 def without_repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short_copies: bool = False) -> DataFrame:
     """``docs`` with the texts that are left: lines that stay, in order.  A null text stays null."""
     leading = line_places(docs.select("doc_id", "text"), edits, min_chars, short_copies).where("place = class_place")
-    stays = leading.groupBy(F.col("place.doc_id").alias("_id"), F.col("place.doc").alias("_doc")).agg(F.collect_set("place.at").alias("_stays"))
-    joined = docs.join(stays, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_doc")), "left")
-    lines = F.filter(F.split("text", "\n"), lambda x, i: (F.length(x) < (0 if short_copies else min_chars)) | F.coalesce(F.array_contains("_stays", i), F.lit(False)))
+    own = {x: fresh(docs, x) for x in ("_id", "_doc", "_stays")}
+    stays = leading.groupBy(F.col("place.doc_id").alias(own["_id"]), F.col("place.doc").alias(own["_doc"])).agg(F.collect_set("place.at").alias(own["_stays"]))
+    joined = docs.join(stays, docs["doc_id"].eqNullSafe(F.col(own["_id"])) & (F.xxhash64(docs["text"]) == F.col(own["_doc"])), "left")
+    lines = F.filter(F.split("text", "\n"), lambda x, i: (F.length(x) < (0 if short_copies else min_chars)) | F.coalesce(F.array_contains(own["_stays"], i), F.lit(False)))
     return joined.withColumn("text", F.array_join(lines, "\n")).select(*docs.columns)
 
 

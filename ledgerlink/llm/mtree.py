@@ -31,10 +31,10 @@ SLACK = 1e-6
 
 
 def scaled(vectors: DataFrame) -> DataFrame:
-    """(vec_id, v): the vectors that take part, as long arrays; of rows with the same vec_id the smallest vector."""
+    """(row, vec_id, v): the vectors that take part, as long arrays, with a number for each row."""
     ok = F.coalesce(F.col("vec_id").isNotNull() & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
     v = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("long"))
-    return vectors.where(ok).select("vec_id", v.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return vectors.where(ok).select(F.monotonically_increasing_id().alias("row"), "vec_id", v.alias("v"))
 
 
 def matrix(vs: pd.Series, dim: int) -> np.ndarray:
@@ -54,7 +54,7 @@ def far(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(((a - b) ** 2).sum(axis=-1), 0))
 
 
-def build_tree(ids: np.ndarray, v: np.ndarray, largest: float) -> list[dict]:
+def build_tree(own: np.ndarray, ids: np.ndarray, v: np.ndarray, largest: float) -> list[dict]:
     """The pages of one tree, each with its node: pivot, radius, distance to the root's pivot, distances of its rows."""
     x = lifted(v, largest)
     root = x[0]
@@ -76,12 +76,13 @@ def build_tree(ids: np.ndarray, v: np.ndarray, largest: float) -> list[dict]:
         d = far(x[rows], pivot)
         order = np.argsort(d, kind="stable")
         rows, d = rows[order], d[order]
-        pages.append({"pivot": pivot, "radius": float(d.max()), "up": float(far(pivot, root)), "ids": ids[rows], "v": v[rows], "d": d})
+        pages.append({"pivot": pivot, "radius": float(d.max()), "up": float(far(pivot, root)), "rows": own[rows], "ids": ids[rows], "v": v[rows], "d": d})
     return pages
 
 
-def descend(pages: list[dict], root: np.ndarray, query_id: int, q: np.ndarray, largest: float, bound: float, k: int) -> list[tuple[int, int]]:
-    """The k best (score, vec_id) of a tree for one query among those no farther than ``bound``, best page first."""
+def descend(pages: list[dict], root: np.ndarray, row: int, q: np.ndarray, largest: float, bound: float, k: int) -> list[tuple[int, int, int]]:
+    """The k best (score, vec_id, row) of a tree for the query of a row among those no farther than ``bound``, best page
+    first; the row itself is left out."""
     x = np.append(q.astype(np.float64), 0.0)
     base = float((x * x).sum()) + largest
     slack = SLACK * (1 + np.sqrt(base))
@@ -91,7 +92,7 @@ def descend(pages: list[dict], root: np.ndarray, query_id: int, q: np.ndarray, l
         least = abs(to_root - p["up"]) - p["radius"]  # without the node's own distance
         if least <= bound + slack:
             heapq.heappush(queue, (max(least, 0.0), n, -1.0))
-    best: list[tuple[int, int]] = []  # (score, -vec_id), the worst first
+    best: list[tuple[int, int, int]] = []  # (score, -vec_id, row), the worst first
     while queue:
         least, n, own = heapq.heappop(queue)
         if least > bound + slack:
@@ -103,12 +104,12 @@ def descend(pages: list[dict], root: np.ndarray, query_id: int, q: np.ndarray, l
             continue
         a, b = np.searchsorted(p["d"], [own - bound - slack, own + bound + slack])
         scores = p["v"][a:b] @ q
-        for s, i in zip(scores.tolist(), p["ids"][a:b].tolist(), strict=True):
-            if i != query_id and (len(best) < k or (s, -i) > best[0]):
-                (heapq.heappush if len(best) < k else heapq.heapreplace)(best, (s, -i))
+        for s, i, r in zip(scores.tolist(), p["ids"][a:b].tolist(), p["rows"][a:b].tolist(), strict=True):
+            if r != row and (len(best) < k or (s, -i, r) > best[0]):
+                (heapq.heappush if len(best) < k else heapq.heapreplace)(best, (s, -i, r))
         if len(best) == k:
             bound = min(bound, float(np.sqrt(max(base - 2 * best[0][0], 0))))
-    return [(s, -i) for s, i in best]
+    return [(s, -i, r) for s, i, r in best]
 
 
 TREES = "region int, tree int, n long, pivot array<double>, radius double, nodes binary"
@@ -117,8 +118,8 @@ TREES = "region int, tree int, n long, pivot array<double>, radius double, nodes
 def top_inner_products(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose vec_id is divisible by ``every`` the k best other rows.
 
-    Rows without a vec_id, null vectors and those with null or non-finite components take no part; of rows that repeat
-    a vec_id one does.  A shorter vector ends in zeros; an empty one has score 0 with all.  Ties go to the smaller
+    Rows without a vec_id, null vectors and those with null or non-finite components take no part.  Rows that repeat a
+    vec_id are each a candidate for the others, and each a query with ranks of its own.  A shorter vector ends in zeros; an empty one has score 0 with all.  Ties go to the smaller
     vec_id.  Components whose products leave 63 bits raise an error.  Columns besides vec_id and embedding are left out."""
     import pickle
 
@@ -131,7 +132,7 @@ def top_inner_products(vectors: DataFrame, every: int = 50, k: int = 5) -> DataF
     if largest >= 2.0**62:
         raise ValueError("components are too large for scores of 63 bits")
     want = max(1, min(REGIONS, count // TREE))
-    drawn = points.orderBy(F.xxhash64("vec_id"), "vec_id").limit(want).toPandas()
+    drawn = points.orderBy(F.xxhash64("row"), "row").limit(want).toPandas()
     pivots = lifted(matrix(drawn["v"], dim), largest)  # REGIONS rows at most
 
     def nearest(batches):
@@ -140,36 +141,36 @@ def top_inner_products(vectors: DataFrame, every: int = 50, k: int = 5) -> DataF
             d = np.stack([far(x, p) for p in pivots], axis=1) if len(x) else np.zeros((0, len(pivots)))
             yield pdf.assign(region=d.argmin(axis=1).astype("int32"))
 
-    placed = keep(points.mapInPandas(nearest, "vec_id long, v array<long>, region int"), "regions") if count else points.withColumn("region", F.lit(0))
+    placed = keep(points.mapInPandas(nearest, "row long, vec_id long, v array<long>, region int"), "regions") if count else points.withColumn("region", F.lit(0))
     trees_of = placed.groupBy("region").agg(F.ceil(F.count("*") / TREE).cast("int").alias("trees"))  # REGIONS rows at most
-    dealt = placed.join(F.broadcast(trees_of), "region").withColumn("tree", F.pmod(F.xxhash64("vec_id"), F.col("trees")).cast("int"))
+    dealt = placed.join(F.broadcast(trees_of), "region").withColumn("tree", F.pmod(F.xxhash64("row"), F.col("trees")).cast("int"))
 
     def plant(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("vec_id")
+        pdf = pdf.sort_values(["vec_id", "row"])
         v = matrix(pdf["v"], dim)
-        pages = build_tree(pdf["vec_id"].to_numpy(np.int64), v, largest)
+        pages = build_tree(pdf["row"].to_numpy(np.int64), pdf["vec_id"].to_numpy(np.int64), v, largest)
         root = lifted(v[:1], largest)[0]
         radius = max(p["up"] + p["radius"] for p in pages)
         return pd.DataFrame([{"region": key[0], "tree": key[1], "n": len(pdf), "pivot": root, "radius": radius, "nodes": pickle.dumps(pages)}])
 
     index = keep(dealt.groupBy("region", "tree").applyInPandas(plant, TREES), "m-trees")
-    queries = placed.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.col("region").alias("home"))
-    found = "query_id long, vec_id long, score long, bound double"
+    queries = placed.where(F.col("vec_id") % every == 0).select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.col("region").alias("home"))
+    found = "query long, query_id long, vec_id long, score long, bound double"
 
     def search(key, trees: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out = []
         q = matrix(asked["q"], dim)
         for t in trees.itertuples():
             pages, root = pickle.loads(t.nodes), np.array(t.pivot)
-            for i, (query_id, bound) in enumerate(zip(asked["query_id"], asked["bound"], strict=True)):
+            for i, (row, query_id, bound) in enumerate(zip(asked["query"], asked["query_id"], asked["bound"], strict=True)):
                 x = np.append(q[i].astype(np.float64), 0.0)
                 slack = SLACK * (1 + float(np.sqrt((x * x).sum() + largest)))
                 if float(far(root, x)) - t.radius > bound + slack:
                     continue
-                best = descend(pages, root, query_id, q[i], largest, bound, k)
+                best = descend(pages, root, row, q[i], largest, bound, k)
                 limit = float(np.sqrt(max((x * x).sum() + largest - 2 * min(best)[0], 0))) if len(best) == k else np.inf
-                out += [(query_id, vec_id, s, limit) for s, vec_id in best]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score", "bound"])
+                out += [(row, query_id, vec_id, s, limit) for s, vec_id, _ in best]
+        return pd.DataFrame(out, columns=["query", "query_id", "vec_id", "score", "bound"])
 
     def searched(asked: DataFrame, trees: DataFrame) -> DataFrame:
         """``asked`` has region, tree and block; a tree goes to every block that asks for it."""
@@ -179,10 +180,10 @@ def top_inner_products(vectors: DataFrame, every: int = 50, k: int = 5) -> DataF
         return mine.groupBy("region", "tree", "block").cogroup(asked.groupBy("region", "tree", "block")).applyInPandas(search, found)
 
     blocks = max(1, -(-(count // max(every, 1)) // QUERIES))
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+    queries = queries.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int"))
     first = queries.withColumn("region", F.col("home")).withColumn("tree", F.lit(0)).withColumn("bound", F.lit(float("inf")))
-    bounds = searched(first, index).groupBy("query_id").agg(F.min("bound").alias("bound"))
-    queries = keep(queries.join(bounds, "query_id", "left").na.fill({"bound": float("inf")}), "queries")
+    bounds = searched(first, index).groupBy("query").agg(F.min("bound").alias("bound"))
+    queries = keep(queries.join(bounds, "query", "left").na.fill({"bound": float("inf")}), "queries")
 
     # regions that can hold something as near: their pivot and the farthest row of theirs, REGIONS rows at most
     reach = {region: (pivots[region], radius) for region, radius in _reach(index, pivots).items()}
@@ -198,10 +199,10 @@ def top_inner_products(vectors: DataFrame, every: int = 50, k: int = 5) -> DataF
             at = [i for i, _ in rows]
             yield pdf.iloc[at].assign(region=np.array([r for _, r in rows], "int32"))
 
-    wide = queries.mapInPandas(regions_of, "query_id long, q array<long>, home int, block int, bound double, region int")
+    wide = queries.mapInPandas(regions_of, "query long, query_id long, q array<long>, home int, block int, bound double, region int")
     asked = wide.join(index.select("region", "tree"), "region")
     best = searched(asked, index).drop("bound")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 

@@ -100,7 +100,7 @@ def sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in pieces(batches):
         values, sizes = shingle_sets(piece.column("text"))
         sketch = pa.array([x.tobytes() for x in sketches(values, sizes)], pa.binary())
-        yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(sizes), *digests(values, sizes), sketch], names=["doc_id", "n_shingles", "d1", "d2", "sketch"])
+        yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("text_key"), pa.array(sizes), *digests(values, sizes), sketch], names=["doc_id", "text_key", "n_shingles", "d1", "d2", "sketch"])
 
 
 def band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,7 +232,12 @@ def dealt(members: DataFrame, key: str, parts: Column) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
+    """Per row of ``docs``: doc_id, n_shingles, component_id, kept.  See ``near_rows``."""
+    return near_rows(docs, percent).drop("text_key")
+
+
+def near_rows(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept, text_key (the text's MD5).
 
     Rows with a null doc_id are linked with nothing and kept, with a null component.  A null, empty or blank text has
     no shingles and is linked with nothing.  Rows that repeat a doc_id are judged by their own texts.  Columns other
@@ -241,7 +246,8 @@ def near_classes(docs: DataFrame, percent: int = 75) -> DataFrame:
     bounded_batches(spark)
     docs = docs.select("doc_id", "text")
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    drawn = keep(docs.mapInArrow(sketch_rows, "doc_id long, n_shingles long, d1 long, d2 long, sketch binary"), "sketches")
+    marked = docs.withColumn("text_key", F.unhex(F.md5("text")))
+    drawn = keep(marked.mapInArrow(sketch_rows, "doc_id long, text_key binary, n_shingles long, d1 long, d2 long, sketch binary"), "sketches")
     node = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.xxhash64("n_shingles", "d1", "d2"))
     drawn = drawn.withColumn("node", node)
     classes = keep(drawn.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "classes")
@@ -276,9 +282,9 @@ def _finish(drawn: DataFrame, classes: DataFrame, clusters: DataFrame, sets: Dat
     least = labels.join(classes.select("node", "first"), "node").groupBy("label").agg(F.min("first").alias("component"))
     ids = labels.join(least, "label").select("node", "component")
     named = classes.select("node", "first").join(ids, "node", "left").select("node", F.coalesce("component", "first").alias("component"))
-    out = drawn.select("doc_id", "n_shingles", "node").join(named, "node", "left")
+    out = drawn.select("doc_id", "n_shingles", "node", "text_key").join(named, "node", "left")
     component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "text_key")
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlink.llm.common import read
+from ledgerlink.llm.common import fresh, read
 
 Targets = Mapping[str, Mapping[str, float]]
 
@@ -26,7 +26,8 @@ TARGETS: Targets = {
     "topic": {"prose": 0.95, "*": 0.05},
 }
 SEED = 11
-#: A cell's weight is at most this many times the mean: a target that few tokens must meet does not empty the rest.
+#: Of the registered mix and the pipeline: a cell weighs at most this many times the mean, so that a target which few
+#: tokens must meet doesn't empty the rest.
 MOST_WEIGHT = 8.0
 
 
@@ -40,11 +41,11 @@ def tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long") + 1
 
 
-def rake(cells: np.ndarray, totals: np.ndarray, targets: list[np.ndarray], rounds: int = 500, close: float = 1e-10) -> np.ndarray:
+def rake(cells: np.ndarray, totals: np.ndarray, targets: list[np.ndarray], rounds: int = 500, close: float = 1e-10, most: float = np.inf) -> np.ndarray:
     """Weights for cells (rows of value numbers, one column a dimension) that give their totals the target shares.
 
     Targets of values without tokens are spread over the others of their dimension.  Where the cells can't meet all
-    targets at once, or not with weights of MOST_WEIGHT at most, the weights are those after the last round."""
+    targets at once, or not with weights of ``most`` times the mean at most, the weights are those after the last round."""
     share = totals / max(totals.sum(), 1)
     goals = []
     for d, t in enumerate(targets):
@@ -56,15 +57,18 @@ def rake(cells: np.ndarray, totals: np.ndarray, targets: list[np.ndarray], round
         for d, goal in enumerate(goals):
             now = np.bincount(cells[:, d], share * weights, len(goal))
             off = max(off, float(np.abs(now - goal).max(initial=0)))
-            weights = np.minimum(weights * (goal / np.where(now > 0, now, 1))[cells[:, d]], MOST_WEIGHT)
+            weights = np.minimum(weights * (goal / np.where(now > 0, now, 1))[cells[:, d]], most)
         if off < close:
             break
     return weights
 
 
-def mixed_sample(docs: DataFrame, targets: Targets = TARGETS, seed: int = SEED) -> DataFrame:
+def mixed_sample(docs: DataFrame, targets: Targets = TARGETS, seed: int = SEED, most_weight: float | None = None) -> DataFrame:
     """``docs`` with cell columns (mix_source, mix_lang, mix_topic), mix_tokens, mix_weight, mix_probability, mix_taken.
 
+    ``most_weight`` bounds a cell's weight, so that a target that few tokens must meet doesn't empty the rest; unset,
+    weights have no bound.  ``shares_reached`` tells what a bound or contrary targets leave unmet.
+
     Null sources and languages count as ``*``; a null text is prose of one token.  Values that no target covers (no
     ``*``) have probability 0.  An empty table gives no rows.  The driver gets one row for each cell."""
     dims = list(targets)
@@ -76,7 +80,7 @@ def mixed_sample(docs: DataFrame, targets: Targets = TARGETS, seed: int = SEED)
     rows = sorted(tuple(r) for r in sums if all(r[i] in targets[d] for i, d in enumerate(dims)))
     values = [sorted(targets[d]) for d in dims]
     numbers = np.array([[values[i].index(r[i]) for i in range(len(dims))] for r in rows], np.int64).reshape(-1, len(dims))
-    weights = rake(numbers, np.array([r[-1] for r in rows], float), [np.array([targets[d][v] for v in values[i]], float) for i, d in enumerate(dims)])
+    weights = rake(numbers, np.array([r[-1] for r in rows], float), [np.array([targets[d][v] for v in values[i]], float) for i, d in enumerate(dims)], most=np.inf if most_weight is None else most_weight)
     top = max(weights.max(initial=0.0), 1e-300)
     table = [(*r[:-1], float(w), float(w / top)) for r, w in zip(rows, weights, strict=True)]
     schema = ", ".join(f"{n} string" for n in names) + ", mix_weight double, mix_probability double"
@@ -85,10 +89,24 @@ def mixed_sample(docs: DataFrame, targets: Targets = TARGETS, seed: int = SEED)
     return found.withColumn("mix_taken", draw < F.col("mix_probability"))
 
 
-def mix(docs: DataFrame, targets: Targets = TARGETS, seed: int = SEED) -> DataFrame:
-    """The sampled rows, with the columns of ``docs``."""
-    return mixed_sample(docs, targets, seed).where("mix_taken").select(*docs.columns)
+def shares_reached(sample: DataFrame, targets: Targets = TARGETS) -> DataFrame:
+    """dimension, value, target, expected and drawn share of tokens, out of ``mixed_sample``."""
+    cells = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(f"mix_{d}").alias("value")) for d in targets]))
+    each = sample.select(cells.alias("x"), "mix_tokens", "mix_probability", "mix_taken").groupBy("x.dimension", "x.value").agg(
+        F.sum(F.col("mix_tokens") * F.col("mix_probability")).alias("e"), F.sum(F.when(F.col("mix_taken"), F.col("mix_tokens")).otherwise(0)).alias("n"))
+    whole = each.groupBy("dimension").agg(F.sum("e").alias("all_e"), F.sum("n").alias("all_n"))  # a row for each dimension
+    goal = F.create_map(*[F.lit(x) for d, t in targets.items() for v, share in t.items() for x in (f"{d}={v}", float(share))])
+    name = F.concat("dimension", F.lit("="), "value")
+    out = each.join(whole, "dimension").select("dimension", "value", F.coalesce(F.try_element_at(goal, name), F.lit(0.0)).alias("target"), (F.col("e") / F.col("all_e")).alias("expected"), (F.col("n") / F.col("all_n")).alias("drawn"))
+    return out
+
+
+def mix(docs: DataFrame, targets: Targets = TARGETS, seed: int = SEED, most_weight: float | None = None) -> DataFrame:
+    """The sampled rows, with the columns of ``docs``, also those named like the ones of ``mixed_sample``."""
+    aside = {c: fresh(docs, f"own_{c}") for c in docs.columns if c.lower().startswith("mix_")}
+    out = mixed_sample(docs.withColumnsRenamed(aside), targets, seed, most_weight).where("mix_taken")
+    return out.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixed_sample(read(spark, sf_dir, "documents")).select("doc_id", "mix_source", "mix_lang", "mix_topic", "mix_tokens", "mix_weight", "mix_probability", "mix_taken")
+    return mixed_sample(read(spark, sf_dir, "documents"), most_weight=MOST_WEIGHT).select("doc_id", "mix_source", "mix_lang", "mix_topic", "mix_tokens", "mix_weight", "mix_probability", "mix_taken")

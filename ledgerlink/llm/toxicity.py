@@ -17,7 +17,7 @@ sample documents hold, whatever each says of the label by itself:
 
 Toxic rows weigh TOXIC_WEIGHT times the others.  Ties at 0.5 count as reached.  Equal texts are one example in the sample;
 rows that repeat are scored alike.  Very long texts are read whole, in pieces of bounded memory.  Without labelled rows
-every score is 0.5; an empty table gives no rows.
+every score is 0.25; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -162,7 +162,7 @@ def pair_factors(s: Sample, error: np.ndarray, seed: int = 7) -> np.ndarray:
 def descend(s: Sample, v: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Weights:
     """Follow the regularized leader over batches of documents; entries of ``v`` that are zero stay so."""
     n, rng, weight = len(s.label), np.random.default_rng(seed), s.weight()
-    rate = float(np.clip((weight * s.label).sum() / max(weight.sum(), 1), 0.5 / (n + 1), 1 - 0.5 / (n + 1)))
+    rate = float(((weight * s.label).sum() + 0.5) / (weight.sum() + 2))
     bias, bias_sum = np.log(rate / (1 - rate)), 1.0
     z, squares, v, v_squares = np.zeros(s.terms), np.zeros(s.terms), v.copy(), np.zeros(v.shape)
     paired = v.any(axis=1)
@@ -259,10 +259,11 @@ def learn(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED
     return fit(np.repeat(np.arange(len(size)), size), lists.flatten().to_numpy(zero_copy_only=False), got.column("toxic").to_numpy().astype(float))
 
 
-def scored(docs: DataFrame, machine: Machine) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1, higher: more likely toxic).  Null and empty texts get the score of no terms;
-    other columns, whatever their names but ``score``, stay as they are."""
+def scored(docs: DataFrame, machine: Machine, column: str = "score") -> DataFrame:
+    """``docs`` with ``column`` (0 to 1, higher: more likely toxic), in the place of one of that name.  Null and empty
+    texts get the score of no terms; other columns, whatever their names, stay as they are."""
     bounded_batches(docs.sparkSession)
+    docs = docs.drop(column)
     shared = docs.sparkSession.sparkContext.broadcast(machine)  # bounded: 2**TERM_BITS places and their weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,11 +271,11 @@ def scored(docs: DataFrame, machine: Machine) -> DataFrame:
         for piece in pieces(batches):
             row, term = document_terms(piece.column("text"), model.place >= 0)
             score = pa.array(model.scores(row, term, piece.num_rows), pa.float64())
-            yield pa.RecordBatch.from_arrays([*piece.columns, score], names=[*piece.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*piece.columns, score], names=[*piece.schema.names, column])
 
     from pyspark.sql import types as T
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())])
     return docs.mapInArrow(run, schema)
 
 

@@ -367,14 +367,19 @@ def test_top_products_against_all_pairs(spark, monkeypatch):
     data = [(int(i), [float(x) for x in v]) for i, v in enumerate(vectors)]
     data += [(1000, None), (1001, [None] * 6), (1002, [float("nan")] * 6), (1003, [float("inf")] * 6), (None, [9.0] * 6), (1050, [1.0, 2.0]), (1051, []), data[0]]
     df = spark.createDataFrame(data, "vec_id long, embedding array<float>")
-    got = defaultdict(list)
-    for r in mtree.top_inner_products(df, every=50).orderBy("query_id", "rank").collect():
-        got[r.query_id].append((r.rank, r.vec_id, r.score))
-    whole = {i: np.floor(256 * np.array(list(v) + [0.0] * (6 - len(v)))).astype(np.int64) for i, v in data if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
-    want = {q: [(n + 1, i, s) for n, (s, i) in enumerate(sorted(((int(whole[q] @ v), i) for i, v in whole.items() if i != q), key=lambda x: (-x[0], x[1]))[:5])] for q in whole if q % 50 == 0}
-    assert got == want
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in mtree.top_inner_products(df, every=50).collect())
+    whole = [(i, np.floor(256 * np.array(list(v) + [0.0] * (6 - len(v)))).astype(np.int64)) for i, v in data if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    want = []
+    for a, (q, v) in enumerate(whole):  # rows that repeat a vec_id are each a query, and candidates for the others
+        if q % 50 == 0:
+            best = sorted(((int(v @ w), i) for b, (i, w) in enumerate(whole) if a != b), key=lambda x: (-x[0], x[1]))[:5]
+            want += [(q, n, i, s) for n, (s, i) in enumerate(best, 1)]
+    assert got == sorted(want)
+    assert any(q == i == 0 for q, _, i, _ in got)  # the row that repeats id 0
+    two = spark.createDataFrame([(50, [1.0]), (7, [1.0]), (7, [3.0])], "vec_id long, embedding array<float>")
+    assert [tuple(r) for r in mtree.top_inner_products(two).orderBy("rank").collect()] == [(50, 1, 7, 196608), (50, 2, 7, 65536)]
     assert mtree.top_inner_products(df.limit(0)).count() == 0
-    assert mtree.top_inner_products(df.where("vec_id in (0, 7)")).count() == 1
+    assert mtree.top_inner_products(df.where("vec_id in (50, 7)")).count() == 1
 
 
 # pipeline --------------------------------------------------------------------------------------------------------

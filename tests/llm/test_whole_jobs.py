@@ -50,3 +50,87 @@ def test_equal_short_lines_are_copies(spark, tmp_path):
     assert got == {1: (4, 1, 3, 1, 0), 2: (4, 1, 1, 2, 1), 3: (0, 0, 0, 0, 0), 4: (1, 0, 0, 1, 0)}
     left = {r.doc_id: r.text for r in line_dedup.without_repeated_lines(df, short_copies=True).collect()}
     assert left == {1: f"Menu\n{long}\n", 2: "Menus", 3: None, 4: ""}
+
+
+def test_items_without_or_with_one_id_are_all_found(spark):
+    rng = random.Random(8)
+    a, b, c = (" ".join(prose(rng, 30)) for _ in range(3))
+    items = spark.createDataFrame([(None, a), (7, b), (7, c), (7, c)], "item_id long, text string")
+    texts = [(1, "x y " + a), (2, b + " z"), (3, c), (4, b + " and " + c), (5, " ".join(prose(rng, 90))), (None, a), (6, None), (7, "")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    want = [(1, None), (2, 7), (3, 7), (4, 7), (4, 7), (None, None)]
+    key = lambda r: (str(r[0]), str(r[1]))
+    for most in (decontaminate.MOST_BROADCAST, -1):  # anchors too many to send: the words stay behind
+        old, decontaminate.MOST_BROADCAST = decontaminate.MOST_BROADCAST, most
+        try:
+            found = decontaminate.hits(docs, items).collect()
+        finally:
+            decontaminate.MOST_BROADCAST = old
+        assert sorted([(r.doc_id, r.item_id) for r in found], key=key) == sorted(want, key=key)
+    left = decontaminate.decontaminated(docs, items)
+    assert sorted((str(r.doc_id) for r in left.collect())) == ["5", "6", "7"]
+
+
+def test_pipeline_stages_with_odd_rows_and_clashing_columns(spark, tmp_path):
+    """Null and repeated ids, null and empty texts, and extra columns named like the stages' own."""
+    import corpus_pipeline as cp
+
+    rng = random.Random(21)
+    rows = [(i, " ".join(prose(rng, 40)) + (" grobble snark" if i % 9 == 0 else ""), "en", "src0") for i in range(180)]
+    rows += [(5, " ".join(prose(rng, 40)), "en", "src1"), (5, rows[5][1], "en", "src1"), (None, rows[7][1], "en", None), (None, None, None, None), (200, None, "en", "s"), (201, "", "en", "s"), (202, rows[8][1], "de", "s")]
+    extra = {"n_chars": "long", "score": "double", "mix_tokens": "long", "mix_taken": "string", "hit": "string", "_hit": "string", "kept_id": "long", "kept_key": "string", "row_key": "string", "text_key": "string", "node": "string"}
+    schema = "doc_id long, text string, lang string, source string, " + ", ".join(f"{k} {v}" for k, v in extra.items())
+    df = spark.createDataFrame([(*r, k, 0.5, 1, "t", "h", "g", 2, "k", "r", "x", "n") for k, r in enumerate(rows)], schema)
+    df.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i % 9 == 0)) for i in range(180)] + [(None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, rows[10][1]), (None, rows[11][1])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    step = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    left = {}
+    for name, stage in cp.STAGES[:4]:
+        step = cp.keep(stage(spark, step, str(tmp_path)), f"odd-{name}")
+        assert step.columns == df.columns
+        left[name] = [(r.doc_id, r.text, r.score, r.hit) for r in step.collect()]
+    of = lambda name: {x[:2] for x in left[name]}
+    every = {r[:2] for r in rows}
+    assert of("toxicity") == {x for x in every if "grobble" not in (x[1] or "")}
+    # one row of those equal in doc_id and text stays, another text of the same doc_id too, and what has no doc_id
+    assert of("near_dedup") == of("toxicity") - {(202, rows[8][1])}
+    assert sum(x[0] == 5 for x in left["near_dedup"]) == 2 and all(x[2:] == (0.5, "h") for x in left["near_dedup"])
+    assert of("decontamination") == of("near_dedup") - {(10, rows[10][1]), (11, rows[11][1])}
+    assert of("mixing") <= of("decontamination")
+    tokens = cp.STAGES[4][1](spark, step, str(tmp_path))
+    assert tokens.count() == step.count()
+
+
+def test_shares_of_the_mix(spark):
+    from ledgerlink.llm import raking
+
+    rng = random.Random(5)
+    rows = [(i, " ".join(prose(rng, rng.randint(5, 60))), rng.choice(["en", "de"]), rng.choice(["a", "b", "c"])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    targets = {"source": {"a": 0.5, "*": 0.5}, "lang": {"en": 0.7, "de": 0.3}}
+    reached = raking.shares_reached(raking.mixed_sample(df, targets), targets).collect()
+    assert {(r.dimension, r.value) for r in reached} == {("source", "a"), ("source", "*"), ("lang", "en"), ("lang", "de")}
+    assert all(abs(r.expected - r.target) < 1e-6 and abs(r.drawn - r.target) < 0.05 for r in reached)
+    bounded = raking.shares_reached(raking.mixed_sample(df, {"source": {"a": 0.99, "*": 0.01}}, most_weight=1.5), {"source": {"a": 0.99, "*": 0.01}})
+    assert {r.value: r.expected < 0.985 for r in bounded.collect()}["a"]  # a bound that keeps the target from being met shows
+
+
+def test_raking_against_plain_loops():
+    import numpy as np
+
+    from ledgerlink.llm import raking
+
+    rng = np.random.default_rng(4)
+    cells = np.array([(i, j) for i in range(3) for j in range(2)])
+    totals, targets = rng.integers(1, 100, 6).astype(float), [np.array([0.2, 0.3, 0.5]), np.array([0.6, 0.4])]
+    w = {tuple(c): 1.0 for c in cells.tolist()}
+    share = {tuple(c): t / totals.sum() for c, t in zip(cells.tolist(), totals, strict=True)}
+    for _ in range(500):
+        for d, goal in enumerate(targets):
+            for v in range(len(goal)):
+                now = sum(share[c] * w[c] for c in w if c[d] == v)
+                for c in w:
+                    if c[d] == v:
+                        w[c] *= goal[v] / now
+    assert np.allclose(raking.rake(cells, totals, targets), [w[tuple(c)] for c in cells.tolist()], rtol=1e-6)
