@@ -30,6 +30,7 @@ EDITS = 2
 MIN_CHARS = 20
 MOST_BROADCAST = 1_000_000
 PART_LINES = 512
+BUCKETS = 32
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 1 << 64)
 
@@ -180,8 +181,18 @@ def verified_links(edits: int):
     return run
 
 
+def character_counts(lines: list[str], size: np.ndarray) -> np.ndarray:
+    """How often characters of each of BUCKETS kinds stand in each line."""
+    chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    row = np.repeat(np.arange(len(lines)), size)
+    return np.bincount(row * BUCKETS + chars % BUCKETS, minlength=len(lines) * BUCKETS).reshape(-1, BUCKETS).astype(np.int32)
+
+
 def _pairs(key: np.ndarray, code: np.ndarray, own: np.ndarray, lines: list, home: list, edits: int) -> Iterator[tuple[int, int]]:
+    """Pairs that are to be verified: an edit moves two counts of characters by one at most, so lines whose counts are
+    further apart than 2 * edits are left out before their segments are compared."""
     size = np.fromiter(map(len, lines), np.int64, len(lines))
+    counts = character_counts(lines, size)
     probing = np.flatnonzero(code % 2 == 1)
     for x in np.flatnonzero(code % 2 == 0):
         gap = size[probing] - size[x]
@@ -189,7 +200,10 @@ def _pairs(key: np.ndarray, code: np.ndarray, own: np.ndarray, lines: list, home
         meets &= (gap > 0) | (key[probing] > key[x])  # those as long are met the other way round
         if own[x] not in home:
             meets &= own[probing] != own[x]
-        for y in probing[meets]:
+        some = probing[meets]
+        if len(some):
+            some = some[np.abs(counts[some] - counts[x]).sum(axis=1) <= 2 * edits]
+        for y in some:
             if first_segment(lines[x], lines[y], edits) * 2 == code[x]:
                 yield x, y
 
