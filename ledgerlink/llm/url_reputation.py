@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlink.llm.common import read
+from ledgerlink.llm.common import keep, read
 
 GOOD, Z = 0.8, 1.645
 #: host, path, verdict
@@ -52,16 +52,27 @@ def _strength(level: DataFrame) -> float:
     return 1 / rho - 1
 
 
-def reputations(pages: DataFrame, labels: DataFrame) -> DataFrame:
+def suffix_of(host: Column, known: Sequence[str]) -> Column:
+    """The longest of the known suffixes (such as ``co.uk``) that the host ends with, else its last label."""
+    out = F.substring_index(host, ".", -1)
+    for s in sorted(known, key=len):  # later ones are asked first
+        out = F.when((host == s) | host.endswith("." + s), F.lit(s)).otherwise(out)
+    return out
+
+
+def reputations(pages: DataFrame, labels: DataFrame, suffixes_known: Sequence[str] = ()) -> DataFrame:
     """(host, low, mean, high) for every host of ``pages``.  One without a labelled page has its domain's mean, at the
     weight of the prior; a domain or suffix without any has that of the level above.
 
     ``pages`` has page_id and host, ``labels`` page_id and good (0 or 1); rows of one page_id count once, as bad if
-    any says so.  Hosts, domains and suffixes stay tables; the driver gets sums over each level."""
+    any says so.  A registered domain is one label before the suffix; suffixes of several labels are the caller's.
+    Hosts, domains and suffixes stay tables; the driver gets sums over each level.  Empty tables give no rows."""
     labels = labels.where("good in (0, 1) and page_id is not null").groupBy("page_id").agg(F.min("good").alias("good"))
     hosts = pages.join(labels, "page_id", "left").groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"))
-    hosts = hosts.withColumn("domain", F.substring_index("host", ".", -2)).withColumn("suffix", F.substring_index("host", ".", -1))
-    domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    suffix = suffix_of(F.col("host"), suffixes_known)
+    domain = F.when(F.col("suffix") == F.col("host"), F.col("host")).otherwise(F.concat_ws(".", F.regexp_extract(F.expr("substr(host, 1, length(host) - length(suffix) - 1)"), r"([^.]*)$", 1), "suffix"))
+    hosts = keep(hosts.withColumn("suffix", suffix).withColumn("domain", domain), "hosts")
+    domains = keep(hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("good").alias("good")), "domains")
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     total = suffixes.agg(F.sum("n"), F.sum("good")).first()
     mean = ((total[1] or 0) + 1) / ((total[0] or 0) + 2)
@@ -78,14 +89,14 @@ def reputations(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return hosts.select("host", (F.col("mean") - spread).alias("low"), "mean", (F.col("mean") + spread).alias("high"))
 
 
-def judged(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
+def judged(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, suffixes_known: Sequence[str] = ()) -> DataFrame:
     """``pages`` (page_id, url) as page_id, host, path, rule, verdict.
 
     A null url, or one without ``://``, has an empty host and path.  A host without labelled pages is judged by its
     domain's posterior, or its suffix's or all pages'.  Repeated rows are each judged; other columns are left out."""
     host, path = host_and_path(F.col("url"))
     pages = pages.select("page_id", host.alias("host"), path.alias("path"))
-    blocked = reputations(pages, labels).where(F.col("high") < GOOD).select("host", F.lit("block").alias("found"))
+    blocked = reputations(pages, labels, suffixes_known).where(F.col("high") < GOOD).select("host", F.lit("block").alias("found"))
     host, path = F.col("host"), F.col("path")
     verdict = F.coalesce(fitting_rule(host, path, rules, 2), F.col("found"), F.lit("allow"))
     return pages.join(blocked, "host", "left").select("page_id", "host", "path", fitting_rule(host, path, rules).alias("rule"), verdict.alias("verdict"))
@@ -99,7 +110,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _level(name: str, above: str, keys: str, join: str) -> str:
     moments = f"sum(n * (good / n - m) ** 2 / (m * (1 - m))) AS s, sum(n) AS w, sum(n * n) AS w2, count(*) AS k"
     return f"""{name}_m AS (SELECT x.*, {above} AS m FROM {name}_n x {join}),
-{name}_s AS (SELECT {moments} FROM {name}_m),
+{name}_s AS (SELECT {moments} FROM {name}_m WHERE n > 0),
 {name}_a AS (SELECT CASE WHEN k < 2 THEN 1.0 ELSE 1 / least(greatest(CASE WHEN w - w2 / w - (k - 1) > 0 THEN (s - (k - 1)) / (w - w2 / w - (k - 1)) ELSE 0 END, 0.001), 0.999) - 1 END AS a FROM {name}_s),
 {name} AS (SELECT x.*, a, (a * m + good) / (a + n) AS mean FROM {name}_m x, {name}_a),"""
 
@@ -108,7 +119,7 @@ OP2_SQL = rf"""
 WITH u AS (SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 p AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
 l AS (SELECT doc_id AS page_id, min(quality) AS good FROM labels WHERE quality IN (0, 1) AND doc_id IS NOT NULL GROUP BY doc_id),
-host_n AS (SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix, count(*)::DOUBLE AS n, sum(good)::DOUBLE AS good FROM p JOIN l USING (page_id) GROUP BY ALL),
+host_n AS (SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix, count(good)::DOUBLE AS n, coalesce(sum(good), 0)::DOUBLE AS good FROM p LEFT JOIN l USING (page_id) GROUP BY ALL),
 domain_n AS (SELECT suffix, domain, sum(n) AS n, sum(good) AS good FROM host_n GROUP BY ALL),
 suffix_n AS (SELECT suffix, sum(n) AS n, sum(good) AS good FROM domain_n GROUP BY ALL),
 total AS (SELECT (sum(good) + 1) / (sum(n) + 2) AS mean FROM suffix_n),

@@ -134,3 +134,57 @@ def test_raking_against_plain_loops():
                     if c[d] == v:
                         w[c] *= goal[v] / now
     assert np.allclose(raking.rake(cells, totals, targets), [w[tuple(c)] for c in cells.tolist()], rtol=1e-6)
+
+
+def test_ids_with_a_tokenizer_that_keeps_case_and_spaces():
+    """The shortcut over words is taken for files that allow it alone; ids equal the library's for any file."""
+    import numpy as np
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from ledgerlink.llm import simple8b
+
+    rng = random.Random(9)
+    marks = ["", ".", ",", "!!", "###", " |", "\n", "\u00c9", "\u00df", "\u2026", "'s", "\u4e2d", " <|endoftext|>"]
+    texts = [" ".join(w.title() * (i % 3 == 0) + w * (i % 3 > 0) + rng.choice(marks) for w in prose(rng, rng.randint(0, 60))) for i in range(200)] + [None, "", " \t\n", "a" * 5000, "\u00e9t\u00e9." * 900]
+    for name, by_word in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
+        path = public_tokenizers.path(name)
+        ours, library = simple8b.WordIds(path, 1, most=500), Tokenizer.from_file(path)
+        assert ours.by_word is by_word
+        ids, sizes = ours(pa.array(texts, pa.string()))
+        want = [[*library.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+        assert sizes.tolist() == [len(x) for x in want]
+        assert ids.tolist() == [i for x in want for i in x] and ids.dtype == np.int64
+
+
+def test_host_reputation_against_its_sql(spark, tmp_path):
+    """Hosts without labelled pages under bad, good and unknown domains and suffixes; the SQL judges them as well."""
+    import duckdb
+
+    rng = random.Random(6)
+    rows, labels = [(None, None), (1, "no scheme"), (2, "http://")], []
+    for i in range(900):
+        domain, good = rng.choice([("bad.org", 0.05), ("good.org", 0.95), ("mixed.io", 0.6), ("worse.net", 0.1), ("x.dev", 0.5)])
+        rows.append((10 + i, f"HTTPS://h{rng.randrange(25)}.{domain}/{rng.choice(['', 'es/', 'p?q=1', 'fr/x#y'])}"))
+        if rng.random() < 0.4:
+            labels.append((10 + i, int(rng.random() < good), 0))
+    rows += [(5000, "http://new.bad.org/"), (5001, "http://new.worse.net/de"), (5002, "http://a.b.unknown/"), (5003, "http://deep.h3.bad.org"), (10, "http://new.bad.org/")]
+    labels += [(12, None, 0), (None, 0, 0), (13, 1, 0), (13, 0, 0)]
+    spark.createDataFrame(rows, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = sorted(map(str, (tuple(r) for r in url_reputation.op2(spark, str(tmp_path)).collect())))
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    assert got == sorted(map(str, con.sql(url_reputation.OP2_SQL).fetchall()))
+    assert any("new.bad.org" in x and "block" in x for x in got) and any("good.org" in x and "allow" in x for x in got)
+
+
+def test_registered_domains_by_a_suffix_table(spark):
+    pages = [(i, f"http://s{i % 9}.bad.co.uk/") for i in range(120)] + [(500 + i, f"http://s{i % 9}.good.co.uk/") for i in range(120)] + [(900, "http://new.bad.co.uk/"), (901, "http://new.good.co.uk/"), (902, "http://co.uk/")]
+    labels = [(i, 0) for i in range(120)] + [(500 + i, 1) for i in range(120)]
+    p, l = spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, good int")
+    out = {r.page_id: r.verdict for r in url_reputation.judged(p, l, (), ("co.uk",)).collect()}
+    assert out[900] == "block" and out[901] == "allow" and out[902] in ("allow", "block")
+    assert url_reputation.judged(p.limit(0), l.limit(0)).count() == 0
