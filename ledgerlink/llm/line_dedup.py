@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 
 from ledgerlink.llm.common import bounded_batches, fresh, keep, mixed, pieces, read, signed
 from ledgerlink.llm.graph import components
-from ledgerlink.llm.near_dedup import groups
 
 EDITS = 2
 MIN_CHARS = 20
 MOST_BROADCAST = 1_000_000
 PART_LINES = 512
 BUCKETS = 32
+BULK_ROWS, BULK_PAIRS = 8_192, 100_000  # rows and pairs that are handled at once
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 1 << 64)
 
@@ -137,22 +137,50 @@ def first_segment(a: str, b: str, edits: int) -> int:
     return -1
 
 
-def verified_links(edits: int):
-    """(a, b, n) from the lines that meet under a signature: links that join what is apart in the group (n = 0), and
-    for each line (a = b) how many links it has.  Two lines are compared under their first common segment alone, and
-    among a group's parts in one pair of parts alone, so a link counts once."""
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = BULK_ROWS) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of about ``rows`` rows or one group with each row's group number; groups are runs of equal keys."""
+    held: list[pa.RecordBatch] = []
+
+    def numbered(t: pa.Table) -> np.ndarray:
+        change = np.zeros(t.num_rows, bool)
+        for k in keys:
+            c = t.column(k).to_numpy()
+            change[1:] |= c[1:] != c[:-1]
+        return np.cumsum(change)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        if sum(x.num_rows for x in held) >= rows:
+            t = pa.Table.from_batches(held)
+            group = numbered(t)
+            cut = int(np.searchsorted(group, group[-1]))  # the last group may go on
+            if cut:
+                yield t.slice(0, cut), group[:cut]
+                held = t.slice(cut).combine_chunks().to_batches()
+    if held:
+        t = pa.Table.from_batches(held)
+        yield t, numbered(t)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: dict[tuple[int, int], int] = {}
 
-        def flush() -> pa.RecordBatch:
-            a, b, n = [x for x, _ in out], [y for _, y in out], list(out.values())
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], names=["a", "b", "n"])
+def character_counts(lines: list[str], size: np.ndarray) -> np.ndarray:
+    """How often characters of each of BUCKETS kinds stand in each line."""
+    chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    row = np.repeat(np.arange(len(lines)), size)
+    return np.bincount(row * BUCKETS + chars % BUCKETS, minlength=len(lines) * BUCKETS).reshape(-1, BUCKETS).astype(np.int32)
+
+
+def verified_links(edits: int):
+    """(a, b, n) from the lines that meet under a signature: links that join what is apart (n = 0), and for each line
+    (a = b) how many links it has.  Two lines are compared under their first common segment alone, and among a group's
+    parts in one pair of parts alone, so a link counts once."""
 
-        for (_, i, j), t in groups(batches, ["sig", "i", "j"]):
-            key, code, own = (t.column(c).to_numpy() for c in ("key", "code", "own"))
-            lines = t.column("line").to_pylist()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, group in whole_groups(batches, ["sig", "i", "j"]):
+            t = t.combine_chunks()
+            key, lines = t.column("key").to_numpy(), t.column("line").to_pylist()
+            out: dict[tuple[int, int], int] = {}
             top: dict[int, int] = {}
 
             def root(x: int, top: dict[int, int] = top) -> int:
@@ -160,10 +188,7 @@ def verified_links(edits: int):
                     x = top[x]
                 return x
 
-            parts = t.column("parts")[0].as_py()
-            # two lines of one part meet wherever it does: they are compared with the next part alone
-            home = [p for p in {i, j} if {i, j} == {p, (p + 1) % parts}]
-            todo = _pairs(key, code, own, lines, home, edits)
+            todo = _pairs(t, group, lines, edits)
             while some := list(islice(todo, 2048)):
                 near = banded_distances([lines[x] for x, _ in some], [lines[y] for _, y in some], edits) <= edits
                 for (x, y), close in zip(some, near, strict=True):
@@ -174,38 +199,41 @@ def verified_links(edits: int):
                         if root(a) != root(b):
                             top[root(b)] = root(a)
                             out.setdefault((a, b), 0)
-            if len(out) > 20_000:
-                yield flush()
-        yield flush()
+            a, b, n = [x for x, _ in out], [y for _, y in out], list(out.values())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], names=["a", "b", "n"])
 
     return run
 
 
-def character_counts(lines: list[str], size: np.ndarray) -> np.ndarray:
-    """How often characters of each of BUCKETS kinds stand in each line."""
-    chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
-    row = np.repeat(np.arange(len(lines)), size)
-    return np.bincount(row * BUCKETS + chars % BUCKETS, minlength=len(lines) * BUCKETS).reshape(-1, BUCKETS).astype(np.int32)
-
-
-def _pairs(key: np.ndarray, code: np.ndarray, own: np.ndarray, lines: list, home: list, edits: int) -> Iterator[tuple[int, int]]:
-    """Pairs that are to be verified: an edit moves two counts of characters by one at most, so lines whose counts are
-    further apart than 2 * edits are left out before their segments are compared."""
+def _pairs(t: pa.Table, group: np.ndarray, lines: list[str], edits: int) -> Iterator[tuple[int, int]]:
+    """Pairs of a group's index and probe rows that are to be verified, many groups at once.  An edit moves two counts
+    of characters by one at most, so lines whose counts are further apart than 2 * edits are left out before their
+    segments are compared."""
+    key, code, own, parts, i, j = (t.column(c).to_numpy() for c in ("key", "code", "own", "parts", "i", "j"))
     size = np.fromiter(map(len, lines), np.int64, len(lines))
     counts = character_counts(lines, size)
-    probing = np.flatnonzero(code % 2 == 1)
-    for x in np.flatnonzero(code % 2 == 0):
-        gap = size[probing] - size[x]
-        meets = (key[probing] != key[x]) & (code[probing] == code[x] + 1) & (gap >= 0) & (gap <= edits)
-        meets &= (gap > 0) | (key[probing] > key[x])  # those as long are met the other way round
-        if own[x] not in home:
-            meets &= own[probing] != own[x]
-        some = probing[meets]
-        if len(some):
-            some = some[np.abs(counts[some] - counts[x]).sum(axis=1) <= 2 * edits]
-        for y in some:
-            if first_segment(lines[x], lines[y], edits) * 2 == code[x]:
-                yield x, y
+    # two lines of one part meet wherever it does: they are compared with the next part alone
+    home = (i == j) | (np.where(own == i, j, i) == (own + 1) % parts)
+    index, probing = np.flatnonzero(code % 2 == 0), np.flatnonzero(code % 2 == 1)
+    first = np.searchsorted(group[probing], group[index])
+    many = np.searchsorted(group[probing], group[index], side="right") - first
+    done = np.cumsum(many)
+    at = 0
+    while at < len(index):
+        until = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + BULK_PAIRS, side="right")))
+        own_many = many[at:until]
+        x = np.repeat(index[at:until], own_many)
+        y = probing[np.repeat(first[at:until] - (np.cumsum(own_many) - own_many), own_many) + np.arange(own_many.sum())]
+        at = until
+        gap = size[y] - size[x]
+        meets = (key[y] != key[x]) & (code[y] == code[x] + 1) & (gap >= 0) & (gap <= edits)
+        meets &= (gap > 0) | (key[y] > key[x])  # those as long are met the other way round
+        meets &= home[x] | (own[y] != own[x])
+        x, y = x[meets], y[meets]
+        alike = np.abs(counts[x] - counts[y]).sum(axis=1) <= 2 * edits
+        for one, other in zip(x[alike].tolist(), y[alike].tolist(), strict=True):
+            if first_segment(lines[one], lines[other], edits) * 2 == code[one]:
+                yield one, other
 
 
 def long_lines(docs: DataFrame, min_chars: int) -> DataFrame:

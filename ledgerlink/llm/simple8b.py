@@ -34,6 +34,7 @@ from ledgerlink.llm.common import bounded_batches, coded, keep, pieces, word_lis
 
 BLOCK_IDS = 1024
 CHUNK_IDS = 1 << 17
+PIECE_BYTES = 6 << 20  # of text whose distinct words are looked up together
 MAGIC = b"S8B1"
 # Ids per word and bits per id, by selector.
 COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 1], np.int64)
@@ -123,46 +124,70 @@ _ENDED = re.compile("(.*[a-z\u00df-\u00f6\u00f8-\u00ff])([.,])", re.DOTALL)
 class WordIds:
     """The ids of texts, through the tokenizers library.
 
-    For a vocabulary that lower-cases, drops white space and splits letters from other marks, as the named file does,
-    a text's ids are those of its words one after the other, and those of a word and of the full stop or comma behind
-    it.  Each distinct word goes through the library once and is remembered, up to ``most`` words at a time; words of
-    plain lower-case letters, which its normalizer and splitter leave as they are, go to its model alone."""
+    For a vocabulary that lower-cases, drops white space, splits letters from other marks and marks word ends, as the
+    named file does, a text's ids are those of its words one after the other, and those of a word and of the full stop
+    or comma behind it.  Each distinct word goes through the library once and is remembered, up to ``most`` words at a
+    time; words of plain lower-case letters, one piece each, go through it many at once and are told apart by their
+    ends.  ``by_word`` tells whether the file at hand does all that; where not, whole texts are encoded."""
 
-    def __init__(self, path: str, end_id: int, most: int = 800_000):
-        from tokenizers import Tokenizer, pre_tokenizers
+    def __init__(self, path: str, end_id: int, most: int = 1_000_000):
+        from tokenizers import Tokenizer
 
-        self.whole, self.model, self.end_id, self.most, self.known = Tokenizer.from_file(path), Tokenizer.from_file(path), end_id, most, {}
-        self.model.normalizer, self.model.pre_tokenizer = None, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.whole, self.end_id, self.most, self.known = Tokenizer.from_file(path), end_id, most, {}
+        vocabulary = self.whole.get_vocab()
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_end[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
+        self.by_word = self.splits_words()
+
+    def splits_words(self) -> bool:
+        apart = ["river", ",", "stones", ".", "\u00e9t\u00e9", "ab", "!?", "%%%", "ab", "|", "x"]
+        one = [self.encoded([w])[0].ids for w in apart]
+        together = self.encoded(["River, \t\nSTONES. \x0b\u00c9t\u00e9 ab!?\n%%%ab | x"])[0].ids
+        ends = all(self.is_end[ids].sum() == 1 and self.is_end[ids[-1]] for w, ids in zip(apart, one, strict=True) if _PLAIN.fullmatch(w))
+        return together == [i for ids in one for i in ids] and ends
+
+    def encoded(self, texts: list[str]) -> list:
+        return self.whole.encode_batch_fast(texts, add_special_tokens=False)
 
     def learn(self, words: set[str]) -> None:
-        plain = [w for w in words if _PLAIN.fullmatch(w)]
-        rest = [w for w in words if not _PLAIN.fullmatch(w)]
-        for tokenizer, part in ((self.model, plain), (self.whole, rest)):
-            for i in range(0, len(part), 2000):
-                some = part[i : i + 2000]
-                for w, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                    self.known[w] = array("I", e.ids)  # arrays, not lists: the garbage collector passes them over
-
-    def ids_of(self, words: list[str]) -> list[array]:
+        """Remember the ids of words, as bytes: the garbage collector passes them over."""
+        plain, rest, is_plain = [], [], _PLAIN.fullmatch
+        for w in words:
+            (plain if is_plain(w) else rest).append(w)
+        groups = [plain[i : i + 2048] for i in range(0, len(plain), 2048)]
+        for group, e in zip(groups, self.encoded([" ".join(g) for g in groups]), strict=True):
+            ids = np.array(e.ids, np.uint32)
+            cuts = [0, *(4 * (np.flatnonzero(self.is_end[ids]) + 1)).tolist()]
+            raw = ids.tobytes()
+            self.known.update(zip(group, [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
+        for i in range(0, len(rest), 2048):
+            some = rest[i : i + 2048]
+            self.known.update(zip(some, [array("I", e.ids).tobytes() for e in self.encoded(some)], strict=True))
+
+    def ids_of(self, words: list[str]) -> list[bytes]:
         new = [w for w in words if w not in self.known]
         if len(self.known) + 2 * len(new) > self.most:
             self.known, new = {}, words
         known = self.known
-        ended = {w: m for w in new if w[-1] in ".," and (m := _ENDED.fullmatch(w))}
-        wanted = {w for w in new if w not in ended}
-        for m in ended.values():
-            wanted.update(m.groups())
+        ended = [w for w in new if w[-1] in ".," and _ENDED.fullmatch(w)]
+        wanted = set(new).difference(ended)
+        wanted.update(w[:-1] for w in ended)
+        wanted.update(".," if ended else "")
         self.learn(wanted - known.keys())
-        for w, m in ended.items():
-            known[w] = known[m[1]] + known[m[2]]
+        for w in ended:
+            known[w] = known[w[:-1]] + known[w[-1]]
         return [known[w] for w in words]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, the end id behind each, and how many each text has."""
+        if not self.by_word:
+            lists = [[*e.ids, self.end_id] for e in self.encoded([x or "" for x in texts.to_pylist()])]
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            return np.fromiter((i for ids in lists for i in ids), np.int64, int(sizes.sum())), sizes
         words, counts = word_lists(texts)
         code, distinct = coded(pc.ascii_lower(words))
-        lists = [*self.ids_of(distinct), array("I", [self.end_id])]
-        size = np.fromiter(map(len, lists), np.int64, len(lists))
+        lists = [*self.ids_of(distinct), array("I", [self.end_id]).tobytes()]
+        size = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
         pool = np.frombuffer(b"".join(lists), np.uint32).astype(np.int64)
         first = np.cumsum(size) - size
         ends = np.cumsum(counts + 1)
@@ -203,7 +228,7 @@ def chunk_writer(path: str, end_id: int):
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
         schema = pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("first_id", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lens", pa.list_(pa.int64())), ("payload", pa.binary())])
-        for piece in pieces(batches):
+        for piece in pieces(batches, most=PIECE_BYTES):
             flat, sizes = to_ids(piece.column("text"))
             names, until = piece.column("doc_id").to_pylist(), np.cumsum(sizes)
             a = 0
