@@ -36,7 +36,7 @@ from ledgerlink.llm.common import bounded_batches, coded, crc_fold, hashes, piec
 TERM_BITS = 18
 PREFIXES = (4, 5, 6)
 FACTORS = 4
-MOST_LABELLED = 8_000
+MOST_LABELLED = 5_000
 LEAST_DOCS = 3
 TOXIC_WEIGHT = 3.0  # and L1: chosen by cross-validation over the folds that are learned from
 L1 = 20.0  # on the summed gradients of w
@@ -93,7 +93,7 @@ class Sample:
         return np.where(self.label > 0, TOXIC_WEIGHT, 1.0)
 
     def part(self, chosen: np.ndarray) -> Sample:
-        new = np.cumsum(chosen) - 1
+        new = (np.cumsum(chosen) - 1).astype(np.int32)
         own = chosen[self.row]
         return Sample(new[self.row[own]], self.at[own], self.label[chosen], self.terms)
 
@@ -209,8 +209,10 @@ def fit(row: np.ndarray, term: np.ndarray, label: np.ndarray, seed: int = 7) ->
     chosen = np.flatnonzero(found >= LEAST_DOCS)
     place = np.full(1 << TERM_BITS, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
-    own = place[term] >= 0
-    sample = Sample(row[own], place[term][own], np.asarray(label, float), len(chosen))
+    at = place[term]
+    own = at >= 0
+    sample = Sample(row[own], at[own], np.asarray(label, float), len(chosen))
+    del at, own
     alone = np.zeros((len(chosen), FACTORS))
 
     def paired(s: Sample, plain: Weights) -> np.ndarray:
@@ -255,8 +257,8 @@ def learn(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED
     sample = sample.groupBy("text").agg(F.max("toxic").alias("toxic")).select(F.xxhash64("text").alias("key"), "text", "toxic")
     got = sample.mapInArrow(term_rows, "key long, toxic int, terms array<int>").toArrow().combine_chunks().sort_by("key")
     lists = got.column("terms").combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int32()))
-    size = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-    return fit(np.repeat(np.arange(len(size)), size), lists.flatten().to_numpy(zero_copy_only=False), got.column("toxic").to_numpy().astype(float))
+    size, term = pc.list_value_length(lists).to_numpy(zero_copy_only=False), lists.flatten().to_numpy(zero_copy_only=False)
+    return fit(np.repeat(np.arange(len(size), dtype=np.int32), size), term, got.column("toxic").to_numpy().astype(float))
 
 
 def scored(docs: DataFrame, machine: Machine, column: str = "score") -> DataFrame:
