@@ -258,7 +258,10 @@ def learn(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED
     got = sample.mapInArrow(term_rows, "key long, toxic int, terms array<int>").toArrow().combine_chunks().sort_by("key")
     lists = got.column("terms").combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int32()))
     size, term = pc.list_value_length(lists).to_numpy(zero_copy_only=False), lists.flatten().to_numpy(zero_copy_only=False)
-    return fit(np.repeat(np.arange(len(size), dtype=np.int32), size), term, got.column("toxic").to_numpy().astype(float))
+    machine = fit(np.repeat(np.arange(len(size), dtype=np.int32), size), term, got.column("toxic").to_numpy().astype(float))
+    del got, lists, size, term
+    pa.default_memory_pool().release_unused()  # the driver goes on without the sample
+    return machine
 
 
 def scored(docs: DataFrame, machine: Machine, column: str = "score") -> DataFrame:
