@@ -20,8 +20,7 @@ def _col(c) -> Column:
 
 def blank_to_null(c) -> Column:
     """Trim, and read an empty value as missing."""
-    t = F.trim(_col(c).cast("string"))
-    return F.when(t == "", F.lit(None)).otherwise(t)
+    return F.nullif(F.trim(_col(c).cast("string")), F.lit(""))  # one evaluation of the text for test and value
 
 
 def parse_bpg(c, null_token: str = NULL_TOKEN) -> Column:
@@ -48,14 +47,12 @@ def format_bpg(bin_, pcn, grp, null_token: str = NULL_TOKEN) -> Column:
 def pad_bin(c, width: int = 6) -> Column:
     """Left-pad with zeros to ``width`` without cutting longer values (unlike lpad)."""
     v = _col(c).cast("string")
-    return F.when(F.length(v) < width, F.lpad(v, width, "0")).otherwise(v)
+    return F.lpad(v, F.greatest(F.length(v), F.lit(width)), "0")
 
 
 def format_bin(c, width: int = 6) -> Column:
     """Cut at the first '.', then pad to ``width``; null and blank stay null."""
-    v = blank_to_null(c)
-    head = F.split_part(v, F.lit("."), F.lit(1))
-    return F.when(v.isNull(), F.lit(None)).otherwise(pad_bin(head, width))
+    return pad_bin(F.substring_index(blank_to_null(c), ".", 1), width)
 
 
 def plan_id(bin_, pcn, grp, missing: str = "NA") -> Column:

@@ -4,28 +4,41 @@ A left row takes the *first* level (in priority order) at which any right row
 shares its key, and then *all* right rows with that key at that level.  Rows
 with no hit at any level are kept once, labelled ``Unmatched``.
 
-Plan (two phases, no per-level loop and no "join everything then filter"):
-
-1. Every left row is exploded into its applicable ``(rank, key)`` pairs (a
-   level applies only when all its key parts are present).  Those pairs are
-   joined to the right side's row *counts* per ``(rank, key)`` and reduced to
-   the first level per left row.  The counts are a map-side-combined aggregate,
-   so a hot key costs one row.  The summaries need no more than this.
-2. Left rows with a hit are joined once to their chosen key on the exploded
-   right side.  Coarse levels never fan out for rows already settled at a finer
-   level.  The join is inner, so AQE may split a hot key on either side; rows
-   without a hit (an anti-join on the row id) are added by a union.
+Levels that follow each other and share an anchor (a column pair that agrees
+wherever the level's key agrees, as GRP does for BPG, BIN+GRP and GRP) are a
+family.  Rows meet once per family, on the anchor, not once per level:
+
+1. Per family the left keys are joined to the right side on the anchor and each
+   pair gets the first level its parts agree at; reduced to the first level and
+   its number of right rows per left row.  Where anchors repeat, the right side
+   is counted by its key parts first (a map-side-combined aggregate).  The
+   summaries need no more than this.
+2. Left rows with a hit are joined once per family to the right rows of their
+   anchor that agree at the level found.  The join is inner, so AQE may split
+   it; rows without a hit are added by a union.
+
+So a right row meets ``MOST_PER_ANCHOR`` left rows at most.  Rows of anchors with
+more left rows, where many pairs could agree at no finer level, are exploded into their
+``(rank, key)`` pairs instead and joined on those: coarse levels never fan out
+for rows already settled at a finer level.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import blank_to_null
+from ..session import cut_lineage
+
+#: Left rows that an anchor may have to be joined on the anchor alone.
+MOST_PER_ANCHOR = 256
+#: Left rows per anchor, on average, from which right rows are counted by key before they are joined.
+COUNT_FROM = 4
 
 
 @dataclass(frozen=True)
@@ -33,6 +46,12 @@ class Level:
     name: str
     left: tuple[str, ...]
     right: tuple[str, ...]
+    #: (left, right) columns that agree wherever the key agrees; else the key's first part
+    anchor: tuple[str, str] | None = None
+
+    @property
+    def meets_on(self) -> tuple[str, str]:
+        return self.anchor or (self.left[0], self.right[0])
 
 
 def bpg_levels(left_cols=("bin", "pcn", "grp"), right_cols=("bin", "pcn", "grp")) -> list[Level]:
@@ -40,8 +59,8 @@ def bpg_levels(left_cols=("bin", "pcn", "grp"), right_cols=("bin", "pcn", "grp")
     lb, lp, lg = left_cols
     rb, rp, rg = right_cols
     return [
-        Level("BPG", (lb, lp, lg), (rb, rp, rg)),
-        Level("BIN_GRP", (lb, lg), (rb, rg)),
+        Level("BPG", (lb, lp, lg), (rb, rp, rg), (lg, rg)),
+        Level("BIN_GRP", (lb, lg), (rb, rg), (lg, rg)),
         Level("GRP", (lg,), (rg,)),
         Level("BIN_PCN", (lb, lp), (rb, rp)),
         Level("BIN", (lb,), (rb,)),
@@ -50,13 +69,51 @@ def bpg_levels(left_cols=("bin", "pcn", "grp"), right_cols=("bin", "pcn", "grp")
 
 def precomputed_levels(names=("BPG", "BIN_GRP", "GRP", "BIN_PCN", "BIN"),
                        left_cols=("bpg", "bin_grp", "grp", "bin_pcn", "bin"),
-                       right_cols=None) -> list[Level]:
-    """C4: one caller-given key column per level."""
+                       right_cols=None, anchors=None) -> list[Level]:
+    """C4: one caller-given key column per level.  ``anchors`` names, for each
+    level, a column that both sides have and that agrees wherever the level's
+    keys agree (the level's own column, if not given)."""
     right_cols = right_cols or left_cols
-    return [Level(n, (lc,), (rc,)) for n, lc, rc in zip(names, left_cols, right_cols)]
+    anchors = [(a, a) for a in anchors] if anchors else [None] * len(names)
+    return [Level(n, (lc,), (rc,), a) for n, lc, rc, a in zip(names, left_cols, right_cols, anchors)]
+
+
+RANK, KEY_PREFIX, PICK, ANCHOR = "_cj_rank", "_cj_k", "_cj_pick", "_cj_a"
+
+Ranked = list[tuple[int, Level]]
+
+
+@dataclass(frozen=True)
+class Family:
+    """Levels that follow each other and meet on the same anchor, with their ranks."""
+    ranked: Ranked
+    anchor: tuple[str, str]
+    hot: DataFrame | None  # anchors of more than MOST_PER_ANCHOR left rows, if there are any
+    counted: bool
+
+    def cold_rows(self, df: DataFrame, side: int) -> DataFrame:
+        """Rows to be joined on the anchor, with it as ANCHOR."""
+        rows = df.withColumn(ANCHOR, blank_to_null(self.anchor[side])).where(F.col(ANCHOR).isNotNull())
+        return rows.join(self.hot, ANCHOR, "left_anti") if self.hot is not None else rows
 
+    def hot_rows(self, df: DataFrame, side: int) -> DataFrame:
+        return df.withColumn(ANCHOR, blank_to_null(self.anchor[side])).join(self.hot, ANCHOR, "left_semi").drop(ANCHOR)
 
-RANK, KEY_PREFIX, PICK = "_cj_rank", "_cj_k", "_cj_pick"
+
+def _families(levels: list[Level], left: DataFrame) -> list[Family]:
+    out = []
+    for anchor, members in groupby(enumerate(levels, 1), key=lambda x: x[1].meets_on):
+        rows = left.select(blank_to_null(anchor[0]).alias(ANCHOR)).where(F.col(ANCHOR).isNotNull())
+        sizes = rows.groupBy(ANCHOR).agg(F.count(F.lit(1)).alias("n"))
+        seen = sizes.agg(F.max("n").alias("most"), F.avg("n").alias("mean")).first()
+        is_hot = (seen["most"] or 0) > MOST_PER_ANCHOR
+        hot = cut_lineage(sizes.where(F.col("n") > MOST_PER_ANCHOR).select(ANCHOR)) if is_hot else None
+        out.append(Family(list(members), anchor, hot, (seen["mean"] or 0) >= COUNT_FROM))
+    return out
+
+
+def _width(ranked: Ranked) -> int:
+    return max(len(lv.left) for _, lv in ranked)
 
 
 def _key_cols(width: int) -> list[str]:
@@ -72,14 +129,14 @@ def _components(levels: list[Level], side: str) -> list[str]:
     return seen
 
 
-def _level_entries(levels: list[Level], side: str, comp) -> list[Column]:
+def _level_entries(ranked: Ranked, side: str, comp) -> list[Column]:
     """One struct<rank, k0..kw> per level, null when the level does not apply.
 
     Plain CASE expressions over already-normalised component columns: no
     lambda, so the whole projection stays in generated code."""
-    width = max(len(lv.left) for lv in levels)
+    width = _width(ranked)
     entries = []
-    for rank, lv in enumerate(levels, start=1):
+    for rank, lv in ranked:
         parts = [comp(c) for c in (lv.left if side == "left" else lv.right)]
         present = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts])
         # unused slots hold "" so the rank is part of the join key and
@@ -90,12 +147,12 @@ def _level_entries(levels: list[Level], side: str, comp) -> list[Column]:
     return entries
 
 
-def _explode_levels(df: DataFrame, levels: list[Level], side: str, keep: list[str]) -> DataFrame:
+def _explode_levels(df: DataFrame, ranked: Ranked, side: str, keep: list[str]) -> DataFrame:
     """Rows of ``keep`` columns x applicable (rank, key) pairs."""
-    comps = _components(levels, side)
+    comps = _components([lv for _, lv in ranked], side)
     norm = {c: f"_cj_n{i}" for i, c in enumerate(comps)}
     tmp = df.select(*keep, *[blank_to_null(c).alias(norm[c]) for c in comps])
-    entries = _level_entries(levels, side, lambda c: F.col(norm[c]))
+    entries = _level_entries(ranked, side, lambda c: F.col(norm[c]))
     return (tmp.select(*keep, F.inline(F.array(*entries)))
             .where(F.col(RANK).isNotNull()))
 
@@ -109,39 +166,106 @@ def cascade_join(left: DataFrame, right: DataFrame, levels: list[Level] | None =
     right rows with the chosen key are returned.
     """
     levels = levels or bpg_levels()
-    width = max(len(lv.left) for lv in levels)
-    keys = [RANK] + _key_cols(width)
+    families = _families(levels, left)
     lcols, rcols = left.columns, right.columns
-    picks = first_hits(left, right, levels, left_id).select(left_id, PICK)
-
-    # the key is rebuilt from the left row for the picked rank
-    entries = _level_entries(levels, "left", blank_to_null)
-    chosen = F.when(F.col(PICK) == len(levels), entries[-1])
-    for rank in range(len(levels) - 1, 0, -1):
-        chosen = F.when(F.col(PICK) == rank, entries[rank - 1]).otherwise(chosen)
-    hit = left.join(picks, left_id).withColumn("_cj_key", chosen).select(*lcols, PICK, "_cj_key.*")
     out_rcols = [c + suffix if c in lcols else c for c in rcols]
-    right_x = _explode_levels(right, levels, "right", rcols)
-    right_side = right_x.select(*[F.col(c).alias(o) for c, o in zip(rcols, out_rcols)], *keys)
-    matched = hit.join(right_side, keys).select(
-        *lcols, *out_rcols, _level_name(levels, unmatched).alias(level_col))
-    alone = left.join(picks, left_id, "left_anti").select(*lcols, F.lit(unmatched).alias(level_col))
-    return matched.unionByName(alone, allowMissingColumns=True)
+    picks = _first_hits(left, right, families, left_id).select(F.col(left_id).alias("_cj_id"), PICK)
+    judged = left.join(picks, F.col(left_id) == F.col("_cj_id")).select(*lcols, PICK)
+    level = _level_name(levels, unmatched).alias(level_col)
+    # the rank is asked for here too: with the same columns, the shuffles of phase 1 are made once
+    out = left.join(picks, (F.col(left_id) == F.col("_cj_id")) & (F.col(PICK) > 0), "left_anti").select(
+        *lcols, F.lit(unmatched).alias(level_col))
+    for family in families:
+        hit = judged.where(F.col(PICK).isin([rank for rank, _ in family.ranked]))
+        out = _on_anchor(hit, right, family, lcols, out_rcols, level).unionByName(out, allowMissingColumns=True)
+        if family.hot is not None:
+            out = out.unionByName(_on_keys(hit, right, family, lcols, out_rcols, level))
+    return out
+
+
+def _on_anchor(hit: DataFrame, right: DataFrame, family: Family, lcols, out_rcols, level: Column) -> DataFrame:
+    """Phase 2 where anchors have few left rows."""
+    side = [f"_cj_r{i}" for i in range(len(out_rcols))]
+    renamed = dict(zip(right.columns, side))
+    right_side = family.cold_rows(right, 1).select(F.col(ANCHOR).alias("_cj_ra"), *[F.col(c).alias(o) for c, o in renamed.items()])
+    agrees = reduce(lambda a, b: a | b, [
+        (F.col(PICK) == rank) & _agree(lv, family, blank_to_null, lambda c: blank_to_null(renamed[c])) for rank, lv in family.ranked])
+    pairs = family.cold_rows(hit, 0).join(right_side, (F.col(ANCHOR) == F.col("_cj_ra")) & agrees)
+    return pairs.select(*lcols, *[F.col(c).alias(o) for c, o in zip(side, out_rcols)], level)
+
+
+def _on_keys(hit: DataFrame, right: DataFrame, family: Family, lcols, out_rcols, level: Column) -> DataFrame:
+    """Phase 2 for the other anchors: the key is rebuilt from the left row for the picked rank."""
+    keys = [RANK] + _key_cols(_width(family.ranked))
+    entries = _level_entries(family.ranked, "left", blank_to_null)
+    chosen = F.coalesce(*[F.when(F.col(PICK) == rank, e) for (rank, _), e in zip(family.ranked, entries)])
+    keyed = family.hot_rows(hit, 0).withColumn("_cj_key", chosen).select(*lcols, PICK, "_cj_key.*")
+    right_x = _explode_levels(family.hot_rows(right, 1), family.ranked, "right", right.columns)
+    right_side = right_x.select(*[F.col(c).alias(o) for c, o in zip(right.columns, out_rcols)], *keys)
+    return keyed.join(right_side, keys).select(*lcols, *out_rcols, level)
+
+
+def _agree(lv: Level, family: Family, left_part, right_part) -> Column:
+    """The parts of the level's key agree, given that the anchor does."""
+    return reduce(lambda a, b: a & b, [left_part(a) == right_part(b) for a, b in zip(lv.left, lv.right)
+                                       if (a, b) != family.anchor], F.lit(True))
 
 
 def first_hits(left: DataFrame, right: DataFrame, levels: list[Level], left_id: str) -> DataFrame:
     """Phase 1: per left row with a hit, ``left_id``, the rank of its first
     level and ``match_count``, the number of right rows with its key there."""
-    keys = [RANK] + _key_cols(max(len(lv.left) for lv in levels))
-    lkeys = _explode_levels(left, levels, "left", [left_id])
-    rkeys = _explode_levels(right, levels, "right", []).groupBy(*keys).agg(F.count(F.lit(1)).alias("_cj_n"))
-    # rank (top byte) and count in one long: the minimum stays a hash aggregate
-    packed = F.shiftleft(F.col(RANK).cast("long"), 56).bitwiseOR(F.col("_cj_n"))
-    hits = lkeys.join(rkeys, keys).groupBy(left_id).agg(F.min(packed).alias("_cj_p"))
+    return _first_hits(left, right, _families(levels, left), left_id)
+
+
+def _first_hits(left: DataFrame, right: DataFrame, families: list[Family], left_id: str) -> DataFrame:
+    found = []
+    for family in families:
+        found.append(_count_on_anchor(left, right, family, left_id))
+        if family.hot is not None:
+            found.append(_count_on_keys(left, right, family, left_id))
+    hits = reduce(DataFrame.unionByName, found).groupBy(left_id).agg(F.min("_cj_p").alias("_cj_p"))
     return hits.select(left_id, F.shiftright("_cj_p", 56).cast("int").alias(PICK),
                        F.col("_cj_p").bitwiseAND(F.lit((1 << 56) - 1)).alias("match_count"))
 
 
+def _packed(rank, count) -> Column:
+    # rank (top byte) and count in one long: the minimum stays a hash aggregate
+    return F.shiftleft(rank.cast("long"), 56).bitwiseOR(count).alias("_cj_p")
+
+
+def _count_on_anchor(left: DataFrame, right: DataFrame, family: Family, left_id: str) -> DataFrame:
+    """Phase 1 where anchors have few left rows: ``left_id`` and packed rank and count."""
+    members = [lv for _, lv in family.ranked]
+    lnorm, rnorm = ({c: f"_cj_{s}{i}" for i, c in enumerate(c for c in _components(members, side) if c != family.anchor[k])}
+                    for k, (s, side) in enumerate((("l", "left"), ("r", "right"))))
+    # an id that stands on several left rows takes the least of their counts: rows are told apart by their key
+    lkeys = family.cold_rows(left, 0).select(left_id, ANCHOR, *[blank_to_null(c).alias(n) for c, n in lnorm.items()])
+    lkeys = lkeys.groupBy(*lkeys.columns).agg(F.lit(1).alias("_cj_one")).drop("_cj_one")
+    rkeys = family.cold_rows(right, 1).select(F.col(ANCHOR).alias("_cj_ra"), *[blank_to_null(c).alias(n) for c, n in rnorm.items()])
+    rkeys = rkeys.groupBy(*rkeys.columns).agg(F.count(F.lit(1)).alias("_cj_n")) if family.counted else rkeys.withColumn("_cj_n", F.lit(1))
+    pairs = lkeys.join(rkeys, F.col(ANCHOR) == F.col("_cj_ra"))
+    rank = F.coalesce(*[F.when(_agree(lv, family, lambda c: _part(c, family.anchor[0], ANCHOR, lnorm), lambda c: _part(c, family.anchor[1], "_cj_ra", rnorm)), rank)
+                        for rank, lv in family.ranked])
+    pairs = pairs.withColumn(RANK, rank).where(F.col(RANK).isNotNull())
+    n = {rank: f"_cj_n{rank}" for rank, _ in family.ranked}
+    per = pairs.groupBy(left_id, ANCHOR, *lnorm.values()).agg(
+        *[F.sum(F.when(F.col(RANK) == rank, F.col("_cj_n")).otherwise(0)).alias(c) for rank, c in n.items()])
+    return per.select(left_id, F.coalesce(*[F.when(F.col(c) > 0, _packed(F.lit(rank), F.col(c))) for rank, c in n.items()]).alias("_cj_p"))
+
+
+def _part(c: str, anchor: str, anchor_col: str, norm: dict) -> Column:
+    return F.col(anchor_col if c == anchor else norm[c])
+
+
+def _count_on_keys(left: DataFrame, right: DataFrame, family: Family, left_id: str) -> DataFrame:
+    """Phase 1 for the other anchors: left (rank, key) pairs meet the right side's
+    row counts per pair, so a hot key costs one row."""
+    keys = [RANK] + _key_cols(_width(family.ranked))
+    lkeys = _explode_levels(family.hot_rows(left, 0), family.ranked, "left", [left_id])
+    rkeys = _explode_levels(family.hot_rows(right, 1), family.ranked, "right", []).groupBy(*keys).agg(F.count(F.lit(1)).alias("_cj_n"))
+    return lkeys.join(rkeys, keys).select(left_id, _packed(F.col(RANK), F.col("_cj_n")))
+
+
 def _level_name(levels: list[Level], unmatched: str) -> Column:
     # explicit null test: the optimizer takes element_at over a literal array
     # as non-null and would drop a coalesce

@@ -85,8 +85,9 @@ def cascade_precomputed(spark: SparkSession, sf_dir: str) -> DataFrame:
     collide: BINs are digits and GRPs start with 'G'); equals cascade_match."""
     left, right = cascade_inputs(spark, sf_dir)
     cols = ("k_bpg", "k_bin_grp", "k_grp", "k_bin_pcn", "k_bin")
+    anchors = ("k_grp", "k_grp", "k_grp", "k_bin", "k_bin")  # a key names its group id, else its BIN
     out = cascade_join(_with_precomputed(left), _with_precomputed(right),
-                       precomputed_levels(left_cols=cols), left_id="row_id")
+                       precomputed_levels(left_cols=cols, anchors=anchors), left_id="row_id")
     return out.select("row_id", "bin", "pcn", "grp", "bpg", "right_id", "src",
                       "bin_matched", "pcn_matched", "grp_matched", "matched_level")
 
