@@ -26,6 +26,7 @@ from ..operators.dictionary import first_by_priority, substring_matches
 from ..operators.ladder import climb
 from ..operators.links import pick_document_link
 from ..operators.templates import issue
+from ..session import cut_lineage
 from .base import param_table
 from .dictionary_plans import INDICATORS
 from .lookup_plans import _RESULTS, _TRUSTED, TRUSTED_DOMAINS, _date_sql, _title_sql, plan_name, search_results
@@ -82,8 +83,11 @@ def searches(spark: SparkSession, sf_dir: str) -> DataFrame:
         texts += [F.when(early, F.concat(F.lit(f'"{name}" PCN '), "pcn", F.lit(" benefit design"))),
                   F.when(~early, F.concat(F.lit("Group "), "grp", F.lit(f' employer plan "{name}"'))),
                   F.when(~early, F.concat(F.lit(f'"{name} - Tier 2" Group '), "grp", F.lit(" coverage")))]
-    made = r.withColumn("query", F.explode_outer(F.array_compact(F.array(*texts)))).where(F.col("query").isNotNull())
-    return made.select("query", "pos", "title", "link", "snippet", "pdf_link", "doc_date", "plan_name", "trusted")
+    # each page is read and parsed once, for all searches that list it
+    shown = ["pos", "title", "link", "snippet", "pdf_link", "doc_date", "plan_name", "trusted"]
+    r = cut_lineage(r.select(F.array_compact(F.array(*texts)).alias("queries"), *shown))
+    made = r.withColumn("query", F.explode_outer("queries")).where(F.col("query").isNotNull())
+    return made.select("query", *shown)
 
 
 def _networks() -> list[str]:
