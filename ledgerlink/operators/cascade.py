@@ -13,9 +13,10 @@ family.  Rows meet once per family, on the anchor, not once per level:
    its number of right rows per left row.  Where anchors repeat, the right side
    is counted by its key parts first (a map-side-combined aggregate).  The
    summaries need no more than this.
-2. Left rows with a hit are joined once per family to the right rows of their
-   anchor that agree at the level found.  The join is inner, so AQE may split
-   it; rows without a hit are added by a union.
+2. Left rows with a hit are joined to the right rows of their family and anchor
+   that agree at the level found, in one join for all families: the left rows
+   are hashed, the right rows stream past unsorted.  The join is inner, so AQE
+   may split it; rows without a hit are added by a union.
 
 So a right row meets ``MOST_PER_ANCHOR`` left rows at most.  Rows of anchors with
 more left rows, where many pairs could agree at no finer level, are exploded into their
@@ -78,7 +79,7 @@ def precomputed_levels(names=("BPG", "BIN_GRP", "GRP", "BIN_PCN", "BIN"),
     return [Level(n, (lc,), (rc,), a) for n, lc, rc, a in zip(names, left_cols, right_cols, anchors)]
 
 
-RANK, KEY_PREFIX, PICK, ANCHOR = "_cj_rank", "_cj_k", "_cj_pick", "_cj_a"
+RANK, KEY_PREFIX, PICK, ANCHOR, ANCHOR_HASH = "_cj_rank", "_cj_k", "_cj_pick", "_cj_a", "_cj_h"
 
 Ranked = list[tuple[int, Level]]
 
@@ -88,27 +89,42 @@ class Family:
     """Levels that follow each other and meet on the same anchor, with their ranks."""
     ranked: Ranked
     anchor: tuple[str, str]
-    hot: DataFrame | None  # anchors of more than MOST_PER_ANCHOR left rows, if there are any
+    hot: DataFrame | None  # hashes of anchors of more than MOST_PER_ANCHOR left rows, if there are any
     counted: bool
 
     def cold_rows(self, df: DataFrame, side: int) -> DataFrame:
         """Rows to be joined on the anchor, with it as ANCHOR."""
-        rows = df.withColumn(ANCHOR, blank_to_null(self.anchor[side])).where(F.col(ANCHOR).isNotNull())
-        return rows.join(self.hot, ANCHOR, "left_anti") if self.hot is not None else rows
+        rows = df.withColumn(ANCHOR, _text(self.anchor[side])).where(F.col(ANCHOR) != "")
+        return self._against_hot(rows, "left_anti").drop(ANCHOR_HASH) if self.hot is not None else rows
 
     def hot_rows(self, df: DataFrame, side: int) -> DataFrame:
-        return df.withColumn(ANCHOR, blank_to_null(self.anchor[side])).join(self.hot, ANCHOR, "left_semi").drop(ANCHOR)
+        return self._against_hot(df.withColumn(ANCHOR, _text(self.anchor[side])), "left_semi").drop(ANCHOR, ANCHOR_HASH)
+
+    def _against_hot(self, rows: DataFrame, how: str) -> DataFrame:
+        return rows.withColumn(ANCHOR_HASH, F.xxhash64(ANCHOR)).join(self.hot, ANCHOR_HASH, how)
+
+
+def _text(c) -> Column:
+    """Trimmed text, "" where it is missing.  Never null, so a filter on it or a join
+    by it evaluates the caller's expression once and asks for no null test besides."""
+    return F.coalesce(F.trim((F.col(c) if isinstance(c, str) else c).cast("string")), F.lit(""))
 
 
 def _families(levels: list[Level], left: DataFrame) -> list[Family]:
+    """Families of the levels; one pass over the left rows tells how often anchors repeat.
+    Anchors are told apart by their hash here: of two that share one, both count as hot, on both sides."""
+    grouped = [(anchor, list(members)) for anchor, members in groupby(enumerate(levels, 1), key=lambda x: x[1].meets_on)]
+    texts = [_text(anchor[0]) for anchor, _ in grouped]
+    entries = [F.when(t != "", F.struct(F.lit(i).alias("family"), F.xxhash64(t).alias(ANCHOR_HASH))) for i, t in enumerate(texts)]
+    sizes = (left.select(F.inline(F.array(*entries))).where(F.col("family").isNotNull())
+             .groupBy("family", ANCHOR_HASH).agg(F.count(F.lit(1)).alias("n")))
+    seen = {r["family"]: r for r in sizes.groupBy("family").agg(F.max("n").alias("most"), F.avg("n").alias("mean")).collect()}
     out = []
-    for anchor, members in groupby(enumerate(levels, 1), key=lambda x: x[1].meets_on):
-        rows = left.select(blank_to_null(anchor[0]).alias(ANCHOR)).where(F.col(ANCHOR).isNotNull())
-        sizes = rows.groupBy(ANCHOR).agg(F.count(F.lit(1)).alias("n"))
-        seen = sizes.agg(F.max("n").alias("most"), F.avg("n").alias("mean")).first()
-        is_hot = (seen["most"] or 0) > MOST_PER_ANCHOR
-        hot = cut_lineage(sizes.where(F.col("n") > MOST_PER_ANCHOR).select(ANCHOR)) if is_hot else None
-        out.append(Family(list(members), anchor, hot, (seen["mean"] or 0) >= COUNT_FROM))
+    for i, (anchor, members) in enumerate(grouped):
+        most, mean = (seen[i]["most"], seen[i]["mean"]) if i in seen else (0, 0)
+        is_hot = (F.col("family") == i) & (F.col("n") > MOST_PER_ANCHOR)
+        hot = cut_lineage(sizes.where(is_hot).select(ANCHOR_HASH)) if most > MOST_PER_ANCHOR else None
+        out.append(Family(members, anchor, hot, mean >= COUNT_FROM))
     return out
 
 
@@ -175,22 +191,31 @@ def cascade_join(left: DataFrame, right: DataFrame, levels: list[Level] | None =
     # the rank is asked for here too: with the same columns, the shuffles of phase 1 are made once
     out = left.join(picks, (F.col(left_id) == F.col("_cj_id")) & (F.col(PICK) > 0), "left_anti").select(
         *lcols, F.lit(unmatched).alias(level_col))
+    out = _on_anchor(judged, right, families, lcols, out_rcols, level).unionByName(out, allowMissingColumns=True)
     for family in families:
-        hit = judged.where(F.col(PICK).isin([rank for rank, _ in family.ranked]))
-        out = _on_anchor(hit, right, family, lcols, out_rcols, level).unionByName(out, allowMissingColumns=True)
         if family.hot is not None:
+            hit = judged.where(F.col(PICK).isin([rank for rank, _ in family.ranked]))
             out = out.unionByName(_on_keys(hit, right, family, lcols, out_rcols, level))
     return out
 
 
-def _on_anchor(hit: DataFrame, right: DataFrame, family: Family, lcols, out_rcols, level: Column) -> DataFrame:
-    """Phase 2 where anchors have few left rows."""
+def _on_anchor(judged: DataFrame, right: DataFrame, families: list[Family], lcols, out_rcols, level: Column) -> DataFrame:
+    """Phase 2 where anchors have few left rows: one join of all families, by family and anchor."""
     side = [f"_cj_r{i}" for i in range(len(out_rcols))]
     renamed = dict(zip(right.columns, side))
-    right_side = family.cold_rows(right, 1).select(F.col(ANCHOR).alias("_cj_ra"), *[F.col(c).alias(o) for c, o in renamed.items()])
+    met = F.coalesce(*[F.when(F.col(PICK).isin([rank for rank, _ in f.ranked]), i) for i, f in enumerate(families)], F.lit(-1))
+    anchor = F.coalesce(*[F.when(F.col("_cj_f") == i, _text(f.anchor[0])) for i, f in enumerate(families)], F.lit(""))
+    hit = judged.where(F.col(PICK) > 0).withColumn("_cj_f", met).withColumn(ANCHOR, anchor)
+    for i, f in enumerate(families):
+        if f.hot is not None:
+            hit = hit.withColumn(ANCHOR_HASH, F.xxhash64(ANCHOR)).join(f.hot.withColumn("_cj_f", F.lit(i)), [ANCHOR_HASH, "_cj_f"], "left_anti")
+    right_side = reduce(DataFrame.unionAll, [
+        f.cold_rows(right, 1).select(F.lit(i).alias("_cj_rf"), F.col(ANCHOR).alias("_cj_ra"), *[F.col(c).alias(o) for c, o in renamed.items()])
+        for i, f in enumerate(families)])
     agrees = reduce(lambda a, b: a | b, [
-        (F.col(PICK) == rank) & _agree(lv, family, blank_to_null, lambda c: blank_to_null(renamed[c])) for rank, lv in family.ranked])
-    pairs = family.cold_rows(hit, 0).join(right_side, (F.col(ANCHOR) == F.col("_cj_ra")) & agrees)
+        (F.col(PICK) == rank) & _agree(lv, f, _text, lambda c: _text(renamed[c])) for f in families for rank, lv in f.ranked])
+    # the left rows of an anchor are few: they are hashed and the right rows stream past unsorted
+    pairs = hit.hint("shuffle_hash").join(right_side, (F.col("_cj_f") == F.col("_cj_rf")) & (F.col(ANCHOR) == F.col("_cj_ra")) & agrees)
     return pairs.select(*lcols, *[F.col(c).alias(o) for c, o in zip(side, out_rcols)], level)
 
 
@@ -207,7 +232,7 @@ def _on_keys(hit: DataFrame, right: DataFrame, family: Family, lcols, out_rcols,
 
 def _agree(lv: Level, family: Family, left_part, right_part) -> Column:
     """The parts of the level's key agree, given that the anchor does."""
-    return reduce(lambda a, b: a & b, [left_part(a) == right_part(b) for a, b in zip(lv.left, lv.right)
+    return reduce(lambda a, b: a & b, [(left_part(a) == right_part(b)) & (left_part(a) != "") for a, b in zip(lv.left, lv.right)
                                        if (a, b) != family.anchor], F.lit(True))
 
 
@@ -239,9 +264,11 @@ def _count_on_anchor(left: DataFrame, right: DataFrame, family: Family, left_id:
     lnorm, rnorm = ({c: f"_cj_{s}{i}" for i, c in enumerate(c for c in _components(members, side) if c != family.anchor[k])}
                     for k, (s, side) in enumerate((("l", "left"), ("r", "right"))))
     # an id that stands on several left rows takes the least of their counts: rows are told apart by their key
-    lkeys = family.cold_rows(left, 0).select(left_id, ANCHOR, *[blank_to_null(c).alias(n) for c, n in lnorm.items()])
+    lkeys = family.cold_rows(left, 0).select(left_id, ANCHOR, *[_text(c).alias(n) for c, n in lnorm.items()])
+    # dealt out by the anchor at once: neither the distinct rows nor the join need another shuffle
+    lkeys = lkeys.repartition(ANCHOR)
     lkeys = lkeys.groupBy(*lkeys.columns).agg(F.lit(1).alias("_cj_one")).drop("_cj_one")
-    rkeys = family.cold_rows(right, 1).select(F.col(ANCHOR).alias("_cj_ra"), *[blank_to_null(c).alias(n) for c, n in rnorm.items()])
+    rkeys = family.cold_rows(right, 1).select(F.col(ANCHOR).alias("_cj_ra"), *[_text(c).alias(n) for c, n in rnorm.items()])
     rkeys = rkeys.groupBy(*rkeys.columns).agg(F.count(F.lit(1)).alias("_cj_n")) if family.counted else rkeys.withColumn("_cj_n", F.lit(1))
     pairs = lkeys.join(rkeys, F.col(ANCHOR) == F.col("_cj_ra"))
     rank = F.coalesce(*[F.when(_agree(lv, family, lambda c: _part(c, family.anchor[0], ANCHOR, lnorm), lambda c: _part(c, family.anchor[1], "_cj_ra", rnorm)), rank)
