@@ -11,22 +11,23 @@ pivot, its pages their vectors and each one's distance to the node's pivot.  Eve
 Search: a query first descends the nearest region's first tree, best node first, for a bound on its k-th distance.
 Then every tree whose region and root can hold something as near is searched with that bound.  A node is left out by
 its parent distance before its own is computed, a vector by its distance to its pivot before the inner product is.
+Queries of a block meet the trees of a group in one cell: a query's vector is sent once for each group, a tree once for
+each block, and queries at the same node are scored by one product.
 Bounds have a margin for rounding; scores are exact integers.
 """
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlink.llm.common import bounded_batches, keep, read
+from ledgerlink.llm.common import BATCH_BYTES, bounded_batches, keep, read
 
 REGIONS, TREE, PAGE = 256, 4096, 128
-QUERIES = 1024  # of a block
+QUERIES = 4096  # of a block
+CELLS, CELL_BYTES = 64, 32 << 20  # trees are searched together where that leaves as many cells, up to so many bytes
 SLACK = 1e-6
 
 
@@ -76,40 +77,91 @@ def build_tree(own: np.ndarray, ids: np.ndarray, v: np.ndarray, largest: float)
         d = far(x[rows], pivot)
         order = np.argsort(d, kind="stable")
         rows, d = rows[order], d[order]
-        pages.append({"pivot": pivot, "radius": float(d.max()), "up": float(far(pivot, root)), "rows": own[rows], "ids": ids[rows], "v": v[rows], "d": d})
+        pages.append({"pivot": pivot, "radius": float(d.max()), "up": float(far(pivot, root)), "rows": own[rows], "ids": ids[rows], "v": smallest(v[rows]), "d": d})
     return pages
 
 
-def descend(pages: list[dict], root: np.ndarray, row: int, q: np.ndarray, largest: float, bound: float, k: int) -> list[tuple[int, int, int]]:
-    """The k best (score, vec_id, row) of a tree for the query of a row among those no farther than ``bound``, best page
-    first; the row itself is left out."""
-    x = np.append(q.astype(np.float64), 0.0)
-    base = float((x * x).sum()) + largest
-    slack = SLACK * (1 + np.sqrt(base))
-    to_root = float(far(root, x))
-    queue = []
-    for n, p in enumerate(pages):
-        least = abs(to_root - p["up"]) - p["radius"]  # without the node's own distance
-        if least <= bound + slack:
-            heapq.heappush(queue, (max(least, 0.0), n, -1.0))
-    best: list[tuple[int, int, int]] = []  # (score, -vec_id, row), the worst first
-    while queue:
-        least, n, own = heapq.heappop(queue)
-        if least > bound + slack:
-            break
-        p = pages[n]
-        if own < 0:
-            own = float(far(p["pivot"], x))
-            heapq.heappush(queue, (max(least, own - p["radius"], 0.0), n, own))
-            continue
-        a, b = np.searchsorted(p["d"], [own - bound - slack, own + bound + slack])
-        scores = p["v"][a:b] @ q
-        for s, i, r in zip(scores.tolist(), p["ids"][a:b].tolist(), p["rows"][a:b].tolist(), strict=True):
-            if r != row and (len(best) < k or (s, -i, r) > best[0]):
-                (heapq.heappush if len(best) < k else heapq.heapreplace)(best, (s, -i, r))
-        if len(best) == k:
-            bound = min(bound, float(np.sqrt(max(base - 2 * best[0][0], 0))))
-    return [(s, -i, r) for s, i, r in best]
+def smallest(v: np.ndarray) -> np.ndarray:
+    """The same whole numbers in two or four bytes each, where they fit."""
+    most = int(np.abs(v).max(initial=0))
+    return v.astype(np.int16 if most < 2**15 else np.int32 if most < 2**31 else np.int64)
+
+
+class Asked:
+    """Queries that search trees together, each with the k best rows it has met and its own bound."""
+
+    def __init__(self, rows: np.ndarray, q: np.ndarray, bound: np.ndarray, largest: float, k: int):
+        self.rows, self.k = rows, k
+        x = q.astype(np.float64)
+        self.q = x if largest < 2.0**53 else q  # below that, sums of whole numbers are exact in doubles too
+        self.x = np.column_stack([x, np.zeros(len(x))])
+        self.own = (x * x).sum(axis=1)
+        self.base = self.own + largest
+        self.slack = SLACK * (1 + np.sqrt(self.base))
+        self.bound = bound.astype(np.float64)
+        # no row at the bound or nearer scores less
+        reach = np.where(np.isfinite(self.bound), self.bound + self.slack, 0)
+        self.least = np.where(np.isfinite(self.bound), np.floor((self.base - reach * reach) / 2) - 1, -np.inf)
+        self.met = np.zeros((0, 3), np.int64)  # (query, score, vec_id), the best k of each
+
+    def far(self, points: np.ndarray) -> np.ndarray:
+        """Distances of the queries to the points."""
+        return np.sqrt(np.maximum(self.own[:, None] + (points * points).sum(axis=1) - 2 * self.x @ points.T, 0))
+
+    def take(self, found: list[np.ndarray]) -> None:
+        met = np.concatenate([self.met, *found])
+        met = met[np.lexsort((met[:, 2], -met[:, 1], met[:, 0]))]
+        first = np.searchsorted(met[:, 0], met[:, 0])
+        place = np.arange(len(met)) - first
+        self.met = met[place < self.k]
+        last = met[place == self.k - 1]
+        self.least[last[:, 0]] = np.maximum(self.least[last[:, 0]], last[:, 1])
+        near = np.sqrt(np.maximum(self.base[last[:, 0]] - 2 * last[:, 1], 0))
+        self.bound[last[:, 0]] = np.minimum(self.bound[last[:, 0]], near)
+
+
+def descend(pages: list[dict], root: np.ndarray, radius: float, asked: Asked) -> None:
+    """The queries meet the rows of a tree, each query its best page first; a query's own row is left out.
+
+    In each round every query that is not done goes to its next page; those that go to the same one are scored together."""
+    to_root = asked.far(root[None, :])[:, 0]
+    live = np.flatnonzero(to_root - radius <= asked.bound + asked.slack)
+    if not len(live):
+        return
+    up, radii = (np.array([p[c] for p in pages]) for c in ("up", "radius"))
+    least = np.abs(to_root[:, None] - up) - radii  # without the nodes' own distances
+    near = (least[live] <= (asked.bound + asked.slack)[live, None]).any(axis=0)
+    own = np.zeros(least.shape)
+    at = np.flatnonzero(near)
+    if not len(at):
+        return
+    own[:, at] = asked.far(np.stack([pages[n]["pivot"] for n in at]))
+    least[:, at] = np.maximum(least[:, at], own[:, at] - radii[at])
+    order = np.argsort(least, axis=1, kind="stable")
+    vectors = [None] * len(pages)
+    for turn in range(len(pages)):
+        page = order[live, turn]
+        open_ = least[live, page] <= (asked.bound + asked.slack)[live]
+        live, page = live[open_], page[open_]
+        if not len(live):
+            return
+        found, by_page = [], np.argsort(page, kind="stable")
+        cuts = np.flatnonzero(np.diff(page[by_page])) + 1
+        for some in np.split(by_page, cuts):
+            n, who = page[some[0]], live[some]
+            p, reach = pages[n], (asked.bound + asked.slack)[who]
+            a = np.searchsorted(p["d"], (own[who, n] - reach).min())
+            b = np.searchsorted(p["d"], (own[who, n] + reach).max(), side="right")
+            if vectors[n] is None:
+                vectors[n] = p["v"].astype(asked.q.dtype)
+            scores = vectors[n][a:b] @ asked.q[who].T
+            row, col = np.nonzero(scores >= asked.least[who])
+            other = p["rows"][a:b][row] != asked.rows[who[col]]
+            row, col = row[other], col[other]
+            if len(row):
+                found.append(np.column_stack([who[col], scores[row, col].astype(np.int64), p["ids"][a:b][row]]))
+        if found:
+            asked.take(found)
 
 
 TREES = "region int, tree int, n long, pivot array<double>, radius double, nodes binary"
@@ -136,14 +188,23 @@ def top_inner_products(vectors: DataFrame, every: int = 50, k: int = 5) -> DataF
     pivots = lifted(matrix(drawn["v"], dim), largest)  # REGIONS rows at most
 
     def nearest(batches):
-        for pdf in batches:
+        for pdf in batches:  # lifted vectors are equally long: the nearest pivot has the largest product
             x = lifted(matrix(pdf["v"], dim), largest)
-            d = np.stack([far(x, p) for p in pivots], axis=1) if len(x) else np.zeros((0, len(pivots)))
-            yield pdf.assign(region=d.argmin(axis=1).astype("int32"))
+            yield pdf.assign(region=(x @ pivots.T).argmax(axis=1).astype("int32"))
 
     placed = keep(points.mapInPandas(nearest, "row long, vec_id long, v array<long>, region int"), "regions") if count else points.withColumn("region", F.lit(0))
-    trees_of = placed.groupBy("region").agg(F.ceil(F.count("*") / TREE).cast("int").alias("trees"))  # REGIONS rows at most
-    dealt = placed.join(F.broadcast(trees_of), "region").withColumn("tree", F.pmod(F.xxhash64("row"), F.col("trees")).cast("int"))
+    is_query = F.col("vec_id") % every == 0
+    regions = placed.groupBy("region").agg(F.ceil(F.count("*") / TREE).cast("int").alias("trees"), F.count_if(is_query).alias("asking")).orderBy("region").collect()  # REGIONS rows at most
+    total, asking = sum(r["trees"] for r in regions), sum(r["asking"] for r in regions)
+    blocks = max(1, -(-asking // QUERIES))
+    # trees of one group and queries of one block meet in one cell
+    size = max(1, min(total * blocks // CELLS, CELL_BYTES // (TREE * 8 * max(dim, 1))))
+    before, groups_of = 0, {}
+    for r in regions:
+        groups_of[r["region"]] = (before, range(before // size, (before + r["trees"] - 1) // size + 1))
+        before += r["trees"]
+    laid = spark.createDataFrame([(r["region"], r["trees"], groups_of[r["region"]][0], max(1, -(-r["asking"] // QUERIES))) for r in regions], "region int, trees int, before int, own_blocks int")
+    dealt = placed.join(F.broadcast(laid), "region").withColumn("tree", F.pmod(F.xxhash64("row"), F.col("trees")).cast("int"))
 
     def plant(key, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["vec_id", "row"])
@@ -154,54 +215,50 @@ def top_inner_products(vectors: DataFrame, every: int = 50, k: int = 5) -> DataF
         return pd.DataFrame([{"region": key[0], "tree": key[1], "n": len(pdf), "pivot": root, "radius": radius, "nodes": pickle.dumps(pages)}])
 
     index = keep(dealt.groupBy("region", "tree").applyInPandas(plant, TREES), "m-trees")
-    queries = placed.where(F.col("vec_id") % every == 0).select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.col("region").alias("home"))
+    trees = index.join(F.broadcast(laid), "region").withColumn("group", F.floor((F.col("before") + F.col("tree")) / size).cast("int")).drop("trees", "before", "own_blocks")
+    queries = placed.where(is_query).select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.col("region").alias("home"))
     found = "query long, query_id long, vec_id long, score long, bound double"
 
     def search(key, trees: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        q = matrix(asked["q"], dim)
+        who = Asked(asked["query"].to_numpy(np.int64), matrix(asked["q"], dim), asked["bound"].to_numpy(np.float64), largest, k)
         for t in trees.itertuples():
-            pages, root = pickle.loads(t.nodes), np.array(t.pivot)
-            for i, (row, query_id, bound) in enumerate(zip(asked["query"], asked["query_id"], asked["bound"], strict=True)):
-                x = np.append(q[i].astype(np.float64), 0.0)
-                slack = SLACK * (1 + float(np.sqrt((x * x).sum() + largest)))
-                if float(far(root, x)) - t.radius > bound + slack:
-                    continue
-                best = descend(pages, root, row, q[i], largest, bound, k)
-                limit = float(np.sqrt(max((x * x).sum() + largest - 2 * min(best)[0], 0))) if len(best) == k else np.inf
-                out += [(row, query_id, vec_id, s, limit) for s, vec_id, _ in best]
-        return pd.DataFrame(out, columns=["query", "query_id", "vec_id", "score", "bound"])
+            descend(pickle.loads(t.nodes), np.array(t.pivot), t.radius, who)
+        n, score, vec_id = who.met.T
+        return pd.DataFrame({"query": asked["query"].to_numpy(np.int64)[n], "query_id": asked["query_id"].to_numpy(np.int64)[n], "vec_id": vec_id, "score": score, "bound": who.bound[n]})
 
     def searched(asked: DataFrame, trees: DataFrame) -> DataFrame:
-        """``asked`` has region, tree and block; a tree goes to every block that asks for it."""
+        """``asked`` has group and block; the trees of a group go to every block that asks for it."""
         asked = keep(asked, "asked")
-        cells = asked.select(*[F.col(c).alias(c) for c in ("region", "tree", "block")]).distinct()
-        mine = trees.select(*[F.col(c).alias(c) for c in trees.columns]).join(cells, ["region", "tree"])
-        return mine.groupBy("region", "tree", "block").cogroup(asked.groupBy("region", "tree", "block")).applyInPandas(search, found)
-
-    blocks = max(1, -(-(count // max(every, 1)) // QUERIES))
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int"))
-    first = queries.withColumn("region", F.col("home")).withColumn("tree", F.lit(0)).withColumn("bound", F.lit(float("inf")))
-    bounds = searched(first, index).groupBy("query").agg(F.min("bound").alias("bound"))
+        cells = asked.select(*[F.col(c).alias(c) for c in ("group", "block")]).distinct()
+        mine = trees.select(*[F.col(c).alias(c) for c in trees.columns]).join(cells, "group")
+        return mine.groupBy("group", "block").cogroup(asked.groupBy("group", "block")).applyInPandas(search, found)
+
+    # the first tree of the nearest region gives a bound
+    at_home = queries.join(F.broadcast(laid), queries["home"] == laid["region"]).select(
+        "query", "query_id", "q", F.lit(float("inf")).alias("bound"), F.col("home").alias("group"), F.pmod(F.xxhash64("query"), F.col("own_blocks")).cast("int").alias("block"))
+    bounds = searched(at_home, trees.where("tree = 0").withColumn("group", F.col("region"))).groupBy("query").agg(F.min("bound").alias("bound"))
     queries = keep(queries.join(bounds, "query", "left").na.fill({"bound": float("inf")}), "queries")
 
     # regions that can hold something as near: their pivot and the farthest row of theirs, REGIONS rows at most
-    reach = {region: (pivots[region], radius) for region, radius in _reach(index, pivots).items()}
+    reach = _reach(index, pivots)
+    covered, radii = sorted(reach), np.array([reach[r] for r in sorted(reach)])
 
-    def regions_of(batches):
+    def groups_asked(batches):
+        most = max(1, BATCH_BYTES // (64 + 8 * dim))  # a query's vector goes to each group: batches don't grow with those
         for pdf in batches:
-            rows = []
-            q = matrix(pdf["q"], dim)
-            for i, bound in enumerate(pdf["bound"]):
-                x = np.append(q[i].astype(np.float64), 0.0)
-                slack = SLACK * (1 + float(np.sqrt((x * x).sum() + largest)))
-                rows += [(i, r) for r, (p, radius) in reach.items() if float(far(p, x)) - radius <= bound + slack]
-            at = [i for i, _ in rows]
-            yield pdf.iloc[at].assign(region=np.array([r for _, r in rows], "int32"))
-
-    wide = queries.mapInPandas(regions_of, "query long, query_id long, q array<long>, home int, block int, bound double, region int")
-    asked = wide.join(index.select("region", "tree"), "region")
-    best = searched(asked, index).drop("bound")
+            who = Asked(pdf["query"].to_numpy(np.int64), matrix(pdf["q"], dim), pdf["bound"].to_numpy(np.float64), largest, k)
+            near = who.far(pivots[covered]) - radii <= (who.bound + who.slack)[:, None]
+            at, group = [], []
+            for i, regions_near in enumerate(near):
+                mine = sorted({g for r in np.flatnonzero(regions_near) for g in groups_of[covered[r]][1]})
+                at += [i] * len(mine)
+                group += mine
+            for a in range(0, len(at), most):
+                yield pdf.iloc[at[a : a + most]].assign(group=np.array(group[a : a + most], "int32"))
+
+    wide = queries.select("query", "query_id", "q", "bound", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int").alias("block"))
+    asked = wide.mapInPandas(groups_asked, "query long, query_id long, q array<long>, bound double, block int, group int")
+    best = searched(asked, trees).drop("bound")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -382,6 +382,22 @@ def test_top_products_against_all_pairs(spark, monkeypatch):
     assert mtree.top_inner_products(df.where("vec_id in (50, 7)")).count() == 1
 
 
+def test_top_products_send_a_query_once_for_a_group_of_trees(spark, monkeypatch):
+    for name, value in (("TREE", 20), ("PAGE", 8), ("CELLS", 2)):
+        monkeypatch.setattr(mtree, name, value, raising=False)
+    sent, keep = [], mtree.keep
+    monkeypatch.setattr(mtree, "keep", lambda df, what: (out := keep(df, what), sent.append((what, out.count())))[0])
+    vectors = np.random.default_rng(3).normal(size=(600, 5)).round(2)
+    vectors /= 64 * np.abs(vectors).max()  # close to each other: no tree can be left out
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in mtree.top_inner_products(df).collect())
+    w = np.floor(256 * vectors).astype(np.int64)
+    want = [(q, n, i, s) for q in range(0, 600, 50) for n, (s, i) in enumerate(sorted(((int(w[q] @ w[i]), i) for i in range(600) if i != q), key=lambda x: (-x[0], x[1]))[:5], 1)]
+    assert got == want
+    assert dict(sent)["m-trees"] > 20
+    assert max(n for what, n in sent if what == "asked") <= 12 * 3  # not once for each tree
+
+
 # pipeline --------------------------------------------------------------------------------------------------------
 
 def test_pipeline_stages(spark, tmp_path):
