@@ -92,6 +92,19 @@ class Family:
     hot: DataFrame | None  # hashes of anchors of more than MOST_PER_ANCHOR left rows, if there are any
     counted: bool
 
+    def made(self) -> list[tuple[str, str]]:
+        """(left, right) columns that are a level's whole key, other than the anchor, and meet no other column:
+        their values mostly repeat the anchor."""
+        pairs = [pair for _, lv in self.ranked for pair in zip(lv.left, lv.right)]
+        whole = dict.fromkeys((lv.left[0], lv.right[0]) for _, lv in self.ranked if len(lv.left) == 1)
+        return [(c, d) for c, d in whole if c != self.anchor[0] and d != self.anchor[1] and all((a == c) == (b == d) for a, b in pairs)]
+
+    def with_parts(self, rows: DataFrame, names: dict[str, str], side: int) -> DataFrame:
+        """Rows that have ANCHOR, with parts of keys as they are compared, under the names given."""
+        rows = rows.withColumns({n: _text(c) for c, n in names.items()})
+        made = [pair[side] for pair in self.made()]
+        return rows.withColumns({n: _short(F.col(n), F.col(ANCHOR)) for c, n in names.items() if c in made})
+
     def cold_rows(self, df: DataFrame, side: int) -> DataFrame:
         """Rows to be joined on the anchor, with it as ANCHOR."""
         rows = df.withColumn(ANCHOR, _text(self.anchor[side])).where(F.col(ANCHOR) != "")
@@ -110,6 +123,14 @@ def _text(c) -> Column:
     return F.coalesce(F.trim((F.col(c) if isinstance(c, str) else c).cast("string")), F.lit(""))
 
 
+def _short(text: Column, anchor: Column) -> Column:
+    """A text with a mark in each place of the anchor; "" stays.  Where anchors agree, two texts agree if and only if
+    these do: no text has a mark of its own, since its \\x01 are written \\x01\\x02 first."""
+    own = F.lit("\x01")
+    text, anchor = (F.replace(c, own, F.lit("\x01\x02")) for c in (text, anchor))
+    return F.replace(text, anchor, F.lit("\x01\x03"))
+
+
 def _families(levels: list[Level], left: DataFrame) -> list[Family]:
     """Families of the levels; one pass over the left rows tells how often anchors repeat.
     Anchors are told apart by their hash here: of two that share one, both count as hot, on both sides."""
@@ -209,11 +230,22 @@ def _on_anchor(judged: DataFrame, right: DataFrame, families: list[Family], lcol
     for i, f in enumerate(families):
         if f.hot is not None:
             hit = hit.withColumn(ANCHOR_HASH, F.xxhash64(ANCHOR)).join(f.hot.withColumn("_cj_f", F.lit(i)), [ANCHOR_HASH, "_cj_f"], "left_anti")
+    # keys made beforehand are compared in columns that all families share, and a left row's at its own level alone;
+    # the other parts are columns of the result
+    width = max(len(f.made()) for f in families)
+    slot = [{d: f"_cj_s{k}" for k, (_, d) in enumerate(f.made())} for f in families]
+    own = [F.when(F.col(PICK) == rank, _text(lv.left[0])) for i, f in enumerate(families) for rank, lv in f.ranked if _is_made(lv, slot[i])]
+    if own:
+        hit = hit.withColumn("_cj_own", F.coalesce(*own, F.lit(""))).withColumn("_cj_own", _short(F.col("_cj_own"), F.col(ANCHOR)))
     right_side = reduce(DataFrame.unionAll, [
-        f.cold_rows(right, 1).select(F.lit(i).alias("_cj_rf"), F.col(ANCHOR).alias("_cj_ra"), *[F.col(c).alias(o) for c, o in renamed.items()])
+        f.with_parts(f.cold_rows(right, 1), slot[i], 1).select(
+            F.lit(i).alias("_cj_rf"), F.col(ANCHOR).alias("_cj_ra"), *[F.col(c).alias(o) for c, o in renamed.items()],
+            *slot[i].values(), *[F.lit("").alias(f"_cj_s{k}") for k in range(len(slot[i]), width)])
         for i, f in enumerate(families)])
     agrees = reduce(lambda a, b: a | b, [
-        (F.col(PICK) == rank) & _agree(lv, f, _text, lambda c: _text(renamed[c])) for f in families for rank, lv in f.ranked])
+        (F.col(PICK) == rank) & ((F.col("_cj_own") != "") & (F.col("_cj_own") == F.col(slot[i][lv.right[0]])) if _is_made(lv, slot[i])
+                                 else _agree(lv, f, _text, lambda c: _text(renamed[c])))
+        for i, f in enumerate(families) for rank, lv in f.ranked])
     # the left rows of an anchor are few: they are hashed and the right rows stream past unsorted
     pairs = hit.hint("shuffle_hash").join(right_side, (F.col("_cj_f") == F.col("_cj_rf")) & (F.col(ANCHOR) == F.col("_cj_ra")) & agrees)
     return pairs.select(*lcols, *[F.col(c).alias(o) for c, o in zip(side, out_rcols)], level)
@@ -230,6 +262,10 @@ def _on_keys(hit: DataFrame, right: DataFrame, family: Family, lcols, out_rcols,
     return keyed.join(right_side, keys).select(*lcols, *out_rcols, level)
 
 
+def _is_made(lv: Level, slots: dict[str, str]) -> bool:
+    return len(lv.right) == 1 and lv.right[0] in slots
+
+
 def _agree(lv: Level, family: Family, left_part, right_part) -> Column:
     """The parts of the level's key agree, given that the anchor does."""
     return reduce(lambda a, b: a & b, [(left_part(a) == right_part(b)) & (left_part(a) != "") for a, b in zip(lv.left, lv.right)
@@ -264,11 +300,11 @@ def _count_on_anchor(left: DataFrame, right: DataFrame, family: Family, left_id:
     lnorm, rnorm = ({c: f"_cj_{s}{i}" for i, c in enumerate(c for c in _components(members, side) if c != family.anchor[k])}
                     for k, (s, side) in enumerate((("l", "left"), ("r", "right"))))
     # an id that stands on several left rows takes the least of their counts: rows are told apart by their key
-    lkeys = family.cold_rows(left, 0).select(left_id, ANCHOR, *[_text(c).alias(n) for c, n in lnorm.items()])
+    lkeys = family.with_parts(family.cold_rows(left, 0), lnorm, 0).select(left_id, ANCHOR, *lnorm.values())
     # dealt out by the anchor at once: neither the distinct rows nor the join need another shuffle
     lkeys = lkeys.repartition(ANCHOR)
     lkeys = lkeys.groupBy(*lkeys.columns).agg(F.lit(1).alias("_cj_one")).drop("_cj_one")
-    rkeys = family.cold_rows(right, 1).select(F.col(ANCHOR).alias("_cj_ra"), *[_text(c).alias(n) for c, n in rnorm.items()])
+    rkeys = family.with_parts(family.cold_rows(right, 1), rnorm, 1).select(F.col(ANCHOR).alias("_cj_ra"), *rnorm.values())
     rkeys = rkeys.groupBy(*rkeys.columns).agg(F.count(F.lit(1)).alias("_cj_n")) if family.counted else rkeys.withColumn("_cj_n", F.lit(1))
     pairs = lkeys.join(rkeys, F.col(ANCHOR) == F.col("_cj_ra"))
     rank = F.coalesce(*[F.when(_agree(lv, family, lambda c: _part(c, family.anchor[0], ANCHOR, lnorm), lambda c: _part(c, family.anchor[1], "_cj_ra", rnorm)), rank)
